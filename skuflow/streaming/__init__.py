@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch pipeline: no source, view or script in it reads a
+stream, keeps state or handles late data, so there is nothing to rebuild here.
+Every operator in ``skuflow.operators`` is a plain DataFrame function and can
+be applied inside ``foreachBatch`` if a caller needs incremental refreshes.
+"""
