@@ -74,13 +74,13 @@ def global_running(df: DataFrame, value: str, order: Sequence[Column], name: str
 
 
 def running_by_peers(df: DataFrame, key: str, value: str, descending: bool, name: str) -> DataFrame:
-    """Running sum with SQL's default RANGE frame: rows with an equal ``key``
-    share one total. Peers are first collapsed to one row per key (partial
-    aggregation, so a hot key costs nothing), ranked, and joined back."""
+    """Running sum with SQL's default RANGE frame (rows with an equal ``key``
+    share one total), returned as one row per distinct key: join it back on
+    ``key``. Peers are collapsed first (partial aggregation, so a hot key
+    costs nothing), then ranked."""
     peers = df.groupBy(key).agg(F.sum(value).alias("_peer_sum"))
     order = [F.col(key).desc_nulls_first() if descending else F.col(key).asc_nulls_last()]
-    ran = global_running(peers, "_peer_sum", order, name).drop("_peer_sum")
-    return df.join(ran, key)
+    return global_running(peers, "_peer_sum", order, name).drop("_peer_sum")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.operators import clean, features, quality
+from skuflow.operators import clean, features, kpi, profit, quality
 from skuflow.params import Params
 from skuflow.sources import testdata
 
@@ -136,3 +136,48 @@ class Pipeline:
     @cached_property
     def monthly_sku(self) -> DataFrame:
         return self._keep(features.monthly_sku(self.base, self.product_category))
+
+    # ---- P -------------------------------------------------------------------
+    def class_impact(self) -> DataFrame:
+        return profit.class_impact(self.classification)
+
+    def profit_pareto(self) -> DataFrame:
+        return profit.profit_pareto(self.profitability, self.params.currency)
+
+    def loss_leaders(self, n: int = 50) -> DataFrame:
+        return profit.loss_leaders(self.profitability, self.sku_costs, n, self.params.currency)
+
+    def category_margin_drift(self) -> DataFrame:
+        return profit.category_margin_drift(self.base, self.product_category, self.dim_category,
+                                            self.params.split_month, self.params.broadcast_max_rows)
+
+    def stress_freight(self) -> DataFrame:
+        return profit.stress(self.sku_revenue, self.sku_costs, profit.SCENARIOS[1][1], with_total_cost=True)
+
+    def stress_returns(self) -> DataFrame:
+        return profit.stress(self.sku_revenue, self.sku_costs, profit.SCENARIOS[2][1])
+
+    def stress_storage(self) -> DataFrame:
+        return profit.stress(self.sku_revenue, self.sku_costs, profit.SCENARIOS[3][1])
+
+    def stress_summary(self) -> DataFrame:
+        return profit.stress_summary(self.sku_revenue, self.sku_costs)
+
+    # ---- K -------------------------------------------------------------------
+    def portfolio_kpis(self) -> DataFrame:
+        return kpi.portfolio_kpis(self.classification)
+
+    def monthly_revenue(self) -> DataFrame:
+        t = self.tables
+        return kpi.monthly_revenue(t["order_items"], t["orders"], self.params.excluded_statuses)
+
+    def top_skus(self, n: int = 400) -> DataFrame:
+        return kpi.top_skus(self.classification, n)
+
+    def top_products(self) -> DataFrame:
+        t = self.tables
+        return kpi.top_products(t["order_items"], t["products"])
+
+    def worst_rated(self, n: int = 5) -> DataFrame:
+        t = self.tables
+        return kpi.worst_rated(t["order_items"], t["orders"], t["order_reviews"], t["products"], n)
