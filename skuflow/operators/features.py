@@ -154,18 +154,22 @@ def sku_reviews(base: DataFrame) -> DataFrame:
         F.col("negative_review_count").cast("long"))
 
 
+PROFIT_COLUMNS = ["product_id", "category", "gross_revenue", "total_cost", "net_profit",
+                  "profit_margin_pct", "avg_review_score"]
+
+
 def sku_profitability(revenue: DataFrame, costs: DataFrame, reviews: DataFrame,
-                      ranked: bool = True) -> DataFrame:
-    """Total cost, net profit, margin %, average review, revenue rank."""
+                      ranked: bool = True, extras: bool = False) -> DataFrame:
+    """Total cost, net profit, margin %, average review, revenue rank.
+    ``extras`` keeps units_sold and cogs_total (read by the decision engine)."""
     total = sum((F.col(c) for c in COST_COLUMNS[1:]), F.col(COST_COLUMNS[0]))
-    df = revenue.select("product_id", "gross_revenue").join(costs, "product_id") \
+    df = revenue.select("product_id", "gross_revenue", "units_sold").join(costs, "product_id") \
         .join(reviews.select("product_id", "avg_review_score"), "product_id", "left") \
         .select("product_id", "category", round_dec("gross_revenue").alias("gross_revenue"),
-                round_dec(total).alias("total_cost"), "avg_review_score")
+                round_dec(total).alias("total_cost"), "avg_review_score", "units_sold", "cogs_total")
     df = df.withColumn("net_profit", round_dec(F.col("gross_revenue") - F.col("total_cost"))) \
         .withColumn("profit_margin_pct", safe_pct("net_profit", "gross_revenue", 2))
-    cols = ["product_id", "category", "gross_revenue", "total_cost", "net_profit",
-            "profit_margin_pct", "avg_review_score"]
+    cols = PROFIT_COLUMNS + (["units_sold", "cogs_total"] if extras else [])
     if not ranked:
         return df.select(*cols)
     order = [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()]

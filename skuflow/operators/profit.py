@@ -89,7 +89,8 @@ def loss_leaders(profitability: DataFrame, costs: DataFrame, n: int = 50, curren
     """The ``n`` largest losses with their dominant cost driver (top-k:
     Spark plans TakeOrderedAndProject, no global sort)."""
     c = costs.drop("category")
-    df = profitability.where(F.col("net_profit") < 0).join(c, "product_id") \
+    df = profitability.select("product_id", "category", "gross_revenue", "net_profit") \
+        .where(F.col("net_profit") < 0).join(c, "product_id") \
         .orderBy(F.col("net_profit").asc(), F.col("product_id").asc_nulls_last()).limit(n)
     driver = dominant([("cogs_total", "COGS"), ("freight_cost_total", "Freight"), ("return_cost_total", "Returns"),
                        ("storage_cost_total", "Storage"), ("fulfillment_cost_total", "Fulfillment")])

@@ -13,8 +13,11 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skuflow.operators import clean, features, kpi, profit, quality
+from skuflow.functions.ranking import global_rank
+
+from skuflow.operators import clean, demand, features, forecast_reports, inventory, kpi, profit, quality, trust
 from skuflow.params import Params
 from skuflow.sources import testdata
 
@@ -112,16 +115,13 @@ class Pipeline:
     def profitability(self) -> DataFrame:
         """F7b without the rank column (what every downstream operator reads)."""
         return self._keep(features.sku_profitability(self.sku_revenue, self.sku_costs, self.sku_reviews,
-                                                     ranked=False))
+                                                     ranked=False, extras=True))
 
     @cached_property
     def sku_profitability(self) -> DataFrame:
         """F7b with sku_rank (a global, checkpointed rank)."""
-        prof = self.profitability
-        from skuflow.functions.ranking import global_rank
-        from pyspark.sql import functions as F
         order = [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()]
-        return global_rank(prof, order, "sku_rank")
+        return global_rank(self.profitability.select(*features.PROFIT_COLUMNS), order, "sku_rank")
 
     @cached_property
     def classification(self) -> DataFrame:
@@ -181,3 +181,158 @@ class Pipeline:
     def worst_rated(self, n: int = 5) -> DataFrame:
         t = self.tables
         return kpi.worst_rated(t["order_items"], t["orders"], t["order_reviews"], t["products"], n)
+
+    # ---- M (demand) ------------------------------------------------------------
+    @cached_property
+    def demand_features(self) -> DataFrame:
+        return self._keep(demand.demand_features(self.monthly_sku))
+
+    def history_coverage(self) -> DataFrame:
+        return demand.history_coverage(self.monthly_sku)
+
+    @cached_property
+    def forecastable(self) -> DataFrame:
+        return demand.forecastable(self.demand_features, self.params.forecast)
+
+    @cached_property
+    def sku_series_filled(self) -> DataFrame:
+        """M4 on the eligible SKUs (M3)."""
+        return self._keep(demand.gap_fill(demand.sku_series(self.monthly_sku, self.forecastable)))
+
+    @cached_property
+    def category_series_filled(self) -> DataFrame:
+        return demand.gap_fill(demand.category_series(self.monthly_sku))
+
+    def gap_filled_series(self) -> DataFrame:
+        return self.sku_series_filled.unionByName(self.category_series_filled)
+
+    def baselines(self) -> DataFrame:
+        return demand.baselines(self.sku_series_filled, self.params.forecast)
+
+    @cached_property
+    def forecasts(self) -> DataFrame:
+        """The forecast table (both grains)."""
+        p = self.params.forecast
+        if self.forecaster == "holt_winters":
+            from skuflow.operators import forecast
+            out = forecast.holt_winters(self.sku_series_filled.unionByName(self.category_series_filled), p)
+        else:
+            out = demand.moving_average_forecast(self.sku_series_filled, p).unionByName(
+                demand.moving_average_forecast(self.category_series_filled, p))
+        return self._keep(out)
+
+    def forecast_table(self) -> DataFrame:
+        return self.forecasts
+
+    # ---- D -------------------------------------------------------------------
+    @cached_property
+    def decisions(self) -> DataFrame:
+        return self._keep(inventory.sku_decisions(self.forecasts, self.demand_features, self.profitability,
+                                                  self.params.inventory))
+
+    def sku_decisions(self) -> DataFrame:
+        return self.decisions
+
+    def category_decisions(self) -> DataFrame:
+        return inventory.category_decisions(self.forecasts, self.monthly_sku, self.profitability,
+                                            self.params.inventory)
+
+    def demand_trend(self) -> DataFrame:
+        return inventory.demand_trend(self.decisions)
+
+    def stockout_register(self) -> DataFrame:
+        return inventory.stockout_register(self.decisions, self.params.inventory)
+
+    def action_list(self) -> DataFrame:
+        return inventory.action_list(self.decisions)
+
+    def margin_review_quadrant(self) -> DataFrame:
+        return inventory.margin_review_quadrant(self.profitability, self.decisions, self.params.currency)
+
+    def strategy_vs_ops(self) -> DataFrame:
+        return inventory.strategy_vs_ops(self.classification, self.decisions)
+
+    def strategy_matrix(self) -> DataFrame:
+        return inventory.strategy_matrix(self.classification, self.decisions)
+
+    def action_sheet(self) -> DataFrame:
+        return inventory.action_sheet(self.decisions, self.sku_class, self.sku_revenue)
+
+    def sku_snapshot(self) -> DataFrame:
+        return inventory.sku_snapshot(self.decisions, self.sku_class, self.sku_revenue)
+
+    def monthly_economics(self) -> DataFrame:
+        return inventory.monthly_economics(self.monthly_sku, self.decisions)
+
+    def verdict_impact(self) -> DataFrame:
+        return inventory.verdict_impact(self.decisions, self.params.currency)
+
+    def category_impact(self) -> DataFrame:
+        return inventory.category_impact(self.decisions)
+
+    def inventory_scorecard(self) -> DataFrame:
+        return inventory.inventory_scorecard(self.decisions, self.forecasts, self.params.currency)
+
+    # ---- K2, V -----------------------------------------------------------------
+    def category_accuracy(self) -> DataFrame:
+        return trust.category_accuracy(self.forecasts)
+
+    def reliability_by_band(self) -> DataFrame:
+        return trust.reliability_by_band(self.decisions, self.profitability)
+
+    def model_comparison(self, live_baselines: bool = False) -> DataFrame:
+        return trust.model_comparison(self.forecasts, self.baselines() if live_baselines else None)
+
+    def model_comparison_live(self) -> DataFrame:
+        return self.model_comparison(live_baselines=True)
+
+    def confidence_scorecard(self) -> DataFrame:
+        return trust.confidence_scorecard(self.forecasts, self.decisions, self.params.trust_currency)
+
+    def confidence_coverage(self) -> DataFrame:
+        return trust.confidence_coverage(self.forecasts)
+
+    # ---- forecast review and chart data -----------------------------------------
+    def forecast_review(self) -> DataFrame:
+        return forecast_reports.forecast_review(self.forecasts)
+
+    def sku_forecast_preview(self) -> DataFrame:
+        return forecast_reports.sku_forecast_preview(self.forecasts)
+
+    @cached_property
+    def sku_metrics(self) -> DataFrame:
+        return forecast_reports.sku_metrics(self.forecasts)
+
+    def sku_metrics_table(self) -> DataFrame:
+        return self.sku_metrics
+
+    def feature_sku(self) -> DataFrame:
+        return forecast_reports.feature_sku(self.sku_metrics)
+
+    def forecast_vs_actual(self) -> DataFrame:
+        if self.forecaster == "holt_winters":
+            from skuflow.operators import forecast
+            return forecast.holt_winters_segments(self.sku_series_filled, self.params.forecast)
+        return forecast_reports.moving_average_segments(self.sku_series_filled, self.params.forecast)
+
+    def mape_histogram(self) -> DataFrame:
+        return forecast_reports.mape_histogram(self.spark, self.sku_metrics)
+
+    def mape_summary(self) -> DataFrame:
+        return forecast_reports.mape_summary(self.sku_metrics)
+
+    @cached_property
+    def sku_units(self) -> DataFrame:
+        return forecast_reports.sku_units(self.monthly_sku)
+
+    def coverage_pareto(self) -> DataFrame:
+        return forecast_reports.coverage_pareto(self.sku_units, self.sku_metrics)
+
+    def coverage_summary(self) -> DataFrame:
+        return forecast_reports.coverage_summary(self.sku_units, self.sku_metrics)
+
+    def accuracy_by_volume(self) -> DataFrame:
+        return forecast_reports.accuracy_by_volume(self.sku_units, self.sku_metrics)
+
+    def category_bias(self) -> DataFrame:
+        return forecast_reports.category_bias(self.monthly_sku, self.forecasts)
