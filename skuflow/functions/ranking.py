@@ -22,11 +22,14 @@ _ROW_BITS = 33                      # monotonically_increasing_id: partition id
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int, known: bool | None = None) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows;
-    otherwise leave the join strategy to Spark (sort-merge / AQE)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    otherwise leave the join strategy to Spark (sort-merge / AQE). ``known``
+    passes in a bound already proven by the caller (the pipeline checks all
+    dimension tables in one job); ``None`` runs a capped count here."""
+    if known is None:
+        known = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if known else df
 
 
 def _sorted_with_position(df: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -25,7 +25,7 @@ def month_of(ts: str = "order_purchase_timestamp"):
     return F.date_format(F.col(ts), "yyyy-MM")
 
 
-def dim_category(t: dict[str, DataFrame], max_rows: int = 200_000) -> DataFrame:
+def dim_category(t: dict[str, DataFrame], max_rows: int = 200_000, small: bool | None = None) -> DataFrame:
     """translation joined to the four cost tables on the English name
     (categories lacking a cost row drop out). Small dimension: each join side
     is broadcast only after a row-count check."""
@@ -34,7 +34,7 @@ def dim_category(t: dict[str, DataFrame], max_rows: int = 200_000) -> DataFrame:
     for name, cols in (("supplier_costs", ["cogs_rate"]), ("storage_costs", ["storage_cost_per_unit"]),
                        ("fulfillment_costs", ["fulfillment_cost_per_order"]),
                        ("return_costs", ["return_rate", "return_cost_per_unit"])):
-        out = out.join(bounded_broadcast(t[name].select("category", *cols), max_rows), "category")
+        out = out.join(bounded_broadcast(t[name].select("category", *cols), max_rows, small), "category")
     return out.select("category", "cogs_rate", "storage_cost_per_unit", "fulfillment_cost_per_order",
                       "return_rate", "return_cost_per_unit")
 
@@ -48,19 +48,21 @@ def dim_date(orders: DataFrame) -> DataFrame:
         (F.dayofweek(ts) - 1).alias("day_of_week")).distinct()
 
 
-def dim_product(products: DataFrame, translation: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def dim_product(products: DataFrame, translation: DataFrame, max_rows: int = 200_000,
+                small: bool | None = None) -> DataFrame:
     """products with PT and EN category names (left join)."""
     tr = bounded_broadcast(translation.select(
-        "product_category_name", F.col("product_category_name_english").alias("category_en")), max_rows)
+        "product_category_name", F.col("product_category_name_english").alias("category_en")), max_rows, small)
     return products.join(tr, "product_category_name", "left").select(
         "product_id", F.col("product_category_name").alias("category_pt"), "category_en",
         "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 
 
-def product_category(products: DataFrame, translation: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def product_category(products: DataFrame, translation: DataFrame, max_rows: int = 200_000,
+                     small: bool | None = None) -> DataFrame:
     """(product_id, category): products whose PT name translates (inner join)."""
     tr = bounded_broadcast(translation.select(
-        "product_category_name", F.col("product_category_name_english").alias("category")), max_rows)
+        "product_category_name", F.col("product_category_name_english").alias("category")), max_rows, small)
     return products.select("product_id", "product_category_name") \
         .join(tr, "product_category_name").select("product_id", "category")
 
@@ -127,10 +129,10 @@ def sku_revenue(base: DataFrame) -> DataFrame:
 
 
 def sku_costs(revenue: DataFrame, product_cat: DataFrame, categories: DataFrame,
-              max_rows: int = 200_000) -> DataFrame:
+              max_rows: int = 200_000, small: bool | None = None) -> DataFrame:
     """the category cost model applied to each SKU, each cost rounded to 2 dp.
     SKUs without a category or without a full cost model drop out."""
-    b = revenue.join(product_cat, "product_id").join(bounded_broadcast(categories, max_rows), "category")
+    b = revenue.join(product_cat, "product_id").join(bounded_broadcast(categories, max_rows, small), "category")
     units = F.col("units_sold").cast("decimal(20,0)")
     return b.select(
         "product_id", "category",

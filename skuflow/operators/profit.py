@@ -117,12 +117,13 @@ def split_month_of(df: DataFrame) -> DataFrame:
 
 
 def category_margin_drift(base: DataFrame, product_cat: DataFrame, categories: DataFrame,
-                          split_month: str | None = None, max_rows: int = 200_000) -> DataFrame:
+                          split_month: str | None = None, max_rows: int = 200_000,
+                          small: bool | None = None) -> DataFrame:
     """margin = revenue x (1 - cogs rate) - freight per category, first vs
     second half (month <= split). Sums are linear, so the two halves are two
     conditional sums of one groupBy instead of a self-join."""
     rows = base.where(F.col("order_month").isNotNull()).select("product_id", "order_month", "revenue", "freight") \
-        .join(product_cat, "product_id").join(bounded_broadcast(categories.select("category", "cogs_rate"), max_rows), "category")
+        .join(product_cat, "product_id").join(bounded_broadcast(categories.select("category", "cogs_rate"), max_rows, small), "category")
     if split_month is None:
         rows = _join_totals(rows, split_month_of(base.where(F.col("order_month").isNotNull())))
         split = F.col("_split")

@@ -146,3 +146,23 @@ def key_report(t: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def dimension_check(t: dict[str, DataFrame], max_rows: int) -> dict[str, int]:
+    """One job: cost-coverage violations (Q6) and, for the category
+    dimension tables, capped row counts and duplicate-key counts. The caller
+    uses them to gate the run and to prove a size bound before broadcasting."""
+    cov = cost_coverage(t["category_translation"], [t["supplier_costs"], t["storage_costs"],
+                                                   t["fulfillment_costs"], t["return_costs"]])
+    parts = [cov.select(F.lit("coverage").alias("k"), F.col("violations").alias("v"))]
+    for name, key in (("category_translation", "product_category_name_english"), ("supplier_costs", "category"),
+                      ("storage_costs", "category"), ("fulfillment_costs", "category"),
+                      ("return_costs", "category")):
+        capped = t[name].limit(max_rows + 1)
+        parts.append(capped.agg(F.count(F.lit(1)).alias("v")).select(F.lit(f"rows:{name}").alias("k"), "v"))
+        parts.append(capped.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("v"))
+                     .select(F.lit(f"dups:{name}").alias("k"), "v"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return {r["k"]: int(r["v"]) for r in out.collect()}

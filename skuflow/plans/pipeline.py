@@ -9,6 +9,7 @@ checkpoint to ``spark.checkpoint.dir`` themselves.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -19,26 +20,39 @@ from skuflow.functions.ranking import global_rank
 
 from skuflow.operators import clean, demand, features, forecast_reports, inventory, kpi, profit, quality, trust
 from skuflow.params import Params
+from skuflow.session import ensure_checkpoint_dir
 from skuflow.sources import testdata
 
 
 class Pipeline:
+    """``store``: how shared stages are kept. 'parquet' (default) writes each
+    to the shared checkpoint folder and reads it back: the lineage is cut (plans
+    stay small, a lost executor never forces a recompute from the raw tables)
+    and the planner sees real file sizes. 'memory' persists in the cache; 'none'
+    keeps everything lazy."""
+
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], params: Params | None = None,
-                 persist: bool = True, gate: bool = True, forecaster: str = "moving_average"):
+                 store: str = "parquet", gate: bool = True, forecaster: str = "moving_average"):
         self.spark = spark
         self.raw = raw
         self.params = params or Params()
-        self.persist_stages = persist
+        self.store = store
         self.gate = gate
         self.forecaster = forecaster
         self._persisted: list[DataFrame] = []
+        self._run_id = uuid.uuid4().hex[:12]
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, dirty: bool = False, **kw) -> Pipeline:
         return cls(spark, testdata.load_tables(spark, sf_dir, dirty=dirty), **kw)
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        if self.persist_stages:
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        if self.store == "parquet":
+            root = ensure_checkpoint_dir(self.spark)
+            path = f"{root.rstrip('/')}/skuflow-stages/{self._run_id}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        if self.store == "memory":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(df)
         return df
@@ -59,27 +73,38 @@ class Pipeline:
     def key_report(self) -> DataFrame:
         return quality.key_report(self.tables)
 
+    @cached_property
+    def _dims(self) -> dict[str, int]:
+        """One small job: the Q6 gate and the size bound of the category dimension."""
+        return quality.dimension_check(self.tables, self.params.broadcast_max_rows)
+
     @cached_property
     def _gated(self) -> bool:
-        if self.gate:
-            t = self.tables
-            quality.enforce(quality.cost_coverage(
-                t["category_translation"],
-                [t["supplier_costs"], t["storage_costs"], t["fulfillment_costs"], t["return_costs"]]))
+        if self.gate and self._dims["coverage"] > 0:
+            raise quality.DataQualityError(f"data-quality gate failed: cost_coverage_missing={self._dims['coverage']}")
         return True
 
+    @cached_property
+    def small_dims(self) -> bool:
+        """Proven bound: every category table within the cap and the cost tables
+        free of duplicate keys, so no join among them can grow past the cap."""
+        d, cap = self._dims, self.params.broadcast_max_rows
+        names = ["category_translation", "supplier_costs", "storage_costs", "fulfillment_costs", "return_costs"]
+        return all(d[f"rows:{n}"] <= cap for n in names) and all(d[f"dups:{n}"] == 0 for n in names[1:])
+
     # ---- F -------------------------------------------------------------------
     @cached_property
     def dim_category(self) -> DataFrame:
         assert self._gated
-        return features.dim_category(self.tables, self.params.broadcast_max_rows)
+        return features.dim_category(self.tables, self.params.broadcast_max_rows, self.small_dims)
 
     def dim_date(self) -> DataFrame:
         return features.dim_date(self.tables["orders"])
 
     def dim_product(self) -> DataFrame:
         t = self.tables
-        return features.dim_product(t["products"], t["category_translation"], self.params.broadcast_max_rows)
+        return features.dim_product(t["products"], t["category_translation"], self.params.broadcast_max_rows,
+                                    self.small_dims)
 
     def fact_order_items(self) -> DataFrame:
         t = self.tables
@@ -90,22 +115,22 @@ class Pipeline:
     def product_category(self) -> DataFrame:
         t = self.tables
         return features.product_category(t["products"], t["category_translation"],
-                                         self.params.broadcast_max_rows)
+                                         self.params.broadcast_max_rows, self.small_dims)
 
     @cached_property
     def base(self) -> DataFrame:
         t = self.tables
         return self._keep(features.sku_month_base(t["order_items"], t["orders"], t["order_reviews"],
-                                                  self.params.excluded_statuses, self.params.reviews))
+                                                  self.params.excluded_statuses, self.params.reviews), "base")
 
     @cached_property
     def sku_revenue(self) -> DataFrame:
-        return self._keep(features.sku_revenue(self.base))
+        return self._keep(features.sku_revenue(self.base), "sku_revenue")
 
     @cached_property
     def sku_costs(self) -> DataFrame:
         return self._keep(features.sku_costs(self.sku_revenue, self.product_category, self.dim_category,
-                                             self.params.broadcast_max_rows))
+                                             self.params.broadcast_max_rows, self.small_dims), "sku_costs")
 
     @cached_property
     def sku_reviews(self) -> DataFrame:
@@ -115,7 +140,7 @@ class Pipeline:
     def profitability(self) -> DataFrame:
         """F7b without the rank column (what every downstream operator reads)."""
         return self._keep(features.sku_profitability(self.sku_revenue, self.sku_costs, self.sku_reviews,
-                                                     ranked=False, extras=True))
+                                                     ranked=False, extras=True), "profitability")
 
     @cached_property
     def sku_profitability(self) -> DataFrame:
@@ -135,7 +160,7 @@ class Pipeline:
 
     @cached_property
     def monthly_sku(self) -> DataFrame:
-        return self._keep(features.monthly_sku(self.base, self.product_category))
+        return self._keep(features.monthly_sku(self.base, self.product_category), "monthly_sku")
 
     # ---- P -------------------------------------------------------------------
     def class_impact(self) -> DataFrame:
@@ -149,7 +174,8 @@ class Pipeline:
 
     def category_margin_drift(self) -> DataFrame:
         return profit.category_margin_drift(self.base, self.product_category, self.dim_category,
-                                            self.params.split_month, self.params.broadcast_max_rows)
+                                            self.params.split_month, self.params.broadcast_max_rows,
+                                            self.small_dims)
 
     def stress_freight(self) -> DataFrame:
         return profit.stress(self.sku_revenue, self.sku_costs, profit.SCENARIOS[1][1], with_total_cost=True)
@@ -185,7 +211,7 @@ class Pipeline:
     # ---- M (demand) ------------------------------------------------------------
     @cached_property
     def demand_features(self) -> DataFrame:
-        return self._keep(demand.demand_features(self.monthly_sku))
+        return self._keep(demand.demand_features(self.monthly_sku), "demand_features")
 
     def history_coverage(self) -> DataFrame:
         return demand.history_coverage(self.monthly_sku)
@@ -197,11 +223,11 @@ class Pipeline:
     @cached_property
     def sku_series_filled(self) -> DataFrame:
         """M4 on the eligible SKUs (M3)."""
-        return self._keep(demand.gap_fill(demand.sku_series(self.monthly_sku, self.forecastable)))
+        return self._keep(demand.gap_fill(demand.sku_series(self.monthly_sku, self.forecastable)), "sku_series")
 
     @cached_property
     def category_series_filled(self) -> DataFrame:
-        return demand.gap_fill(demand.category_series(self.monthly_sku))
+        return self._keep(demand.gap_fill(demand.category_series(self.monthly_sku)), "category_series")
 
     def gap_filled_series(self) -> DataFrame:
         return self.sku_series_filled.unionByName(self.category_series_filled)
@@ -219,7 +245,7 @@ class Pipeline:
         else:
             out = demand.moving_average_forecast(self.sku_series_filled, p).unionByName(
                 demand.moving_average_forecast(self.category_series_filled, p))
-        return self._keep(out)
+        return self._keep(out, "forecasts")
 
     def forecast_table(self) -> DataFrame:
         return self.forecasts
@@ -228,7 +254,7 @@ class Pipeline:
     @cached_property
     def decisions(self) -> DataFrame:
         return self._keep(inventory.sku_decisions(self.forecasts, self.demand_features, self.profitability,
-                                                  self.params.inventory))
+                                                  self.params.inventory), "decisions")
 
     def sku_decisions(self) -> DataFrame:
         return self.decisions
