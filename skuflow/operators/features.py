@@ -73,7 +73,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame, reviews: DataFrame,
     vo = valid_orders(orders, excluded).select(
         "order_id", F.to_date("order_purchase_timestamp").alias("order_date"), "order_status")
     rv = reviews.select("order_id", "review_score")
-    return items.join(vo, "order_id").join(rv, "order_id", "left").select(
+    return items.join(vo.hint("merge"), "order_id").join(rv, "order_id", "left").select(
         "order_id", "order_item_id", "product_id", "order_date", "order_status",
         "price", "freight_value", "review_score")
 
@@ -100,7 +100,11 @@ def sku_month_base(items: DataFrame, orders: DataFrame, reviews: DataFrame,
     """
     vo = valid_orders(orders, excluded).select("order_id", month_of().alias("order_month"))
     per_order = vo.join(review_stats_by_order(reviews), "order_id", "left")
-    lines = items.select("order_id", "product_id", "price", "freight_value").join(per_order, "order_id")
+    # Fact-to-fact join: ask for a sort-merge join so a size estimate never
+    # broadcasts either fact table through the driver (AQE may still switch to
+    # a broadcast when the measured shuffle output is small).
+    lines = items.select("order_id", "product_id", "price", "freight_value").join(
+        per_order.hint("merge"), "order_id")
     n_rev = F.coalesce(F.col("n_reviews"), F.lit(0))
     weight = F.greatest(n_rev, F.lit(1)) if review_mode == "fan_out" else F.lit(1)
     score_sum = F.col("score_sum") if review_mode == "fan_out" else F.col("score_sum") / F.col("n_reviews")

@@ -33,7 +33,7 @@ def monthly_revenue(items: DataFrame, orders: DataFrame, excluded: Iterable[str]
     """K3: per month distinct orders, units, revenue, freight and average item price."""
     vo = valid_orders(orders, excluded).where(F.col("order_purchase_timestamp").isNotNull()) \
         .select("order_id", month_of().alias("order_month"))
-    lines = items.select("order_id", "price", "freight_value").join(vo, "order_id")
+    lines = items.select("order_id", "price", "freight_value").join(vo.hint("merge"), "order_id")
     return lines.groupBy("order_month").agg(
         F.count_distinct("order_id").alias("order_count"),
         F.count(F.lit(1)).alias("units_sold"),
@@ -67,7 +67,8 @@ def worst_rated(items: DataFrame, orders: DataFrame, reviews: DataFrame, product
     statuses; a NULL category is its own group. Reviews are pre-aggregated per
     order, items per product, before the category rollup."""
     per_order = review_stats_by_order(reviews).join(orders.select("order_id"), "order_id", "left_semi")
-    per_product = items.select("order_id", "product_id").join(per_order, "order_id").groupBy("product_id").agg(
+    per_product = items.select("order_id", "product_id").join(per_order.hint("merge"), "order_id") \
+        .groupBy("product_id").agg(
         F.sum("score_sum").alias("s"), F.sum("score_n").alias("c"), F.sum("n_review_ids").alias("r"))
     per_cat = per_product.join(products.select("product_id", "product_category_name"), "product_id") \
         .groupBy("product_category_name").agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("r").alias("r"))

@@ -149,20 +149,25 @@ def key_report(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def dimension_check(t: dict[str, DataFrame], max_rows: int) -> dict[str, int]:
-    """One job: cost-coverage violations (Q6) and, for the category
-    dimension tables, capped row counts and duplicate-key counts. The caller
-    uses them to gate the run and to prove a size bound before broadcasting."""
-    cov = cost_coverage(t["category_translation"], [t["supplier_costs"], t["storage_costs"],
-                                                   t["fulfillment_costs"], t["return_costs"]])
-    parts = [cov.select(F.lit("coverage").alias("k"), F.col("violations").alias("v"))]
-    for name, key in (("category_translation", "product_category_name_english"), ("supplier_costs", "category"),
-                      ("storage_costs", "category"), ("fulfillment_costs", "category"),
-                      ("return_costs", "category")):
-        capped = t[name].limit(max_rows + 1)
-        parts.append(capped.agg(F.count(F.lit(1)).alias("v")).select(F.lit(f"rows:{name}").alias("k"), "v"))
-        parts.append(capped.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("v"))
-                     .select(F.lit(f"dups:{name}").alias("k"), "v"))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return {r["k"]: int(r["v"]) for r in out.collect()}
+    """One job over the five category tables: row and duplicate-key counts
+    per table (to prove a size bound before broadcasting) and the number of
+    translated categories lacking a cost row (the Q6 gate; > 0 fails)."""
+    tables = (("category_translation", "product_category_name_english"), ("supplier_costs", "category"),
+              ("storage_costs", "category"), ("fulfillment_costs", "category"), ("return_costs", "category"))
+    keys = None
+    for name, key in tables:
+        part = t[name].select(F.lit(name).alias("tbl"), F.col(key).alias("k"))
+        keys = part if keys is None else keys.unionByName(part)
+    per_table = keys.groupBy("tbl").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("k").alias("distinct"))
+    stats = per_table.select(F.concat(F.lit("rows:"), "tbl").alias("key"), F.col("rows").alias("v")).unionByName(
+        per_table.select(F.concat(F.lit("dups:"), "tbl").alias("key"), (F.col("rows") - F.col("distinct")).alias("v")))
+    is_tr = F.col("tbl") == "category_translation"
+    per_cat = keys.where(F.col("k").isNotNull()).groupBy("k").agg(
+        F.max(is_tr).alias("translated"), F.count_distinct(F.when(~is_tr, F.col("tbl"))).alias("costs"))
+    cov = per_cat.agg(F.count_if(F.col("translated") & (F.col("costs") < len(tables) - 1)).alias("v")) \
+        .select(F.lit("coverage").alias("key"), "v")
+    out = {r["key"]: int(r["v"]) for r in stats.unionByName(cov).collect()}
+    for name, _ in tables:
+        out.setdefault(f"rows:{name}", 0)
+        out.setdefault(f"dups:{name}", 0)
+    return out

@@ -125,12 +125,12 @@ class Pipeline:
 
     @cached_property
     def sku_revenue(self) -> DataFrame:
-        return self._keep(features.sku_revenue(self.base), "sku_revenue")
+        return features.sku_revenue(self.base)
 
     @cached_property
     def sku_costs(self) -> DataFrame:
-        return self._keep(features.sku_costs(self.sku_revenue, self.product_category, self.dim_category,
-                                             self.params.broadcast_max_rows, self.small_dims), "sku_costs")
+        return features.sku_costs(self.sku_revenue, self.product_category, self.dim_category,
+                                  self.params.broadcast_max_rows, self.small_dims)
 
     @cached_property
     def sku_reviews(self) -> DataFrame:
@@ -211,7 +211,7 @@ class Pipeline:
     # ---- M (demand) ------------------------------------------------------------
     @cached_property
     def demand_features(self) -> DataFrame:
-        return self._keep(demand.demand_features(self.monthly_sku), "demand_features")
+        return demand.demand_features(self.monthly_sku)
 
     def history_coverage(self) -> DataFrame:
         return demand.history_coverage(self.monthly_sku)
@@ -223,11 +223,11 @@ class Pipeline:
     @cached_property
     def sku_series_filled(self) -> DataFrame:
         """M4 on the eligible SKUs (M3)."""
-        return self._keep(demand.gap_fill(demand.sku_series(self.monthly_sku, self.forecastable)), "sku_series")
+        return demand.gap_fill(demand.sku_series(self.monthly_sku, self.forecastable))
 
     @cached_property
     def category_series_filled(self) -> DataFrame:
-        return self._keep(demand.gap_fill(demand.category_series(self.monthly_sku)), "category_series")
+        return demand.gap_fill(demand.category_series(self.monthly_sku))
 
     def gap_filled_series(self) -> DataFrame:
         return self.sku_series_filled.unionByName(self.category_series_filled)

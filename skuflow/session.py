@@ -41,7 +41,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.extraJavaOptions", "-Dlog4j2.level=ERROR")
     )
     if event_log_dir:
-        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
