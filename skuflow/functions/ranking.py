@@ -3,10 +3,11 @@ the size-checked broadcast and the exact median used by the reports.
 
 An un-partitioned SQL window (``row_number() OVER (ORDER BY x)``) moves every
 row into one task. ``global_rank`` instead range-sorts the rows over all
-partitions, checkpoints the sorted rows (so a re-run after a lost executor sees
-the same partition layout), counts rows per partition (one small row per
+partitions, stores each row's position, counts rows per partition (one small row per
 partition) and adds the preceding partitions' count to each row's position
 inside its partition. Running totals work the same way with per-partition sums.
+The sorted rows and their positions are written once as parquet to the
+checkpoint folder (``spark.checkpoint.dir``) before the offsets are computed.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.session import ensure_checkpoint_dir
+from skuflow.session import materialize
 
 _ROW_BITS = 33                      # monotonically_increasing_id: partition id << 33 | row
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -33,10 +34,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int, known: bool | None = None) -
 
 
 def _sorted_with_position(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
     ordered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    # Reliable checkpoint: positions must not change if a partition is recomputed.
-    ordered = ordered.checkpoint(eager=True)
+    # Written once to the shared checkpoint folder: the positions are stored
+    # with the rows, so they cannot change if a partition is recomputed.
+    ordered = materialize(ordered, "ranked")
     return ordered.withColumn("_pid", F.shiftright("_mid", _ROW_BITS)) \
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_ROW_MASK)))
 
@@ -100,11 +101,14 @@ def modal_value(df: DataFrame, key: str, value: str, tie_rank: Column, name: str
     return counts.groupBy(key).agg(pick.alias(name))
 
 
-def exact_median(c: str) -> Column:
-    """percentile_cont(0.5) computed exactly on DECIMAL values: the mean of the
-    two middle values (two discrete percentiles, both partial-aggregated)."""
-    lo = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})")
-    hi = F.expr(f"percentile_disc(0.5000000001) WITHIN GROUP (ORDER BY {c})")
+def exact_median(c: str, scale: int = 2) -> Column:
+    """percentile_cont(0.5) computed exactly on values with ``scale`` decimal
+    places: the mean of the two middle values (two discrete percentiles, both
+    partial-aggregated). percentile_disc returns DOUBLE, so each middle value
+    is cast back to its exact decimal before the mean is taken."""
+    dec = f"decimal(38,{scale})"
+    lo = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})").cast(dec)
+    hi = F.expr(f"percentile_disc(0.5000000001) WITHIN GROUP (ORDER BY {c})").cast(dec)
     return (lo + hi) / 2
 
 

@@ -114,67 +114,95 @@ def _responses(grid: np.ndarray, horizon: int, m: int, seasonal: bool):
     return R, Phi
 
 
-def _fit(Y: np.ndarray, cut: np.ndarray, m: int, seasonal: bool, horizon: int):
-    """Fit each row of ``Y`` on its first ``cut`` values. Returns forecasts
-    (P, horizon) for the months after ``cut``, residual sigma (P,)."""
+_RESPONSES: dict[tuple[int, bool], tuple] = {}
+
+
+def _cached_responses(horizon: int, m: int, seasonal: bool):
+    """Data-free pieces, cached per Python worker: prediction responses R,
+    state responses Phi, and their running R'R and R sums. The recursion is
+    causal, so the longest horizon computed so far serves every shorter one."""
+    key = (m, seasonal)
+    hit = _RESPONSES.get(key)
+    if hit is None or hit[0] < horizon:
+        grid = weight_grid(seasonal)
+        R, Phi = _responses(grid, horizon, m, seasonal)
+        G, k = len(grid), R.shape[2]
+        rtr = np.concatenate([np.zeros((G, 1, k, k)), np.cumsum(np.einsum("gtk,gtj->gtkj", R, R), axis=1)], axis=1)
+        rsum = np.concatenate([np.zeros((G, 1, k)), np.cumsum(R, axis=1)], axis=1)
+        hit = (horizon, grid, R, Phi, rtr, rsum)
+        _RESPONSES[key] = hit
+    return hit[1:]
+
+
+def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon: int):
+    """Fit each row of ``Y`` once per cut set, on its first ``cut`` values; one
+    recursion over the data serves every cut set. Returns, per cut set,
+    forecasts (P, horizon) for the months after the cut and residual sigma (P,)."""
     P, Tm = Y.shape
-    grid = weight_grid(seasonal)
-    G = len(grid)
-    R, Phi = _responses(grid, Tm, m, seasonal)
-    k = R.shape[2]
-    rtr = np.concatenate([np.zeros((G, 1, k, k)), np.cumsum(np.einsum("gtk,gtj->gtkj", R, R), axis=1)], axis=1)
-    rsum = np.concatenate([np.zeros((G, 1, k)), np.cumsum(R, axis=1)], axis=1)
+    grid, R, Phi, rtr, rsum = _cached_responses(Tm, m, seasonal)
+    G, k = len(grid), R.shape[2]
+    R = R[:, :Tm]
     w = tuple(grid[:, i][None, :] for i in range(3))   # (1, G)
     ns = Phi.shape[2]
-    fc = np.zeros((P, horizon))
-    sd = np.zeros(P)
+    out = [(np.zeros((P, horizon)), np.zeros(P)) for _ in cuts]
+    steps = np.arange(Tm)
     for c0 in range(0, P, CHUNK):
         y = Y[c0:c0 + CHUNK]
-        cu = cut[c0:c0 + CHUNK]
         p = len(y)
+        cus = [c[c0:c0 + CHUNK] for c in cuts]
         st = np.zeros((p, G, ns))
         E = np.zeros((p, G, Tm))
-        snap = np.zeros((p, G, ns))
+        snaps = [np.zeros((p, G, ns)) for _ in cuts]
         for t in range(Tm):
             pred, st = _step(st, y[:, t][:, None], t, w, m, seasonal)
             E[:, :, t] = y[:, t][:, None] - pred
-            done = cu == t + 1
-            if done.any():
-                snap[done] = st[done]
-        E *= (np.arange(Tm)[None, None, :] < cu[:, None, None])
-        rte = np.einsum("gtk,pgt->pgk", R, E)
-        A = np.transpose(rtr[:, cu], (1, 0, 2, 3))                    # (p, G, k, k)
-        ridge = 1e-9 * (np.trace(A, axis1=2, axis2=3)[..., None, None] / k + 1.0) * np.eye(k)
-        x0 = np.linalg.solve(A + ridge, rte[..., None])[..., 0]      # (p, G, k)
-        ee = (E * E).sum(-1)
-        sse = ee - 2 * (x0 * rte).sum(-1) + np.einsum("pgk,pgkj,pgj->pg", x0, A, x0)
-        best = np.argmin(sse, axis=1)
+            for cu, snap in zip(cus, snaps):
+                done = cu == t + 1
+                if done.any():
+                    snap[done] = st[done]
         idx = np.arange(p)
-        xb = x0[idx, best]                                            # (p, k)
-        state = snap[idx, best] + np.einsum("psk,pk->ps", Phi[best, cu], xb)
-        for h in range(1, horizon + 1):
-            f = state[:, 0] + h * state[:, 1]
-            if seasonal:
-                f = f + state[idx, 2 + (cu + h - 1) % m]
-            fc[c0 + idx, h - 1] = f
-        n = cu.astype(float)
-        mean_e = (E[idx, best].sum(-1) - np.einsum("pk,pk->p", rsum[best, cu], xb)) / n
-        var = sse[idx, best] / n - mean_e ** 2
-        sd[c0 + idx] = np.sqrt(np.maximum(var, 0.0))
-    return fc, sd
-
-
-def _fit_groups(Y, cut, p: ForecastParams):
-    """Fit every (row, cut) with the shape its fitted length calls for."""
-    fc = np.zeros((len(Y), p.horizon))
-    sd = np.zeros(len(Y))
-    seasonal = cut >= p.seasonal_min_len
+        for (fc, sd), cu, snap in zip(out, cus, snaps):
+            Ec = E * (steps[None, None, :] < cu[:, None, None])
+            rte = np.einsum("gtk,pgt->pgk", R, Ec)
+            A = np.transpose(rtr[:, cu], (1, 0, 2, 3))                    # (p, G, k, k)
+            ridge = 1e-9 * (np.trace(A, axis1=2, axis2=3)[..., None, None] / k + 1.0) * np.eye(k)
+            x0 = np.linalg.solve(A + ridge, rte[..., None])[..., 0]      # (p, G, k)
+            ee = (Ec * Ec).sum(-1)
+            sse = ee - 2 * (x0 * rte).sum(-1) + np.einsum("pgk,pgkj,pgj->pg", x0, A, x0)
+            best = np.argmin(sse, axis=1)
+            xb = x0[idx, best]                                            # (p, k)
+            state = snap[idx, best] + np.einsum("psk,pk->ps", Phi[best, cu], xb)
+            for h in range(1, horizon + 1):
+                f = state[:, 0] + h * state[:, 1]
+                if seasonal:
+                    f = f + state[idx, 2 + (cu + h - 1) % m]
+                fc[c0 + idx, h - 1] = f
+            n = cu.astype(float)
+            mean_e = (Ec[idx, best].sum(-1) - np.einsum("pk,pk->p", rsum[best, cu], xb)) / n
+            var = sse[idx, best] / n - mean_e ** 2
+            sd[c0 + idx] = np.sqrt(np.maximum(var, 0.0))
+    return out
+
+
+def _fit_series(Y: np.ndarray, n: np.ndarray, p: ForecastParams):
+    """Backtest fit (all but the last ``holdout`` months) and full fit of each
+    series, each with the shape its own fitted length calls for."""
+    S = len(Y)
+    bt, full = np.zeros((S, p.horizon)), np.zeros((S, p.horizon))
+    sd_full = np.zeros(S)
+    cut_bt, cut_full = n - p.holdout, n
+    seas_bt, seas_full = cut_bt >= p.seasonal_min_len, cut_full >= p.seasonal_min_len
     for flag in (False, True):
-        sel = np.nonzero(seasonal == flag)[0]
-        if len(sel):
-            f, s = _fit(Y[sel], cut[sel], p.season_length, flag, p.horizon)
-            fc[sel], sd[sel] = f, s
-    return fc, sd, seasonal
+        rows = np.nonzero((seas_bt == flag) | (seas_full == flag))[0]
+        if not len(rows):
+            continue
+        (f_bt, _), (f_full, s_full) = _fit(Y[rows], [cut_bt[rows], cut_full[rows]],
+                                           p.season_length, flag, p.horizon)
+        a = seas_bt[rows] == flag
+        bt[rows[a]] = f_bt[a]
+        b = seas_full[rows] == flag
+        full[rows[b]], sd_full[rows[b]] = f_full[b], s_full[b]
+    return bt, full, sd_full, seas_full
 
 
 def fit_bucket(pdf: pd.DataFrame, p: ForecastParams, segments: bool) -> pd.DataFrame:
@@ -192,12 +220,8 @@ def fit_bucket(pdf: pd.DataFrame, p: ForecastParams, segments: bool) -> pd.DataF
     Y[kidx, pdf["t"].to_numpy()] = pdf["units"].to_numpy(dtype=float)
     n = meta["n"].to_numpy().astype(int)
     h = p.holdout
-    # backtest fits (train = all but the last h months) and full fits in one pass per shape
-    cuts = np.concatenate([n - h, n])
-    rows = np.concatenate([np.arange(S), np.arange(S)])
-    fc, sd, seasonal = _fit_groups(Y[rows], cuts, p)
-    bt, full = np.clip(fc[:S], 0, None), np.clip(fc[S:], 0, None)
-    sd_full = sd[S:]
+    bt, full, sd_full, seasonal = _fit_series(Y, n, p)
+    bt, full = np.clip(bt, 0, None), np.clip(full, 0, None)
     actual = Y[np.arange(S)[:, None], (n - h)[:, None] + np.arange(h)[None, :]]
     mae = np.abs(actual - bt[:, :h]).mean(axis=1)
     nz = actual != 0
@@ -206,7 +230,7 @@ def fit_bucket(pdf: pd.DataFrame, p: ForecastParams, segments: bool) -> pd.DataF
         mape = np.where(nz.sum(1) > 0, ratio.sum(1) / nz.sum(1) * 100.0, np.nan)
     lower = np.clip(full - p.z * sd_full[:, None], 0, None)
     upper = full + p.z * sd_full[:, None]
-    model = np.where(seasonal[S:], "HW-seasonal", "HW-trend")
+    model = np.where(seasonal, "HW-seasonal", "HW-trend")
     m0 = pd.to_datetime(meta["m0"].to_numpy())
     out = []
     for i in range(S):

@@ -160,7 +160,7 @@ def accuracy_by_volume(units: DataFrame, metrics: DataFrame, bins: int = VOLUME_
         .withColumn("bin_high", F.element_at("_e", F.col("bin") + 2))
     return binned.groupBy("bin", "bin_low", "bin_high").agg(
         F.count(F.lit(1)).alias("sku_count"),
-        exact_median("total_units").cast("decimal(20,1)").alias("median_units"),
+        exact_median("total_units", 0).cast("decimal(20,1)").alias("median_units"),
         F.round(exact_median("mape_pct"), 2).cast("decimal(18,2)").alias("median_mape"))
 
 

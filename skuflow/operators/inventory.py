@@ -323,8 +323,8 @@ def category_impact(decisions: DataFrame) -> DataFrame:
                     round_dec(F.col("l") + F.col("f") + F.col("p"), 2, 38).alias("total_opportunity_brl"))
 
 
-def _median_1dp(c: str) -> Column:
-    return F.round(exact_median(c), 1)
+def _median_1dp(c: str, scale: int = 2) -> Column:
+    return F.round(exact_median(c, scale), 1)
 
 
 def inventory_scorecard(decisions: DataFrame, forecasts: DataFrame, currency: str = "$") -> DataFrame:
@@ -344,7 +344,7 @@ def inventory_scorecard(decisions: DataFrame, forecasts: DataFrame, currency: st
     cat = forecasts.where(F.col("grain") == "category").groupBy("category").agg(
         round_half_up(as_double(F.sum("mape_pct")) / F.nullif(as_double(F.count("mape_pct")), F.lit(0.0)), 6)
         .alias("m"))
-    cm = cat.agg(_median_1dp("m").alias("mape_cat"))
+    cm = cat.agg(_median_1dp("m", 6).alias("mape_cat"))
     row = k.withColumn("_one", F.lit(1)).join(F.broadcast(cm.withColumn("_one", F.lit(1))), "_one")
     share = round_half_up(as_double("actionable") * 100.0 / F.nullif(as_double("skus"), F.lit(0.0)), 1)
     total = F.col("losses") + F.col("freed") + F.col("protected_")

@@ -20,7 +20,7 @@ from skuflow.functions.ranking import global_rank
 
 from skuflow.operators import clean, demand, features, forecast_reports, inventory, kpi, profit, quality, trust
 from skuflow.params import Params
-from skuflow.session import ensure_checkpoint_dir
+from skuflow.session import materialize
 from skuflow.sources import testdata
 
 
@@ -48,10 +48,7 @@ class Pipeline:
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if self.store == "parquet":
-            root = ensure_checkpoint_dir(self.spark)
-            path = f"{root.rstrip('/')}/skuflow-stages/{self._run_id}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
+            return materialize(df, f"{self._run_id}-{name}")
         if self.store == "memory":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(df)

@@ -24,6 +24,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: one job, lineage cut, survives the loss of any executor."""
+    import uuid
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/skuflow-stages/{uuid.uuid4().hex[:12]}-{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "16g", event_log_dir: str | None = None) -> SparkSession:
     builder = (
