@@ -27,8 +27,18 @@ UNKNOWN_PRODUCT_OFFSET = 1_000_000_000
 DIRTY_STATUS_MOD, DIRTY_TS_MOD, DIRTY_PRICE_MOD, DIRTY_WEIGHT_MOD, DIRTY_PRODUCT_MOD = 11, 97, 211, 41, 499
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one driver table. ``spread``: an input that arrives as fewer splits
+    than there are cores (a single-file, single-row-group parquet) is spread
+    round-robin first, so the derived columns are computed in parallel. Inputs
+    already split (the large-scale case) are left alone, and every join keeps
+    its own key exchange, which AQE can split when a key is hot."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def _status(key: Column, code: Column) -> Column:
@@ -81,12 +91,8 @@ def cost_tables(cats: DataFrame, dirty: bool = False) -> dict[str, DataFrame]:
 
 def load_tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[str, DataFrame]:
     """Return the nine raw base tables derived from the driver's parquet files."""
-    # Hash-partition the two fact tables on the order key as they are read:
-    # this is the exchange the item-order join needs anyway (Spark keeps the
-    # partitioning through the renaming projections below), and the derived
-    # columns are then computed in parallel even for single-file inputs.
-    orders_src = _read(spark, sf_dir, "orders").repartition("o_orderkey")
-    items_src = _read(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    orders_src = _read(spark, sf_dir, "orders", spread=True)
+    items_src = _read(spark, sf_dir, "lineitem", spread=True)
     part = _read(spark, sf_dir, "part")
 
     key = F.col("o_orderkey")
