@@ -359,3 +359,16 @@ class Pipeline:
 
     def category_bias(self) -> DataFrame:
         return forecast_reports.category_bias(self.monthly_sku, self.forecasts)
+
+    # ---- cleaned tables (C1-C4) --------------------------------------------------
+    def clean_orders(self) -> DataFrame:
+        return self.tables["orders"]
+
+    def clean_items(self) -> DataFrame:
+        return self.tables["order_items"]
+
+    def clean_products(self) -> DataFrame:
+        return self.tables["products"]
+
+    def clean_supplier_costs(self) -> DataFrame:
+        return self.tables["supplier_costs"]
