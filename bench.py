@@ -73,7 +73,7 @@ def main() -> None:
 
     # M5: Holt-Winters throughput on the gap-filled series (SKU + category grain).
     pipe = Pipeline.from_testdata(spark, sf_dir, forecaster="holt_winters")
-    filled = pipe.sku_series_filled.unionByName(pipe.category_series_filled)
+    filled = pipe.filled_series
     n_series = filled.where("n >= 6").select("grain", "grain_key").distinct().count()
     from skuflow.operators.forecast import holt_winters
     t0 = time.perf_counter()

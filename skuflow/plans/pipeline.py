@@ -217,17 +217,24 @@ class Pipeline:
     def forecastable(self) -> DataFrame:
         return demand.forecastable(self.demand_features, self.params.forecast)
 
+    @cached_property
+    def filled_series(self) -> DataFrame:
+        """M4 for both grains (eligible SKUs, M3, and all categories), materialised:
+        every forecaster, backtest and chart-data view reads it."""
+        sku = demand.sku_series(self.monthly_sku, self.forecastable)
+        return self._keep(demand.gap_fill(sku.unionByName(demand.category_series(self.monthly_sku))),
+                          "filled_series")
+
     @cached_property
     def sku_series_filled(self) -> DataFrame:
-        """M4 on the eligible SKUs (M3)."""
-        return demand.gap_fill(demand.sku_series(self.monthly_sku, self.forecastable))
+        return self.filled_series.where(F.col("grain") == "sku")
 
     @cached_property
     def category_series_filled(self) -> DataFrame:
-        return demand.gap_fill(demand.category_series(self.monthly_sku))
+        return self.filled_series.where(F.col("grain") == "category")
 
     def gap_filled_series(self) -> DataFrame:
-        return self.sku_series_filled.unionByName(self.category_series_filled)
+        return self.filled_series
 
     def baselines(self) -> DataFrame:
         return demand.baselines(self.sku_series_filled, self.params.forecast)
@@ -238,10 +245,9 @@ class Pipeline:
         p = self.params.forecast
         if self.forecaster == "holt_winters":
             from skuflow.operators import forecast
-            out = forecast.holt_winters(self.sku_series_filled.unionByName(self.category_series_filled), p)
+            out = forecast.holt_winters(self.filled_series, p)
         else:
-            out = demand.moving_average_forecast(self.sku_series_filled, p).unionByName(
-                demand.moving_average_forecast(self.category_series_filled, p))
+            out = demand.moving_average_forecast(self.filled_series, p)
         return self._keep(out, "forecasts")
 
     def forecast_table(self) -> DataFrame:
