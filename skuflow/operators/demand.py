@@ -51,10 +51,10 @@ def history_coverage(monthly: DataFrame, thresholds=(3, 4, 6, 8, 12)) -> DataFra
         F.count(F.lit(1)).alias("total_skus"), F.count_if(m == 1).alias("skus_1_month"),
         F.count_if(m <= 2).alias("skus_le_2_months"),
         *[F.count_if(m >= t).alias(f"skus_ge_{t}_months") for t in thresholds])
-    months = monthly.agg(F.count_distinct("order_month").alias("months_of_history"))
-    return sku_part.withColumn("_k", F.lit(1)).join(F.broadcast(months.withColumn("_k", F.lit(1))), "_k") \
-        .drop("_k").select("total_skus", "months_of_history", "skus_1_month", "skus_le_2_months",
-                           *[f"skus_ge_{t}_months" for t in thresholds])
+    months = monthly.agg(F.count_distinct("order_month")).scalar()
+    return sku_part.withColumn("months_of_history", months).select(
+        "total_skus", "months_of_history", "skus_1_month", "skus_le_2_months",
+        *[f"skus_ge_{t}_months" for t in thresholds])
 
 
 def forecastable(features: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:

@@ -54,8 +54,7 @@ def feature_sku(metrics: DataFrame) -> DataFrame:
         pick = F.floor(F.col(f"n{c}") / 3) + 1
         target = F.when(F.col(f"n{c}") >= 3, pick) if target is None else target.when(F.col(f"n{c}") >= 3, pick)
     target = target.when(F.col("n_all") >= 3, F.floor(F.col("n_all") / 3) + 1).otherwise(F.lit(1))
-    t = counts.select(target.cast("long").alias("_r"))
-    return ranked.join(F.broadcast(t), "_r").drop("_r")
+    return ranked.where(F.col("_r") == counts.select(target.cast("long")).scalar()).drop("_r")
 
 
 def moving_average_segments(filled: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:
@@ -125,8 +124,7 @@ def coverage_pareto(units: DataFrame, metrics: DataFrame) -> DataFrame:
         .select("product_id", "total_units", F.coalesce("_f", F.lit(False)).alias("forecasted"))
     ran = global_running(flagged, "total_units", [F.col("total_units").desc(), F.col("product_id").asc()],
                          "cum_units", "sku_rank")
-    tot = units.agg(F.sum("total_units").alias("_tot"))
-    ran = ran.withColumn("_one", F.lit(1)).join(F.broadcast(tot.withColumn("_one", F.lit(1))), "_one")
+    ran = ran.withColumn("_tot", units.agg(F.sum("total_units")).scalar())
     return ran.select("sku_rank", "product_id", "total_units",
                       round_half_up(as_double("cum_units") * 100.0 / as_double("_tot"), 4)
                       .alias("cumulative_units_pct"), "forecasted")
@@ -152,8 +150,8 @@ def accuracy_by_volume(units: DataFrame, metrics: DataFrame, bins: int = VOLUME_
         units.select(F.col("product_id").cast("string").alias("product_id"), "total_units"), "product_id")
     probs = [i / bins for i in range(bins + 1)]
     edges = df.agg(F.array_distinct(F.array_sort(F.percentile(as_double("total_units"), F.array(
-        *[F.lit(p) for p in probs])))).alias("_e"))
-    x = df.withColumn("_one", F.lit(1)).join(F.broadcast(edges.withColumn("_one", F.lit(1))), "_one")
+        *[F.lit(p) for p in probs]))))).scalar()
+    x = df.withColumn("_e", edges)
     upper = F.slice("_e", 2, F.size("_e"))
     binned = x.withColumn("bin", F.size(F.filter(upper, lambda e: e < as_double("total_units")))) \
         .withColumn("bin_low", F.element_at("_e", F.col("bin") + 1)) \
@@ -167,10 +165,9 @@ def accuracy_by_volume(units: DataFrame, metrics: DataFrame, bins: int = VOLUME_
 def category_bias(monthly: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Summed SKU forecasts vs units of the last three calendar months,
     per category (inner on both)."""
-    last = monthly.agg(F.max("order_month").alias("_max"))
-    cutoff = F.date_format(F.add_months(F.to_date(F.concat(F.col("_max"), F.lit("-01"))), -2), "yyyy-MM")
-    m = monthly.withColumn("_one", F.lit(1)).join(F.broadcast(last.withColumn("_one", F.lit(1))), "_one")
-    recent = m.where(F.col("order_month") >= cutoff).groupBy("category").agg(
+    last = monthly.agg(F.max("order_month")).scalar()
+    cutoff = F.date_format(F.add_months(F.to_date(F.concat(last, F.lit("-01"))), -2), "yyyy-MM")
+    recent = monthly.where(F.col("order_month") >= cutoff).groupBy("category").agg(
         F.sum("units_sold").cast("long").alias("recent_actual"))
     fwd = forecasts.where(F.col("grain") == "sku").groupBy("category").agg(
         F.sum("predicted_units").cast("decimal(38,2)").alias("forward_forecast"))

@@ -344,8 +344,7 @@ def inventory_scorecard(decisions: DataFrame, forecasts: DataFrame, currency: st
     cat = forecasts.where(F.col("grain") == "category").groupBy("category").agg(
         round_half_up(as_double(F.sum("mape_pct")) / F.nullif(as_double(F.count("mape_pct")), F.lit(0.0)), 6)
         .alias("m"))
-    cm = cat.agg(_median_1dp("m", 6).alias("mape_cat"))
-    row = k.withColumn("_one", F.lit(1)).join(F.broadcast(cm.withColumn("_one", F.lit(1))), "_one")
+    row = k.withColumn("mape_cat", cat.agg(_median_1dp("m", 6)).scalar())
     share = round_half_up(as_double("actionable") * 100.0 / F.nullif(as_double("skus"), F.lit(0.0)), 1)
     total = F.col("losses") + F.col("freed") + F.col("protected_")
 

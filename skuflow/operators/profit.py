@@ -29,16 +29,6 @@ SCENARIOS: list[tuple[str, dict[str, Decimal]]] = [
 ]
 
 
-def _with_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("_one", F.lit(1))
-
-
-def _join_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row (equi-join on a constant key;
-    the one-row side is broadcast)."""
-    return _with_key(df).join(F.broadcast(_with_key(totals)), "_one").drop("_one")
-
-
 def class_impact(classified: DataFrame) -> DataFrame:
     """One conditional-aggregation pass, then three fixed rows. A class
     with no SKU still has its row (count 0, NULL sums)."""
@@ -74,8 +64,10 @@ def profit_pareto(profitability: DataFrame, currency: str = "$") -> DataFrame:
     pos = profitability.where(F.col("net_profit") > 0).select("product_id", "category", "net_profit")
     ranked = global_rank(pos, [F.col("net_profit").desc(), F.col("product_id").asc_nulls_last()], "profit_rank")
     running = running_by_peers(pos, "net_profit", "net_profit", True, "running_profit")
-    totals = pos.agg(F.sum("net_profit").alias("total_profit"), F.count(F.lit(1)).alias("total_skus"))
-    df = _join_totals(ranked.join(running, "net_profit"), totals)
+    # Totals are scalar subqueries: computed once, no join.
+    total_profit = pos.agg(F.sum("net_profit")).scalar()
+    total_skus = pos.agg(F.count(F.lit(1))).scalar()
+    df = ranked.join(running, "net_profit").withColumns({"total_profit": total_profit, "total_skus": total_skus})
     return df.select(
         "profit_rank", "product_id", "category",
         money("net_profit", currency).alias("net_profit"),
@@ -107,13 +99,13 @@ def middle_month(month_col: str = "order_month") -> tuple[Column, Column]:
     return F.min(month_col).alias("_min_m"), F.max(month_col).alias("_max_m")
 
 
-def split_month_of(df: DataFrame) -> DataFrame:
-    """One row: the month halfway between the first and last month of ``df``."""
+def split_month_of(df: DataFrame) -> Column:
+    """Scalar subquery: the month halfway between the first and last month of ``df``."""
     first = F.to_date(F.concat(F.col("_min_m"), F.lit("-01")))
     last = F.to_date(F.concat(F.col("_max_m"), F.lit("-01")))
     span = F.months_between(last, first).cast("int")
     return df.agg(*middle_month()).select(
-        F.date_format(F.add_months(first, F.floor(span / 2).cast("int")), "yyyy-MM").alias("_split"))
+        F.date_format(F.add_months(first, F.floor(span / 2).cast("int")), "yyyy-MM").alias("_split")).scalar()
 
 
 def category_margin_drift(base: DataFrame, product_cat: DataFrame, categories: DataFrame,
@@ -125,8 +117,7 @@ def category_margin_drift(base: DataFrame, product_cat: DataFrame, categories: D
     rows = base.where(F.col("order_month").isNotNull()).select("product_id", "order_month", "revenue", "freight") \
         .join(product_cat, "product_id").join(bounded_broadcast(categories.select("category", "cogs_rate"), max_rows, small), "category")
     if split_month is None:
-        rows = _join_totals(rows, split_month_of(base.where(F.col("order_month").isNotNull())))
-        split = F.col("_split")
+        split = split_month_of(base.where(F.col("order_month").isNotNull()))
     else:
         split = F.lit(split_month)
     first = F.col("order_month") <= split

@@ -129,10 +129,13 @@ def confidence_scorecard(forecasts: DataFrame, decisions: DataFrame, currency: s
               F.round(exact_median("mape_pct"), 1).alias("med_all"), *band_aggs)
     o = decisions.withColumn("_opp", opportunity()).groupBy("confidence").agg(
         round_dec(F.sum("_opp"), 2, 38).alias("opp"))
-    oa = o.agg(F.sum("opp").alias("total_opp"),
+    oa_cols = [F.sum("opp").alias("total_opp"),
                *[F.sum(F.when(c == key, F.col("opp"))).alias(f"opp_{key}") for key, _ in BANDS],
-               *[F.count_if(c == key).alias(f"has_opp_{key}") for key, _ in BANDS])
-    row = b.withColumn("_one", F.lit(1)).join(F.broadcast(oa.withColumn("_one", F.lit(1))), "_one")
+               *[F.count_if(c == key).alias(f"has_opp_{key}") for key, _ in BANDS]]
+    # one scalar subquery returning a struct: computed once, no join
+    packed = o.agg(F.struct(*oa_cols).alias("s")).scalar()
+    names = ["total_opp"] + [f"opp_{k}" for k, _ in BANDS] + [f"has_opp_{k}" for k, _ in BANDS]
+    row = b.withColumns({n: packed.getField(n) for n in names})
     metrics = []
     sort = 1
     for key, title in BANDS:
