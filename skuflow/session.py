@@ -8,20 +8,33 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when unset (local runs,
-    tests) fall back to a fresh temporary folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    tests) fall back to a fresh temporary folder. Works without a
+    SparkContext handle too (e.g. a Spark Connect session)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no JVM context handle on this session type
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        if configured:
+            sc.setCheckpointDir(configured)
+            return configured
     if configured:
-        sc.setCheckpointDir(configured)
         return configured
-    local = tempfile.mkdtemp(prefix="skuflow-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    key = id(spark)
+    if key not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="skuflow-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(_LOCAL_FALLBACK[key])
+    return _LOCAL_FALLBACK[key]
 
 
 def materialize(df, name: str = "stage"):
@@ -32,7 +45,7 @@ def materialize(df, name: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/skuflow-stages/{uuid.uuid4().hex[:12]}-{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
