@@ -134,7 +134,7 @@ def _cached_responses(horizon: int, m: int, seasonal: bool):
     return hit[1:]
 
 
-def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon: int):
+def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon: int, refine: bool = True):
     """Fit each row of ``Y`` once per cut set, on its first ``cut`` values; one
     recursion over the data serves every cut set. Returns, per cut set,
     forecasts (P, horizon) for the months after the cut and residual sigma (P,)."""
@@ -181,9 +181,87 @@ def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon:
             mean_e = (Ec[idx, best].sum(-1) - np.einsum("pk,pk->p", rsum[best, cu], xb)) / n
             var = sse[idx, best] / n - mean_e ** 2
             sd[c0 + idx] = np.sqrt(np.maximum(var, 0.0))
+            if refine:
+                # one local step around each row's best grid point; keep it only where it lowers the SSE
+                f2, s2, sse2 = _fit_local(y, cu, _neighbours(grid[best], seasonal), m, seasonal, horizon)
+                better = sse2 < sse[idx, best] - 1e-9 * (1.0 + np.abs(sse[idx, best]))
+                fc[c0 + idx[better]] = f2[better]
+                sd[c0 + idx[better]] = s2[better]
     return out
 
 
+# Half-widths of the local refinement around the best grid point.
+REFINE_STEPS = (0.05, 0.02, 0.05)
+
+
+def _neighbours(w: np.ndarray, seasonal: bool) -> np.ndarray:
+    """(p, 3) best weights -> (p, L, 3) candidates around them (the point itself
+    included), kept inside 0 < alpha < 1, 0 <= beta <= alpha, 0 <= gamma <= 1 - alpha."""
+    da, db, dg = REFINE_STEPS
+    offs = [(i, j, l) for i in (-1, 0, 1) for j in (-1, 0, 1) for l in ((-1, 0, 1) if seasonal else (0,))]
+    o = np.array(offs, dtype=float)
+    a = np.clip(w[:, None, 0] + o[None, :, 0] * da, 0.01, 0.99)
+    b = np.clip(w[:, None, 1] + o[None, :, 1] * db, 0.0, None)
+    b = np.minimum(b, a)
+    g = np.clip(w[:, None, 2] + o[None, :, 2] * dg, 0.0, None) if seasonal else np.zeros_like(a)
+    g = np.minimum(g, 1 - a)
+    return np.stack([a, b, g], axis=-1)
+
+
+def _fit_local(y: np.ndarray, cu: np.ndarray, W: np.ndarray, m: int, seasonal: bool, horizon: int):
+    """Fit each row of ``y`` on its first ``cu`` values for each of its own
+    weight candidates ``W`` (p, L, 3); returns the best candidate's forecast
+    (p, horizon), residual sigma (p,) and SSE (p,)."""
+    p, Tm = y.shape
+    x = _basis(m, seasonal)
+    ns, k = x.shape
+    a, b, g = W[..., 0], W[..., 1], W[..., 2]
+    wh = (a[..., None], b[..., None], g[..., None])
+    wd = (a, b, g)
+    hs = np.broadcast_to(x.T, (p, W.shape[1], k, ns)).copy()
+    ds = np.zeros((p, W.shape[1], ns))
+    A = np.zeros((p, W.shape[1], k, k))
+    rs = np.zeros((p, W.shape[1], k))
+    rte = np.zeros((p, W.shape[1], k))
+    ee = np.zeros((p, W.shape[1]))
+    se = np.zeros((p, W.shape[1]))
+    phi = np.zeros_like(hs)
+    dsnap = np.zeros_like(ds)
+    for t in range(int(cu.max())):
+        pr_h, hs_n = _step(hs, 0.0, t, wh, m, seasonal)
+        pr_d, ds_n = _step(ds, y[:, t][:, None], t, wd, m, seasonal)
+        live = (t < cu)[:, None]
+        e = np.where(live, y[:, t][:, None] - pr_d, 0.0)
+        R = np.where(live[..., None], pr_h, 0.0)
+        A += R[..., :, None] * R[..., None, :]
+        rs += R
+        rte += R * e[..., None]
+        ee += e * e
+        se += e
+        hs, ds = hs_n, ds_n
+        done = cu == t + 1
+        if done.any():
+            phi[done] = hs[done]
+            dsnap[done] = ds[done]
+    ridge = 1e-9 * (np.trace(A, axis1=2, axis2=3)[..., None, None] / k + 1.0) * np.eye(k)
+    x0 = np.linalg.solve(A + ridge, rte[..., None])[..., 0]
+    sse = ee - 2 * (x0 * rte).sum(-1) + np.einsum("plk,plkj,plj->pl", x0, A, x0)
+    best = np.argmin(sse, axis=1)
+    idx = np.arange(p)
+    xb = x0[idx, best]
+    state = dsnap[idx, best] + np.einsum("pks,pk->ps", phi[idx, best], xb)
+    fc = np.zeros((p, horizon))
+    for h in range(1, horizon + 1):
+        f = state[:, 0] + h * state[:, 1]
+        if seasonal:
+            f = f + state[idx, 2 + (cu + h - 1) % m]
+        fc[:, h - 1] = f
+    n = cu.astype(float)
+    mean_e = (se[idx, best] - np.einsum("pk,pk->p", rs[idx, best], xb)) / n
+    var = sse[idx, best] / n - mean_e ** 2
+    return fc, np.sqrt(np.maximum(var, 0.0)), sse[idx, best]
+
+
 def _fit_series(Y: np.ndarray, n: np.ndarray, p: ForecastParams):
     """Backtest fit (all but the last ``holdout`` months) and full fit of each
     series, each with the shape its own fitted length calls for."""
