@@ -14,7 +14,8 @@ from conftest import SF_SMALL
 FAST = ["f5_sku_revenue", "f6_sku_costs", "f7b_sku_profitability", "f8_monthly_sku", "p2_profit_pareto",
         "p4_category_margin_drift", "p8_stress_summary", "k6_worst_rated", "m1_demand_features",
         "ma_forecast_table", "d1_sku_decisions", "d13_verdict_impact", "k2_inventory_scorecard",
-        "v4_confidence_scorecard", "v5_confidence_coverage", "m21_accuracy_by_volume", "q8_q9_key_report"]
+        "v4_confidence_scorecard", "v5_confidence_coverage", "m21_accuracy_by_volume", "q8_q9_key_report",
+        "c_clean_items_dirty", "q7_quality_report_dirty"]
 ALL = os.environ.get("SKUFLOW_ALL_ORACLE") == "1"
 
 
