@@ -344,7 +344,20 @@ def _bucketed(filled: DataFrame, series_per_bucket: int) -> DataFrame:
     return filled.withColumn("_bucket", F.pmod(F.xxhash64("grain", "grain_key"), F.lit(buckets)))
 
 
+def _ship_code() -> None:
+    """Pickle this package's functions by value, so Python workers that cannot
+    import ``skuflow`` (another working directory, a cluster node) still run
+    the group function."""
+    try:
+        from pyspark import cloudpickle
+        import skuflow
+        cloudpickle.register_pickle_by_value(skuflow)
+    except (ImportError, AttributeError, ValueError):  # older cloudpickle or already registered
+        pass
+
+
 def _run(filled: DataFrame, p: ForecastParams, segments: bool, series_per_bucket: int) -> DataFrame:
+    _ship_code()
     src = _bucketed(filled.where(F.col("n") >= p.min_len), series_per_bucket) \
         .select("_bucket", "grain", "grain_key", "category", "month", "units", "t", "n")
     return src.groupBy("_bucket").applyInPandas(lambda pdf: fit_bucket(pdf, p, segments), FIT_SCHEMA)
