@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from skuflow.llm.ann import op8_nearest
+from skuflow.llm.fingerprints import op4_fingerprints
 from skuflow.llm.mixing import op10_mix_sources
 from skuflow.llm.records import op9_token_records
 from skuflow.llm.url_filter import ORACLE_OP7, op7_url_filter
 
 QUERIES = {
+    "op4_fingerprints": op4_fingerprints,
     "op7_url_filter": op7_url_filter,
+    "op8_nearest": op8_nearest,
     "op9_token_records": op9_token_records,
     "op10_mix_sources": op10_mix_sources,
 }
