@@ -5,6 +5,7 @@ from __future__ import annotations
 from skuflow.llm.ann import op8_nearest
 from skuflow.llm.fingerprints import op4_fingerprints
 from skuflow.llm.mixing import op10_mix_sources
+from skuflow.llm.near_dup import ORACLE_OP6, op6_near_duplicates
 from skuflow.llm.pii import ORACLE_OP5, op5_pii
 from skuflow.llm.records import op9_token_records
 from skuflow.llm.toxicity import op1_toxicity
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_fingerprints": op4_fingerprints,
     "op5_pii": op5_pii,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filter": op7_url_filter,
     "op8_nearest": op8_nearest,
     "op9_token_records": op9_token_records,
@@ -22,5 +24,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op5_pii": ORACLE_OP5,
+    "op6_near_duplicates": ORACLE_OP6,
     "op7_url_filter": ORACLE_OP7,
 }
