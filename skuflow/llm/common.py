@@ -11,6 +11,8 @@ Conventions of the subpackage:
 from __future__ import annotations
 
 import math
+import sys
+import types
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,5 +48,10 @@ def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     return max(least, math.ceil(size / bytes_each))
 
 
+def worker_store() -> dict:
+    """A dictionary that lives as long as the Python worker, over all its tasks."""
+    return sys.modules.setdefault("_skuflow_worker", types.ModuleType("_skuflow_worker")).__dict__
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")

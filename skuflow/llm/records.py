@@ -18,8 +18,8 @@ lost executor leaves no partial file behind and any Hadoop store will do.
 They are read with the ``binaryFile`` source; every checksum is verified.
 
 Text -> ids: the ``tokenizers`` library encodes each distinct chunk between
-spaces, tabs and line ends once per worker (a bounded table, refilled when
-full); a text's ids are its chunks' ids joined. That equals encoding the whole
+spaces, tabs and line ends once per worker (a bounded table that outlives the
+task; what it cannot hold is encoded each time); a text's ids are its chunks' ids joined. That equals encoding the whole
 text because this vocabulary's pre-tokenizer drops white space and no piece or
 composition crosses it (tested). Texts are taken whole.
 
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,12 +46,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import partitions_for, table, text_of
+from skuflow.llm.common import partitions_for, table, text_of, worker_store
 from skuflow.session import ensure_checkpoint_dir
 
 END_ID = 1
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 800_000
 LONGEST_CACHED = 64
+TYPECODES = {2: "H", 4: "I"}  # native order, which is little-endian wherever this runs
 _HEAD = "<II"  # length, its checksum
 _ROW = "<BqB"  # flags, doc_id, bytes per id
 
@@ -84,47 +86,62 @@ def frames(data: bytes | memoryview) -> Iterator[tuple[int, int, int | None, np.
         at = end
 
 
-def chunk_encoder(path: str, width: int, cache_chunks: int = CACHE_CHUNKS):
-    """A function texts -> bytes of ids for each text."""
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tok, known = Tokenizer.from_file(path), {}
-    kind = "<u2" if width == 2 else "<u4"
-    blank = str.maketrans("\n\t\r", "   ")
-
-    def ids_of(chunks: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype=kind).tobytes() for e in tok.encode_batch(chunks, add_special_tokens=False)]
-
-    def run(texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 256):
-            split = [t.translate(blank).split(" ") for t in texts[at:at + 256]]
-            new = set().union(*split).difference(known)
-            if len(known) + len(new) > cache_chunks:
-                known.clear()
-                new = set().union(*split)
-            long = [c for c in new if len(c) > LONGEST_CACHED]
-            new = [c for c in new if len(c) <= LONGEST_CACHED]
-            known.update(zip(new, ids_of(new)))
-            extra = dict(zip(long, ids_of(long)))
-            for chunks in split:
-                if extra:
-                    yield b"".join([known[c] if c in known else extra[c] for c in chunks])
-                else:
-                    yield b"".join(map(known.__getitem__, chunks))
-    return run
+class ChunkIds(dict):
+    """Chunk of text without white space -> bytes of its ids; filled on demand, up to ``CACHE_CHUNKS`` chunks.
+
+    A chunk of letters below U+0250 (which no normalisation but lower-casing
+    changes) is one pre-token, so it goes to the library's BPE model at once;
+    a punctuation mark behind such a letter is a pre-token of its own. All
+    other chunks take the library's whole path.
+    """
+
+    def __init__(self, path: str, width: int):
+        import os
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+        self.tok, self.width = Tokenizer.from_file(path), width
+        self.model = self.tok.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x250) if chr(c).isalpha()}
+
+    def _bytes(self, ids) -> bytes:
+        return array(TYPECODES[self.width], ids).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        plain = len(chunk) > 0 and max(chunk) < "\u0250" and "\u0130" not in chunk
+        if plain and len(chunk) > 1 and chunk[-1] in ".,;:!?" and chunk[-2].isalpha():
+            out = self[chunk[:-1]] + self[chunk[-1]]
+        elif plain and chunk.isalpha():
+            low = chunk.lower()
+            if low != chunk:
+                out = self[low]
+            else:
+                word = low if low.isascii() else low.translate(self.letters)
+                out = self._bytes([t.id for t in self.model.tokenize(word)])
+        else:
+            out = self._bytes(self.tok.encode(chunk, add_special_tokens=False).ids)
+        if len(self) < CACHE_CHUNKS and len(chunk) <= LONGEST_CACHED:
+            self[chunk] = out
+        return out
+
+    def encode(self, text: str) -> bytes:
+        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.__getitem__, chunks))
 
 
 def _framer(path: str, width: int, end_id: int):
     end = end_id.to_bytes(width, "little")
 
     def run(batches):
-        encode = chunk_encoder(path, width)
+        store = worker_store()
+        if ("chunks", path, width) not in store:
+            store["chunks", path, width] = ChunkIds(path, width)
+        known = store["chunks", path, width]
         for batch in batches:
             ids, out, held = batch.column(0).to_pylist(), [], 0
-            for doc_id, own in zip(ids, encode(batch.column(1).to_pylist())):
-                out.append(frame(doc_id, own + end, width))
+            for doc_id, text in zip(ids, batch.column(1)):
+                out.append(frame(doc_id, known.encode(text.as_py()) + end, width))
                 held += len(out[-1])
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
