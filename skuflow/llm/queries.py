@@ -8,11 +8,13 @@ from skuflow.llm.mixing import op10_mix_sources
 from skuflow.llm.near_dup import ORACLE_OP6, op6_near_duplicates
 from skuflow.llm.pii import ORACLE_OP5, op5_pii
 from skuflow.llm.records import op9_token_records
+from skuflow.llm.repeats import ORACLE_OP2, op2_repeats
 from skuflow.llm.toxicity import op1_toxicity
 from skuflow.llm.url_filter import ORACLE_OP7, op7_url_filter
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_repeats": op2_repeats,
     "op4_fingerprints": op4_fingerprints,
     "op5_pii": op5_pii,
     "op6_near_duplicates": op6_near_duplicates,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_repeats": ORACLE_OP2,
     "op5_pii": ORACLE_OP5,
     "op6_near_duplicates": ORACLE_OP6,
     "op7_url_filter": ORACLE_OP7,
