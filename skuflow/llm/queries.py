@@ -6,6 +6,7 @@ from skuflow.llm.ann import op8_nearest
 from skuflow.llm.fingerprints import op4_fingerprints
 from skuflow.llm.mixing import op10_mix_sources
 from skuflow.llm.near_dup import ORACLE_OP6, op6_near_duplicates
+from skuflow.llm.pieces import op3_pieces
 from skuflow.llm.pii import ORACLE_OP5, op5_pii
 from skuflow.llm.records import op9_token_records
 from skuflow.llm.repeats import ORACLE_OP2, op2_repeats
@@ -15,6 +16,7 @@ from skuflow.llm.url_filter import ORACLE_OP7, op7_url_filter
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_repeats": op2_repeats,
+    "op3_pieces": op3_pieces,
     "op4_fingerprints": op4_fingerprints,
     "op5_pii": op5_pii,
     "op6_near_duplicates": op6_near_duplicates,
