@@ -29,7 +29,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -102,7 +102,7 @@ def _quotas(block: int, cap: int):
 
 def _choose(block: int, seed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "doc_id", "size"], kind="stable")
+        pdf = pdf.sort_values(["h", "doc_id", "size", "tag"], kind="stable")
         size = pdf["size"].to_numpy(np.int64)
         end = np.cumsum(size)
         start = end - size
@@ -124,17 +124,18 @@ def _choose(block: int, seed: int):
             runs.append([x for r in own_runs for x in r])
         return pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "size": size,
                              "source_size": pdf["source_size"], "target": pdf["target"],
-                             "taken": upto(end) - upto(start), "runs": runs})
+                             "taken": upto(end) - upto(start), "runs": runs, "tag": pdf["tag"]})
     return run
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, block: int = BLOCK,
-                seed: int = 17, shard_words: int = SHARD_WORDS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+                seed: int = 17, shard_words: int = SHARD_WORDS, shard_rows: int = SHARD_ROWS, tag: Column | None = None) -> DataFrame:
     """``docs`` (doc_id, text, source) -> one row per document: doc_id, source, size,
     source_size, target (its source's), taken (words the mix takes), runs (flat
-    triples: first word, end word exclusive, times taken)."""
+    triples: first word, end word exclusive, times taken), and the text column ``tag``
+    (null by default) as given, to tell rows with one id apart."""
     slim = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                                   word_count(text_of()).alias("size")), "mix-sizes")
+                                   word_count(text_of()).alias("size"), (F.lit(None) if tag is None else tag).cast("string").alias("tag")), "mix-sizes")
     total = slim.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("w"), F.count(F.lit(1)).alias("n")).first()
     shards = max(1, math.ceil(total["w"] / shard_words), math.ceil(total["n"] / shard_rows))
     targets = source_targets(slim, weights, share, cap)
@@ -149,7 +150,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int
     per_doc = cut.join(quotas, ["shard", "skey"]).join(goal, "skey")
     return per_doc.groupBy("shard", "skey").applyInPandas(
         _choose(block, seed),
-        "doc_id long, source string, size long, source_size long, target double, taken long, runs array<long>")
+        "doc_id long, source string, size long, source_size long, target double, taken long, runs array<long>, tag string")
 
 
 def op10_mix_sources(spark, sf_dir):
