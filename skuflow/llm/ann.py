@@ -151,7 +151,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, trees: int = TREES, depth
     n = classes.count()
     drawn = classes.orderBy(F.xxhash64(F.lit(seed), "class_id"), "class_id").limit(sample).select("v").collect()
     rng = np.random.default_rng(seed)
-    points = np.array([r["v"] for r in drawn], dtype=np.float64).reshape(len(drawn), -1)
+    points = np.array([r["v"] for r in drawn], dtype=np.float64)
     forest = [Tree(points, depth, rng) for _ in range(trees)] if len(points) else []
 
     asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v").join(classes, "v").select("query_id", "class_id")

@@ -66,8 +66,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     per = (per.withColumn("most", most).withColumn("level", F.col("most") / F.col("weight"))
            .withColumn("total", F.sum("source_size").over(everyone) * F.lit(float(share)))
            .withColumn("flat", (F.col("total") - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
-                       / F.sum("weight").over(onward)))
-    first = F.min(F.when(F.col("flat") <= F.col("level"), F.struct("level", "flat"))).over(everyone)["flat"]
+                       / F.sum("weight").over(onward)).withColumn("place", F.row_number().over(by_level)))
+    first = F.min(F.when(F.col("flat") <= F.col("level"), F.struct("place", "flat"))).over(everyone)["flat"]
     target = F.least(F.col("most"), F.col("weight") * F.coalesce(first, F.lit(math.inf)))
     return per.select("source", "source_size", "weight", target.alias("target"))
 

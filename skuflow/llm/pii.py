@@ -168,11 +168,12 @@ def redacted(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """``docs`` with the confirmed spans scoring at least ``least_score`` masked in
     ``text`` and ``n_chars`` (where there is one) set anew; a null text stays null."""
-    own = with_spans(docs).withColumn("__use", F.filter("__spans", lambda x: x["score"] >= least_score))
+    clash = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+    own = with_spans(docs.withColumnsRenamed(clash)).withColumn("__use", F.filter("__spans", lambda x: x["score"] >= least_score))
     new = own.withColumn("text", F.when(F.size("__use") > 0, redacted(F.col("text"), F.col("__use"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.when(F.size("__use") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return new.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return new.select(*[F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def _ranked(i: int):
