@@ -20,12 +20,12 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = {
-    "f6_sku_costs": ("sku_costs", {}),
-    "f7b_sku_profitability": ("sku_profitability", {}),
-    "p2_profit_pareto": ("profit_pareto", {}),
-    "d1_sku_decisions": ("sku_decisions", {}),
-    "k2_inventory_scorecard": ("inventory_scorecard", {}),
-    "v4_confidence_scorecard": ("confidence_scorecard", {}),
+    "f6_sku_costs": ("sku_costs", {"forecaster": "moving_average"}),
+    "f7b_sku_profitability": ("sku_profitability", {"forecaster": "moving_average"}),
+    "p2_profit_pareto": ("profit_pareto", {"forecaster": "moving_average"}),
+    "d1_sku_decisions": ("sku_decisions", {"forecaster": "moving_average"}),
+    "k2_inventory_scorecard": ("inventory_scorecard", {"forecaster": "moving_average"}),
+    "v4_confidence_scorecard": ("confidence_scorecard", {"forecaster": "moving_average"}),
     "d1_sku_decisions_hw": ("sku_decisions", {"forecaster": "holt_winters"}),
 }
 

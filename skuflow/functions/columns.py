@@ -2,9 +2,12 @@
 
 All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
-Rounding rule: sums stay DECIMAL (exact, order-free). A ratio is computed in
-DOUBLE and rounded half away from zero with ``sign(x)*floor(|x|*10^n+0.5)/10^n``,
-then stored as DECIMAL(18, n) so every later sum or product is exact again.
+Rounding rule: sums stay DECIMAL (exact, order-free). A ratio of two exact
+numbers whose reference type is numeric (unit cost and price, averages of
+stored figures) is divided in whole numbers and rounded half away from zero
+exactly (`exact_div`). Other ratios are computed in DOUBLE and rounded with
+``sign(x)*floor(|x|*10^n+0.5)/10^n``. Both are stored as DECIMAL(18, n) so
+every later sum or product is exact again.
 """
 
 from __future__ import annotations
@@ -42,9 +45,22 @@ def round_dec(c: Column | str, n: int = 2, precision: int = 18) -> Column:
     return F.round(col(c), n).cast(f"decimal({precision},{n})")
 
 
-def ratio(num: Column | str, den: Column | str) -> Column:
-    """num / NULLIF(den, 0) in DOUBLE."""
-    return as_double(num) / F.nullif(as_double(den), F.lit(0.0))
+def exact_div(num: Column | str, den: Column | str, n: int = 2, scale: int = 2) -> Column:
+    """num / NULLIF(den, 0) rounded half away from zero to ``n`` places without any
+    binary or intermediate rounding, as DECIMAL(18, n). ``num`` has at most
+    ``scale`` decimal places, ``den`` is a whole number."""
+    whole = "decimal(38,0)"
+    top = (col(num).cast(f"decimal(38,{scale})") * F.lit(10 ** max(scale, n)).cast(f"decimal({max(scale, n) + 1},0)")).cast(whole)
+    bottom = col(den).cast(whole) * F.lit(10 ** max(scale - n, 0)).cast(f"decimal({max(scale - n, 0) + 1},0)")
+    x = (F.abs(top) * 2 + F.abs(bottom)).cast(whole)
+    y = F.nullif((F.abs(bottom) * 2).cast(whole), F.lit(0).cast(whole))
+    q = ((x - x % y) / y).cast(whole) * F.signum(top).cast("int") * F.signum(bottom).cast("int")
+    return (q.cast(f"decimal(38,{n})") / F.lit(10 ** n)).cast(f"decimal(18,{n})")
+
+
+def exact_avg(c: Column | str, n: int = 2, scale: int = 2) -> Column:
+    """AVG of a decimal column with ``scale`` places, rounded exactly."""
+    return exact_div(F.sum(col(c)), F.count(col(c)), n, scale)
 
 
 def safe_pct(num: Column | str, den: Column | str, n: int = 2) -> Column:

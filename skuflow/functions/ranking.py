@@ -103,12 +103,12 @@ def modal_value(df: DataFrame, key: str, value: str, tie_rank: Column, name: str
 
 def exact_median(c: str, scale: int = 2) -> Column:
     """percentile_cont(0.5) computed exactly on values with ``scale`` decimal
-    places: the mean of the two middle values (two discrete percentiles, both
-    partial-aggregated). percentile_disc returns DOUBLE, so each middle value
+    places: the mean of the two middle values (the discrete median from either
+    end, both partial-aggregated). percentile_disc returns DOUBLE, so each middle value
     is cast back to its exact decimal before the mean is taken."""
     dec = f"decimal(38,{scale})"
     lo = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})").cast(dec)
-    hi = F.expr(f"percentile_disc(0.5000000001) WITHIN GROUP (ORDER BY {c})").cast(dec)
+    hi = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c} DESC)").cast(dec)
     return (lo + hi) / 2
 
 

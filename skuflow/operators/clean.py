@@ -40,15 +40,15 @@ def normalise_keys(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def blank_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """Exact '' -> NULL, then parse text timestamps (unparseable -> NULL)
-    as zone-less timestamps (the text carries no zone, so the wall-clock value
-    is kept whatever the session time zone). Typed columns pass through."""
+    straight to zone-less timestamps (the text carries no zone, so the wall-clock
+    value is kept whatever the session time zone, also inside a clock change). Typed columns pass through."""
     out = {}
     types = {f.name: f.dataType for f in df.schema.fields}
     for c in cols:
         if c not in types:
             continue
         if isinstance(types[c], T.StringType):
-            out[c] = F.try_to_timestamp(F.nullif(F.col(c), F.lit(""))).cast("timestamp_ntz")
+            out[c] = F.nullif(F.col(c), F.lit("")).try_cast("timestamp_ntz")
     return df.withColumns(out) if out else df
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.columns import as_double, round_half_up
+from skuflow.functions.columns import band, as_double, round_half_up
 from skuflow.params import ForecastParams
 from skuflow.sources.schemas import FORECAST_NUM
 
@@ -100,10 +100,7 @@ def gap_fill(series: DataFrame) -> DataFrame:
 
 def confidence_label(mape: Column) -> Column:
     """NULL -> none, < 20 high, < 50 medium, else low."""
-    expr = F.when(mape.isNull(), CONFIDENCE_NONE)
-    for cut, label in CONFIDENCE_CUTS:
-        expr = expr.when(mape < cut, label)
-    return expr.otherwise(CONFIDENCE_ELSE)
+    return band(mape, [cut for cut, _ in CONFIDENCE_CUTS], [*[label for _, label in CONFIDENCE_CUTS], CONFIDENCE_ELSE], CONFIDENCE_NONE)
 
 
 def _holdout_terms(filled: DataFrame, p: ForecastParams) -> DataFrame:

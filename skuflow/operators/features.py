@@ -73,7 +73,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame, reviews: DataFrame,
     vo = valid_orders(orders, excluded).select(
         "order_id", F.to_date("order_purchase_timestamp").alias("order_date"), "order_status")
     rv = reviews.select("order_id", "review_score")
-    return items.join(vo.hint("merge"), "order_id").join(rv, "order_id", "left").select(
+    return items.join(vo.hint("merge"), "order_id").join(rv.hint("merge"), "order_id", "left").select(
         "order_id", "order_item_id", "product_id", "order_date", "order_status",
         "price", "freight_value", "review_score")
 
@@ -89,7 +89,7 @@ def review_stats_by_order(reviews: DataFrame) -> DataFrame:
 
 
 def sku_month_base(items: DataFrame, orders: DataFrame, reviews: DataFrame,
-                   excluded: Iterable[str], review_mode: str = "fan_out") -> DataFrame:
+                   excluded: Iterable[str]) -> DataFrame:
     """Valid items rolled up to (product_id, order_month).
 
     ``units``/``revenue``/``freight``/``orders`` ignore reviews (F5, F6);
@@ -99,15 +99,14 @@ def sku_month_base(items: DataFrame, orders: DataFrame, reviews: DataFrame,
     for orders without a purchase timestamp.
     """
     vo = valid_orders(orders, excluded).select("order_id", month_of().alias("order_month"))
-    per_order = vo.join(review_stats_by_order(reviews), "order_id", "left")
+    per_order = vo.join(review_stats_by_order(reviews).hint("merge"), "order_id", "left")
     # Fact-to-fact join: ask for a sort-merge join so a size estimate never
     # broadcasts either fact table through the driver (AQE may still switch to
     # a broadcast when the measured shuffle output is small).
     lines = items.select("order_id", "product_id", "price", "freight_value").join(
         per_order.hint("merge"), "order_id")
     n_rev = F.coalesce(F.col("n_reviews"), F.lit(0))
-    weight = F.greatest(n_rev, F.lit(1)) if review_mode == "fan_out" else F.lit(1)
-    score_sum = F.col("score_sum") if review_mode == "fan_out" else F.col("score_sum") / F.col("n_reviews")
+    weight = F.greatest(n_rev, F.lit(1))
     return lines.groupBy("product_id", "order_month").agg(
         F.count(F.lit(1)).alias("units"),
         F.sum("price").alias("revenue"),
@@ -115,9 +114,8 @@ def sku_month_base(items: DataFrame, orders: DataFrame, reviews: DataFrame,
         F.count_distinct("order_id").alias("orders"),
         F.sum(weight).alias("units_w"),
         F.sum(F.col("price") * weight).alias("revenue_w"),
-        F.sum(score_sum).alias("score_sum"),
-        F.sum(F.col("score_n") if review_mode == "fan_out" else F.least(F.col("score_n"), F.lit(1)))
-        .alias("score_n"),
+        F.sum("score_sum").alias("score_sum"),
+        F.sum("score_n").alias("score_n"),
         F.sum(F.col("neg_n")).alias("neg_n"),
         F.sum(F.when(n_rev > 0, 1).otherwise(0)).alias("reviewed_items"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.columns import (as_double, money, opportunity, pct_text, round_dec, round_half_up,
+from skuflow.functions.columns import (exact_avg, exact_div, as_double, money, opportunity, pct_text, round_dec, round_half_up,
                                        safe_pct)
 from skuflow.functions.ranking import exact_median, global_rank, scorecard
 from skuflow.operators.demand import pop_sigma
@@ -40,7 +40,7 @@ TREND_NEW, TREND_NONE = "New / sporadic", "No forecast"
 
 
 def _avg2(c: str) -> Column:
-    return round_half_up(as_double(F.sum(c)) / F.nullif(as_double(F.count(c)), F.lit(0.0)), 2)
+    return exact_avg(c, 2)
 
 
 def forecast_summary(forecasts: DataFrame, grain: str, key: str) -> DataFrame:
@@ -88,8 +88,8 @@ def sku_decisions(forecasts: DataFrame, features: DataFrame, profitability: Data
                              "gross_revenue"), "product_id")
     b = b.withColumns({
         "category": F.col("f_category"),
-        "unit_cogs": round_half_up(as_double("cogs_total") / F.nullif(as_double("units_sold"), F.lit(0.0)), 2),
-        "unit_price": round_half_up(as_double("gross_revenue") / F.nullif(as_double("units_sold"), F.lit(0.0)), 2),
+        "unit_cogs": exact_div("cogs_total", "units_sold"),
+        "unit_price": exact_div("gross_revenue", "units_sold"),
         "lead_time_months": F.lit(p.lead_time_months).cast("decimal(18,2)"),
     }).withColumns(_stock_columns(p))
     b = b.withColumns({
@@ -342,7 +342,7 @@ def inventory_scorecard(decisions: DataFrame, forecasts: DataFrame, currency: st
         .alias("protected_"),
         _median_1dp("mape_pct").alias("mape_sku"))
     cat = forecasts.where(F.col("grain") == "category").groupBy("category").agg(
-        round_half_up(as_double(F.sum("mape_pct")) / F.nullif(as_double(F.count("mape_pct")), F.lit(0.0)), 6)
+        exact_avg("mape_pct", 6)
         .alias("m"))
     row = k.withColumn("mape_cat", cat.agg(_median_1dp("m", 6)).scalar())
     share = round_half_up(as_double("actionable") * 100.0 / F.nullif(as_double("skus"), F.lit(0.0)), 1)

@@ -108,20 +108,23 @@ def split_month_of(df: DataFrame) -> Column:
         F.date_format(F.add_months(first, F.floor(span / 2).cast("int")), "yyyy-MM").alias("_split")).scalar()
 
 
-def category_margin_drift(base: DataFrame, product_cat: DataFrame, categories: DataFrame,
+def category_margin_drift(base: DataFrame, product_cat: DataFrame, supplier_costs: DataFrame,
                           split_month: str | None = None, max_rows: int = 200_000,
                           small: bool | None = None) -> DataFrame:
     """margin = revenue x (1 - cogs rate) - freight per category, first vs
-    second half (month <= split). Sums are linear, so the two halves are two
-    conditional sums of one groupBy instead of a self-join."""
+    second half (month <= split). Only the supplier cost rate is needed, so a
+    category without its other cost rows still counts. Sums are linear, so the
+    two halves are two conditional sums of one groupBy instead of a self-join."""
     rows = base.where(F.col("order_month").isNotNull()).select("product_id", "order_month", "revenue", "freight") \
-        .join(product_cat, "product_id").join(bounded_broadcast(categories.select("category", "cogs_rate"), max_rows, small), "category")
+        .join(product_cat, "product_id").join(bounded_broadcast(supplier_costs.select("category", "cogs_rate"), max_rows, small), "category")
     if split_month is None:
         split = split_month_of(base.where(F.col("order_month").isNotNull()))
     else:
         split = F.lit(split_month)
     first = F.col("order_month") <= split
-    margin = F.col("revenue") * (F.lit(1) - F.col("cogs_rate")) - F.col("freight")
+    # a product's month without any price still has its freight
+    zero = F.lit(0).cast("decimal(18,2)")
+    margin = F.coalesce("revenue", zero) * (F.lit(1) - F.col("cogs_rate")) - F.coalesce("freight", zero)
     agg = rows.groupBy("category").agg(
         F.count_if(first).alias("n1"), F.count_if(~first).alias("n2"),
         F.sum(F.when(first, F.col("revenue"))).alias("rev1"), F.sum(F.when(~first, F.col("revenue"))).alias("rev2"),

@@ -23,10 +23,11 @@ def _row(df: DataFrame, check: str, table: str, violations, severity: str) -> Da
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
             check: str, table: str) -> DataFrame:
-    """Q1/Q2: child rows whose key has no parent; a NULL key counts as orphan."""
+    """Q1/Q2: child rows whose key has no parent; a NULL key counts as orphan. The
+    child is counted per key first, so a hot key is one row per task in the join."""
     parents = parent.select(F.col(parent_key).alias("_k")).distinct()
-    missing = child.select(F.col(child_key).alias("_k")).join(parents, "_k", "left_anti")
-    return _row(missing.agg(F.count(F.lit(1)).alias("n")), check, table, F.col("n"), "info")
+    missing = child.groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).join(parents, "_k", "left_anti")
+    return _row(missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")), check, table, F.col("n"), "info")
 
 
 def null_count(df: DataFrame, column: str, check: str, table: str) -> DataFrame:
@@ -110,9 +111,9 @@ def foreign_key(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
                 check: str, table: str) -> DataFrame:
     """Q9: non-NULL child keys with no parent row."""
     parents = parent.select(F.col(parent_key).alias("_k")).distinct()
-    missing = child.select(F.col(child_key).alias("_k")).where(F.col("_k").isNotNull()) \
-        .join(parents, "_k", "left_anti")
-    return _row(missing.agg(F.count(F.lit(1)).alias("n")), check, table, F.col("n"), "fail")
+    missing = child.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_k")) \
+        .agg(F.count(F.lit(1)).alias("_n")).join(parents, "_k", "left_anti")
+    return _row(missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")), check, table, F.col("n"), "fail")
 
 
 PRIMARY_KEYS = {
@@ -134,14 +135,15 @@ FOREIGN_KEYS = [
 
 
 def key_report(t: dict[str, DataFrame]) -> DataFrame:
-    """Q8 + Q9 over every table present in ``t``."""
-    parts = [unique_key(t[name], cols, name, f"pk_{name}") for name, cols in PRIMARY_KEYS.items() if name in t]
-    if "category_translation" in t:
-        parts.append(unique_non_null(t["category_translation"], "product_category_name_english",
-                                     "category_translation", "uq_category_en"))
+    """Q8 + Q9 over all ten tables; a table that is not there is an error."""
+    absent = sorted(set(PRIMARY_KEYS) - set(t))
+    if absent:
+        raise DataQualityError(f"key report: no table {', '.join(absent)}")
+    parts = [unique_key(t[name], cols, name, f"pk_{name}") for name, cols in PRIMARY_KEYS.items()]
+    parts.append(unique_non_null(t["category_translation"], "product_category_name_english",
+                                 "category_translation", "uq_category_en"))
     for child, ck, parent, pk in FOREIGN_KEYS:
-        if child in t and parent in t:
-            parts.append(foreign_key(t[child], ck, t[parent], pk, f"fk_{child}_{ck}", child))
+        parts.append(foreign_key(t[child], ck, t[parent], pk, f"fk_{child}_{ck}", child))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.columns import as_double, money, opportunity, round_dec, round_half_up
+from skuflow.functions.columns import as_double, exact_avg, money, opportunity, round_dec, round_half_up
 from skuflow.functions.ranking import exact_median, latest_per_key, modal_value, scorecard
 
 # Published baseline rows of the model comparison.
@@ -17,8 +17,13 @@ BASELINE_ROWS = [
     (2, "3-month Moving Average", Decimal("2.80"), Decimal("82.0"), False, False,
      "Smooths recent demand; still no trend term or confidence bands."),
 ]
-SELECTED_ROW = (3, "Holt-Winters (selected)", True, True,
-                "Selected model: best MAE, models trend, produces confidence bands and labels.")
+#: The row of the model that made the forecasts, by how its name begins: label, trend, bands, note.
+SELECTED = {
+    "HW": ("Holt-Winters (selected)", True, True,
+                     "Selected model: best MAE, models trend, produces confidence bands and labels."),
+    "MA-3": ("3-month Moving Average (selected)", False, True,
+             "Selected model: flat 3-month mean with bands from its past errors; no trend term."),
+}
 GRADES = ((20, "Strong"), (50, "Moderate"))
 GRADE_ELSE = "Weak"
 THRESHOLDS = {"high": "MAPE < 20%", "medium": "MAPE 20–50%", "low": "MAPE > 50%"}
@@ -30,7 +35,7 @@ def _band_order(c: Column) -> Column:
 
 
 def _avg(c: str, n: int) -> Column:
-    return round_half_up(as_double(F.sum(c)) / F.nullif(as_double(F.count(c)), F.lit(0.0)), n)
+    return exact_avg(c, n)
 
 
 def category_accuracy(forecasts: DataFrame) -> DataFrame:
@@ -70,19 +75,26 @@ def reliability_by_band(decisions: DataFrame, profitability: DataFrame) -> DataF
 def latest_sku_rows(forecasts: DataFrame) -> DataFrame:
     """The latest forecast row per SKU (DISTINCT ON grain_key ... month DESC)."""
     return latest_per_key(forecasts.where(F.col("grain") == "sku"), ["grain_key"], "forecast_month",
-                          ["category", "confidence", "mape_pct", "mae"])
+                          ["category", "confidence", "mape_pct", "mae", "model_used"])
 
 
 def model_comparison(forecasts: DataFrame, baselines: DataFrame | None = None) -> DataFrame:
     """V3: naive and moving-average rows (published figures, or live medians
-    when ``baselines`` (M16) is given) and the selected model's live medians."""
+    when ``baselines`` (M16) is given) and the live medians of the model that made
+    the forecasts, labelled by ``model_used``."""
     s = latest_sku_rows(forecasts)
     hw = s.agg(F.round(exact_median("mae"), 2).cast("decimal(18,2)").alias("median_mae"),
-               F.round(exact_median("mape_pct"), 1).cast("decimal(18,1)").alias("median_mape_pct"))
-    sort, label, trend, bands, note = SELECTED_ROW
-    sel = hw.select(F.lit(sort).alias("sort_order"), F.lit(label).alias("model"), "median_mae", "median_mape_pct",
-                    F.lit(trend).alias("captures_trend"), F.lit(bands).alias("confidence_bands"),
-                    F.lit(note).alias("notes"))
+               F.round(exact_median("mape_pct"), 1).cast("decimal(18,1)").alias("median_mape_pct"),
+               F.max("model_used").alias("used"))
+
+    def of_model(i: int) -> Column:
+        expr = F.lit(None)
+        for name, row in SELECTED.items():
+            expr = F.when(F.col("used").startswith(name), F.lit(row[i])).otherwise(expr)
+        return expr
+
+    sel = hw.select(F.lit(3).alias("sort_order"), F.coalesce(of_model(0), "used").alias("model"), "median_mae", "median_mape_pct",
+                    of_model(1).alias("captures_trend"), of_model(2).alias("confidence_bands"), of_model(3).alias("notes"))
     if baselines is None:
         rows = [hw.select(F.lit(i).alias("sort_order"), F.lit(m).alias("model"),
                           F.lit(mae).cast("decimal(18,2)").alias("median_mae"),

@@ -48,7 +48,5 @@ class Params:
     split_month: str | None = None
     currency: str = "$"
     trust_currency: str = "R$"
-    # 'fan_out' reproduces the item x review join; 'per_order' counts each item once.
-    reviews: str = "fan_out"
     # Upper bound on rows for a dimension table to be broadcast.
     broadcast_max_rows: int = 200_000

@@ -1,10 +1,13 @@
 """Pipeline: wires the operators in dependency order and decides persistence.
 
 Each stage is a lazily built DataFrame. Stages read by many later stages
-(the (SKU, month) base, F5, F6, F7b, F8, the forecast table and D1) are
-persisted; their lineage is deterministic, so a lost cached block is simply
-recomputed. Operators whose output depends on row positions (global ranks)
-checkpoint to ``spark.checkpoint.dir`` themselves.
+(the (SKU, month) base, F7b, F8, the filled series, the forecast table and D1)
+are written as parquet to the shared folder of ``spark.checkpoint.dir`` and
+read back (``store='memory'`` caches them instead), as are the positions behind
+global ranks. Building a stage therefore runs jobs.
+
+The quality gate stands in front of every stage: the cleaned tables are handed
+on only if every translated category has its cost rows.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from skuflow.functions.ranking import global_rank
 
 from skuflow.operators import clean, demand, features, forecast_reports, inventory, kpi, profit, quality, trust
 from skuflow.params import Params
-from skuflow.session import materialize
+from skuflow.session import delete_stages, materialize
 from skuflow.sources import testdata
 
 
@@ -32,14 +35,17 @@ class Pipeline:
     keeps everything lazy."""
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], params: Params | None = None,
-                 store: str = "parquet", gate: bool = True, forecaster: str = "moving_average"):
+                 store: str = "parquet", gate: bool = True, forecaster: str = "holt_winters"):
         self.spark = spark
         self.raw = raw
         self.params = params or Params()
         self.store = store
         self.gate = gate
         self.forecaster = forecaster
+        if forecaster not in ("holt_winters", "moving_average"):
+            raise ValueError(f"no forecaster {forecaster}")
         self._persisted: list[DataFrame] = []
+        self._written: list[str] = []
         self._run_id = uuid.uuid4().hex[:12]
 
     @classmethod
@@ -48,38 +54,42 @@ class Pipeline:
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if self.store == "parquet":
-            return materialize(df, f"{self._run_id}-{name}")
+            return materialize(df, f"{self._run_id}-{name}", self._written)
         if self.store == "memory":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(df)
         return df
 
     def release(self) -> None:
+        """Free cached stages and delete stored ones; DataFrames of this pipeline end with it."""
         for df in self._persisted:
             df.unpersist()
         self._persisted.clear()
+        delete_stages(self.spark, self._written)
 
     # ---- cleaning and quality ------------------------------------------------
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
+    def cleaned(self) -> dict[str, DataFrame]:
+        """C1-C5 before the gate: what the reports look at."""
         return clean.clean_tables(self.raw)
 
+    @cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        """The cleaned tables, once they have passed the gate: every stage reads these."""
+        if self.gate and self._dims["coverage"] > 0:
+            raise quality.DataQualityError(f"data-quality gate failed: cost_coverage_missing={self._dims['coverage']}")
+        return self.cleaned
+
     def quality_report(self) -> DataFrame:
-        return quality.quality_report(self.tables)
+        return quality.quality_report(self.cleaned)
 
     def key_report(self) -> DataFrame:
-        return quality.key_report(self.tables)
+        return quality.key_report({**self.cleaned, "forecast_results": self.forecasts})
 
     @cached_property
     def _dims(self) -> dict[str, int]:
         """One small job: the Q6 gate and the size bound of the category dimension."""
-        return quality.dimension_check(self.tables, self.params.broadcast_max_rows)
-
-    @cached_property
-    def _gated(self) -> bool:
-        if self.gate and self._dims["coverage"] > 0:
-            raise quality.DataQualityError(f"data-quality gate failed: cost_coverage_missing={self._dims['coverage']}")
-        return True
+        return quality.dimension_check(self.cleaned, self.params.broadcast_max_rows)
 
     @cached_property
     def small_dims(self) -> bool:
@@ -92,7 +102,6 @@ class Pipeline:
     # ---- F -------------------------------------------------------------------
     @cached_property
     def dim_category(self) -> DataFrame:
-        assert self._gated
         return features.dim_category(self.tables, self.params.broadcast_max_rows, self.small_dims)
 
     def dim_date(self) -> DataFrame:
@@ -118,7 +127,7 @@ class Pipeline:
     def base(self) -> DataFrame:
         t = self.tables
         return self._keep(features.sku_month_base(t["order_items"], t["orders"], t["order_reviews"],
-                                                  self.params.excluded_statuses, self.params.reviews), "base")
+                                                  self.params.excluded_statuses), "base")
 
     @cached_property
     def sku_revenue(self) -> DataFrame:
@@ -170,7 +179,7 @@ class Pipeline:
         return profit.loss_leaders(self.profitability, self.sku_costs, n, self.params.currency)
 
     def category_margin_drift(self) -> DataFrame:
-        return profit.category_margin_drift(self.base, self.product_category, self.dim_category,
+        return profit.category_margin_drift(self.base, self.product_category, self.tables["supplier_costs"],
                                             self.params.split_month, self.params.broadcast_max_rows,
                                             self.small_dims)
 
@@ -368,13 +377,13 @@ class Pipeline:
 
     # ---- cleaned tables (C1-C4) --------------------------------------------------
     def clean_orders(self) -> DataFrame:
-        return self.tables["orders"]
+        return self.cleaned["orders"]
 
     def clean_items(self) -> DataFrame:
-        return self.tables["order_items"]
+        return self.cleaned["order_items"]
 
     def clean_products(self) -> DataFrame:
-        return self.tables["products"]
+        return self.cleaned["products"]
 
     def clean_supplier_costs(self) -> DataFrame:
-        return self.tables["supplier_costs"]
+        return self.cleaned["supplier_costs"]

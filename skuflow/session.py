@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -12,9 +13,10 @@ _LOCAL_FALLBACK: dict[int, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (local runs,
-    tests) fall back to a fresh temporary folder. Works without a
-    SparkContext handle too (e.g. a Spark Connect session)."""
+    """Use the cluster's ``spark.checkpoint.dir``. When it is unset, a local
+    session (tests) gets a fresh temporary folder; on a cluster, where each
+    executor has its own disk, that is an error. Works without a SparkContext
+    handle too (e.g. a Spark Connect session)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -29,6 +31,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return configured
     if configured:
         return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master or ""):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = id(spark)
     if key not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="skuflow-ckpt-")
@@ -37,17 +42,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[key]
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", written: list[str] | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back: one job, lineage cut, survives the loss of any executor."""
+    back: one job, lineage cut, survives the loss of any executor. The folder is
+    added to ``written``, for `delete_stages`."""
     import uuid
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/skuflow-stages/{uuid.uuid4().hex[:12]}-{name}"
     df.write.mode("overwrite").parquet(path)
+    if written is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_stages(spark: SparkSession, written: list[str]) -> None:
+    """Remove stage folders that `materialize` wrote; nothing may read them any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in written:
+        at = hadoop.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    written.clear()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "16g", event_log_dir: str | None = None) -> SparkSession:
     builder = (

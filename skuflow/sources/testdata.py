@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuflow.session import materialize
 from skuflow.sources.schemas import MONEY, MONEY4, RATE
 
 # Fixed values of the mapping (see FIXTURES.md section 3).
@@ -27,22 +28,8 @@ UNKNOWN_PRODUCT_OFFSET = 1_000_000_000
 DIRTY_STATUS_MOD, DIRTY_TS_MOD, DIRTY_PRICE_MOD, DIRTY_WEIGHT_MOD, DIRTY_PRODUCT_MOD = 11, 97, 211, 41, 499
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Read one driver table. ``spread``: an input that arrives as fewer splits
-    than there are cores (a single-file, single-row-group parquet) is spread
-    round-robin first, so the derived columns are computed in parallel. Inputs
-    already split (the large-scale case) are left alone, and every join keeps
-    its own key exchange, which AQE can split when a key is hot."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD access on this session type: leave as read
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _status(key: Column, code: Column) -> Column:
@@ -95,8 +82,8 @@ def cost_tables(cats: DataFrame, dirty: bool = False) -> dict[str, DataFrame]:
 
 def load_tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[str, DataFrame]:
     """Return the nine raw base tables derived from the driver's parquet files."""
-    orders_src = _read(spark, sf_dir, "orders", spread=True)
-    items_src = _read(spark, sf_dir, "lineitem", spread=True)
+    orders_src = _read(spark, sf_dir, "orders")
+    items_src = _read(spark, sf_dir, "lineitem")
     part = _read(spark, sf_dir, "part")
 
     key = F.col("o_orderkey")
@@ -141,8 +128,8 @@ def load_tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[s
         weight.alias("product_weight_g"), (size + 10.0).alias("product_length_cm"),
         (size + 2.0).alias("product_height_cm"), (size + 5.0).alias("product_width_cm"))
 
-    # One row per brand (tens of rows); cached because five small tables derive from it.
-    cats = categories(part).persist()
+    # One row per brand (tens of rows); stored once because five small tables derive from it.
+    cats = materialize(categories(part), "categories")
     translation = cats.select(F.col("category").alias("product_category_name"),
                               F.col("category").alias("product_category_name_english"))
 

@@ -19,4 +19,4 @@ def spark():
 @pytest.fixture(scope="session")
 def pipe(spark):
     from skuflow.plans.pipeline import Pipeline
-    return Pipeline.from_testdata(spark, SF_SMALL)
+    return Pipeline.from_testdata(spark, SF_SMALL, forecaster="moving_average")
