@@ -52,6 +52,21 @@ class Pipeline:
     def from_testdata(cls, spark: SparkSession, sf_dir: str, dirty: bool = False, **kw) -> Pipeline:
         return cls(spark, testdata.load_tables(spark, sf_dir, dirty=dirty), **kw)
 
+    @classmethod
+    def from_demand_series(cls, spark: SparkSession, series: DataFrame, **kw) -> Pipeline:
+        """Forecasting alone, from an external (product_id, category, order_month,
+        units_sold) series: M1-M22 that need no money. Other stages have no tables."""
+        out = cls(spark, {}, gate=False, **kw)
+        out.__dict__["monthly_sku"] = series
+        return out
+
+    @classmethod
+    def from_forecasts(cls, spark: SparkSession, raw: dict[str, DataFrame], forecasts: DataFrame, **kw) -> Pipeline:
+        """The whole pipeline on a stored forecast table (S4) instead of a fit of its own."""
+        out = cls(spark, raw, **kw)
+        out.__dict__["forecasts"] = forecasts
+        return out
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if self.store == "parquet":
             return materialize(df, f"{self._run_id}-{name}", self._written)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.sources.schemas import DEMAND_SERIES_SCHEMA, FORECAST_SCHEMA, RAW_SCHEMAS, check_schema
@@ -20,9 +20,17 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[st
 
 
 def read_demand_series(spark: SparkSession, path: str) -> DataFrame:
-    """SKU x month series (CSV with header); extra columns are ignored."""
+    """SKU x month series (CSV with header); extra columns are ignored. The month
+    may be written ``yyyy-MM`` or ``yyyy-MM-dd`` and comes out as ``yyyy-MM``;
+    `Pipeline.from_demand_series` takes the result."""
     df = spark.read.option("header", True).csv(path)
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in DEMAND_SERIES_SCHEMA.fields])
+    out = df.select(*[F.col(f.name).cast(f.dataType) for f in DEMAND_SERIES_SCHEMA.fields])
+    return out.withColumn("order_month", month_text("order_month"))
+
+
+def month_text(column: str) -> Column:
+    day = F.when(F.length(column) == 7, F.concat(column, F.lit("-01"))).otherwise(F.col(column))
+    return F.date_format(F.to_date(day, "yyyy-MM-dd"), "yyyy-MM")
 
 
 def write_demand_series(monthly_sku: DataFrame, path: str, fmt: str = "csv") -> None:

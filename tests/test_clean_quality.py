@@ -48,8 +48,10 @@ def test_quality_report_and_gate(spark, dirty):
     assert rep["cost_coverage_missing"] == 1
     with pytest.raises(quality.DataQualityError):
         quality.enforce(quality.quality_report(t))
-    with pytest.raises(quality.DataQualityError):
-        Pipeline(spark, dirty).sku_costs
+    for stage in ("dim_category", "base", "sku_revenue", "monthly_sku", "profitability"):
+        with pytest.raises(quality.DataQualityError):
+            getattr(Pipeline(spark, dirty), stage)
+    assert Pipeline(spark, dirty).quality_report().count() == 6     # the report itself stays readable
 
 
 def test_key_report_flags_duplicate_item_keys(pipe):
@@ -57,3 +59,21 @@ def test_key_report_flags_duplicate_item_keys(pipe):
     assert rep["pk_order_items"] > 0          # (order, line) is not unique in the driver data
     assert rep["pk_orders"] == 0 and rep["pk_products"] == 0
     assert rep["fk_products_product_category_name"] == 0
+
+
+def test_key_report_needs_every_table(pipe):
+    t = {**pipe.cleaned, "forecast_results": pipe.forecasts}
+    assert quality.key_report(t).count() == 16
+    for name in ("order_reviews", "forecast_results"):
+        with pytest.raises(quality.DataQualityError, match=name):
+            quality.key_report({k: v for k, v in t.items() if k != name})
+
+
+def test_wall_clock_times_inside_a_clock_change_stay(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2021-03-14 02:30:00",), ("",), ("junk",)], "ts string")
+        got = [r[0] for r in clean.blank_to_null(df, ["ts"]).select(F.col("ts").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2021-03-14 02:30:00", None, None]

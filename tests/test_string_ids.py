@@ -15,7 +15,7 @@ def test_text_ids_give_same_decisions(spark, pipe):
     raw = testdata.load_tables(spark, SF_SMALL)
     text = {k: (v.withColumns({c: F.col(c).cast("string") for c in IDS[k]}) if k in IDS else v)
             for k, v in raw.items()}
-    d_text = Pipeline(spark, text).sku_decisions()
+    d_text = Pipeline(spark, text, forecaster="moving_average").sku_decisions()
     assert dict(d_text.dtypes)["product_id"] == "string"
     a = d_text.select(F.col("product_id"), "verdict", "reorder_point", "unit_price")
     b = pipe.sku_decisions().select(F.col("product_id").cast("string"), "verdict", "reorder_point", "unit_price")
