@@ -108,17 +108,17 @@ def _responses(grid: np.ndarray, horizon: int, m: int, seasonal: bool):
     return R, Phi
 
 
-_RESPONSES: dict[tuple[int, bool], tuple] = {}
+_RESPONSES: dict[tuple, tuple] = {}
 
 
-def _cached_responses(horizon: int, m: int, seasonal: bool):
+def _cached_responses(horizon: int, m: int, seasonal: bool, fixed: tuple | None = None):
     """Data-free pieces, cached per Python worker: prediction responses R,
     state responses Phi, and their running R'R and R sums. The recursion is
     causal, so the longest horizon computed so far serves every shorter one."""
-    key = (m, seasonal)
+    key = (m, seasonal, fixed)
     hit = _RESPONSES.get(key)
     if hit is None or hit[0] < horizon:
-        grid = weight_grid(seasonal)
+        grid = weight_grid(seasonal) if fixed is None else np.array([fixed], dtype=float)
         R, Phi = _responses(grid, horizon, m, seasonal)
         G, k = len(grid), R.shape[2]
         rtr = np.concatenate([np.zeros((G, 1, k, k)), np.cumsum(np.einsum("gtk,gtj->gtkj", R, R), axis=1)], axis=1)
@@ -128,12 +128,15 @@ def _cached_responses(horizon: int, m: int, seasonal: bool):
     return hit[1:]
 
 
-def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon: int, refine: bool = True):
+def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon: int, refine: bool = True,
+         fixed: tuple | None = None):
     """Fit each row of ``Y`` once per cut set, on its first ``cut`` values; one
     recursion over the data serves every cut set. Returns, per cut set,
-    forecasts (P, horizon) for the months after the cut and residual sigma (P,)."""
+    forecasts (P, horizon) for the months after the cut and residual sigma (P,).
+    ``fixed`` smoothing weights (alpha, beta, gamma) replace the search."""
     P, Tm = Y.shape
-    grid, R, Phi, rtr, rsum = _cached_responses(Tm, m, seasonal)
+    grid, R, Phi, rtr, rsum = _cached_responses(Tm, m, seasonal, fixed)
+    refine = refine and fixed is None
     G, k = len(grid), R.shape[2]
     R = R[:, :Tm]
     w = tuple(grid[:, i][None, :] for i in range(3))   # (1, G)
@@ -289,7 +292,7 @@ def _fit_series(Y: np.ndarray, n: np.ndarray, p: ForecastParams):
         if not len(rows):
             continue
         (f_bt, _), (f_full, s_full) = _fit(Y[rows], [cut_bt[rows], cut_full[rows]],
-                                           p.season_length, flag, p.horizon)
+                                           p.season_length, flag, p.horizon, fixed=p.fixed_weights)
         a = seas_bt[rows] == flag
         bt[rows[a]] = f_bt[a]
         b = seas_full[rows] == flag

@@ -37,6 +37,8 @@ class ForecastParams:
     seasonal_min_len: int = 24
     season_length: int = 12
     ma_window: int = 3
+    # (alpha, beta, gamma) to use as they are instead of searching; None searches.
+    fixed_weights: tuple[float, float, float] | None = None
 
 
 @dataclass(frozen=True)
