@@ -14,10 +14,11 @@ nothing. Two documents link when ``100 * |A & B| >= percent * |A | B|``.
    population count allow the threshold, and is confirmed on the full sets.
 3. Connected components of the confirmed links. A bucket whose classes are all
    in one component is settled. In the others, classes of different
-   components are compared by their sketches, block against block, and what
-   passes is confirmed on the full sets as well; then components again. So
-   every pair that shares a bucket either ends in one component or has been
-   judged.
+   components are compared by their sketches, block against block; those with
+   an open pair bring their full sets to the block, where pairs are judged and
+   joined at once, so a block returns links that join components, never all
+   its pairs. Then components again. So every pair that shares a bucket
+   either ends in one component or has been judged.
 
 The number of bands makes a pair at the threshold share a bucket but for a
 chance of 1e-9, and the XOR bound lets one pass but for about 1e-9; pairs
@@ -192,14 +193,18 @@ def _judge(percent: int):
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``pairs`` (a < b) whose full sets reach the threshold; ``texts`` is (k, text)."""
-    members = pairs.select(F.explode(F.array("a", "b")).alias("k"), "a", "b")
+def sets_of(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(k, set) of the documents named in ``members`` (k)."""
     ids = materialize(members.select("k").distinct(), "near-ids")
     few = ids.count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(ids) if few else ids, "k", "left_semi")
-    sets = wanted.select("k", "text").mapInArrow(_set_maker(words), "k long, set binary")
-    laid = members.join(sets, "k").select("a", "b", "k", "set").repartition("a", "b").sortWithinPartitions("a", "b", "k")
+    return wanted.select("k", "text").mapInArrow(_set_maker(words), "k long, set binary")
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``pairs`` (a < b) whose full sets reach the threshold; ``texts`` is (k, text)."""
+    members = pairs.select(F.explode(F.array("a", "b")).alias("k"), "a", "b")
+    laid = members.join(sets_of(members, texts, words), "k").select("a", "b", "k", "set").repartition("a", "b").sortWithinPartitions("a", "b", "k")
     return laid.mapInArrow(_judge(percent), "a long, b long").distinct()
 
 
@@ -224,25 +229,69 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _cross(bound: int, percent: int):
-    """Pairs of a cell that lie in different components and that sizes and sketches allow."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+class Cell:
+    """Members of a bucket, one block against another (or itself): which pairs are still open."""
+
+    def __init__(self, pdf: pd.DataFrame, bound: int, percent: int):
+        self.i, self.j, self.bucket = (int(pdf[c].iloc[0]) for c in ("i", "j", "bucket"))
+        self.bound, self.percent = bound, percent
         pdf = pdf.sort_values("rep")
-        left = pdf[pdf["part"] == i]
-        right = left if i == j else pdf[pdf["part"] == j]
-        ls = np.array(left["sketch"].to_list(), dtype=np.int64).view(np.uint64).reshape(len(left), -1)
-        rs = np.array(right["sketch"].to_list(), dtype=np.int64).view(np.uint64).reshape(len(right), -1)
-        rrep, rlab, rn, center = (right[c].to_numpy() for c in ("rep", "label", "n", "center"))
-        out = []
-        for rep, label, n, own in zip(left["rep"].to_numpy(), left["label"].to_numpy(), left["n"].to_numpy(), ls):
-            fit = (rlab != label) & (100 * np.minimum(rn, n) >= percent * np.maximum(rn, n)) & (rrep != center) & (rep != center)
-            if i == j:
-                fit &= rrep > rep
-            at = np.flatnonzero(fit)
-            if len(at):
-                at = at[np.bitwise_count(rs[at] ^ own).sum(axis=1) <= bound]
-                out += [(min(rep, x), max(rep, x)) for x in rrep[at]]
+        self.rep, self.label, self.n, self.part = (pdf[c].to_numpy().copy() for c in ("rep", "label", "n", "part"))
+        self.center = int(pdf["center"].iloc[0])
+        self.sketch = np.array(pdf["sketch"].to_list(), dtype=np.int64).view(np.uint64).reshape(len(pdf), -1)
+        self.bands = np.array(pdf["bands"].to_list(), dtype=np.int64).reshape(len(pdf), -1)
+        self.left, self.right = np.flatnonzero(self.part == self.i), np.flatnonzero(self.part == self.j)
+
+    def partners(self, x: int) -> np.ndarray:
+        """Right members that member ``x`` may link with: other component, sizes and sketches allow
+        the threshold, not judged in the star, and this is the first bucket the two share."""
+        if self.rep[x] == self.center:
+            return np.zeros(0, np.int64)
+        r = self.right[self.right > x] if self.i == self.j else self.right
+        n = self.n[r]
+        r = r[(self.label[r] != self.label[x]) & (self.rep[r] != self.center)
+              & (100 * np.minimum(n, self.n[x]) >= self.percent * np.maximum(n, self.n[x]))]
+        if len(r):
+            r = r[np.bitwise_count(self.sketch[r] ^ self.sketch[x]).sum(axis=1) <= self.bound]
+        if len(r):
+            shared = self.bands[r] == self.bands[x]
+            r = r[self.bands[x][shared.argmax(axis=1)] == self.bucket]
+        return r
+
+
+def _flag(bound: int, percent: int):
+    """The members of a cell that have an open pair there."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        cell, used = Cell(pdf, bound, percent), np.zeros(len(pdf), bool)
+        for x in cell.left:
+            y = cell.partners(x)
+            if len(y):
+                used[x] = used[y] = True
+        return pd.DataFrame({"bucket": cell.bucket, "i": cell.i, "j": cell.j, "rep": cell.rep[used]})
+    return run
+
+
+def _settle(bound: int, percent: int):
+    """Judge the open pairs of a cell on full sets; members that link become one component at
+    once, so only links that join two components come out (fewer than members)."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep").reset_index(drop=True)
+        cell, out = Cell(pdf, bound, percent), []
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+        names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum([len(x) for x in sets])
+        own = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        mark = np.zeros(len(names), bool)
+        for x in cell.left:
+            mark[own[x]] = True
+            for y in cell.partners(x):
+                if cell.label[y] == cell.label[x]:
+                    continue
+                both = int(np.count_nonzero(mark[own[y]]))
+                if 100 * both >= percent * (len(own[x]) + len(own[y]) - both):
+                    out.append((min(cell.rep[x], cell.rep[y]), max(cell.rep[x], cell.rep[y])))
+                    cell.label[cell.label == cell.label[y]] = cell.label[x]
+            mark[own[x]] = False
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
@@ -277,13 +326,16 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     open_buckets = (placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
                     .where("lo < hi and size > 2")
                     .select("bucket", F.ceil(F.col("size") / F.lit(BLOCK_MEMBERS)).cast("int").alias("parts")))
-    loose = (placed.join(open_buckets, "bucket").join(side, "rep")
+    loose = (placed.join(open_buckets, "bucket").join(classes.select("rep", "n", "sketch", "bands"), "rep")
              .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("bucket", "center", "rep", "label", "n", "sketch", "part",
+             .select("bucket", "center", "rep", "label", "n", "sketch", "bands", "part",
                      F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")))
-    cross = loose.groupBy("bucket", "i", "j").applyInPandas(_cross(bound, percent), "a long, b long").distinct()
-    more = materialize(confirm(materialize(cross, "near-cross"), texts, words, percent), "near-links")
+    cell = ["bucket", "i", "j"]
+    open_members = materialize(loose.groupBy(*cell).applyInPandas(_flag(bound, percent), "bucket long, i int, j int, rep long"), "near-open")
+    sets = sets_of(open_members.select(F.col("rep").alias("k")), texts, words).withColumnRenamed("k", "rep").dropDuplicates(["rep"])
+    judged = loose.join(open_members, [*cell, "rep"]).join(sets, "rep")
+    more = materialize(judged.groupBy(*cell).applyInPandas(_settle(bound, percent), "a long, b long"), "near-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more))
 
