@@ -27,11 +27,17 @@ def pop_sigma(n: Column, s: Column, ss: Column) -> Column:
     return F.sqrt(as_double(num)) / as_double(n)
 
 
+def sku_months(monthly: DataFrame) -> DataFrame:
+    """One row per (product, month), dealt by product alone: everything that follows per
+    product (M1, M3, M4) needs no further exchange."""
+    return monthly.repartition("product_id").groupBy("product_id", "order_month").agg(
+        F.max("category").alias("category"), F.sum("units_sold").alias("u"))
+
+
 def demand_features(monthly: DataFrame) -> DataFrame:
     """M1: per SKU, over months with sales only: active months, total units,
     average and population sigma of monthly units (2 dp)."""
-    per_month = monthly.groupBy("product_id", "order_month").agg(
-        F.max("category").alias("category"), F.sum("units_sold").alias("u"))
+    per_month = sku_months(monthly)
     a = per_month.groupBy("product_id").agg(
         F.max("category").alias("category"), F.count(F.lit(1)).alias("active_months"),
         F.sum("u").alias("total_units"), F.sum(F.col("u") * F.col("u")).alias("uu"))
@@ -64,38 +70,47 @@ def forecastable(features: DataFrame, p: ForecastParams = ForecastParams()) -> D
         .select("product_id", "category", "active_months", "total_units")
 
 
-def sku_series(monthly: DataFrame, eligible: DataFrame | None = None) -> DataFrame:
-    """SKU grain series (months with sales only); ``eligible`` restricts keys (left semi)."""
-    s = monthly.groupBy("product_id").agg(F.max("category").alias("category")) \
-        .join(monthly.groupBy("product_id", "order_month").agg(F.sum("units_sold").alias("units")), "product_id")
-    if eligible is not None:
-        s = s.join(eligible.select("product_id"), "product_id", "left_semi")
-    return s.select(F.lit("sku").alias("grain"), F.col("product_id").cast("string").alias("grain_key"),
-                    "category", F.to_date(F.concat("order_month", F.lit("-01"))).alias("month"),
-                    F.col("units").cast("long").alias("units"))
+def first_day(month: str) -> Column:
+    return F.to_date(F.concat(F.col(month), F.lit("-01")))
+
+
+def _fill(series: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, category, month, units) -> every month between the first and last of a
+    series, absent ones with 0 units; ``t`` counts months from the first, ``n`` all of them.
+    Each row is followed by the empty months up to the next one, so nothing is joined back."""
+    w = Window.partitionBy(*keys)
+    following = F.lead("month").over(w.orderBy("month"))
+    rows = series.select(*keys, F.max("category").over(w).alias("category"), "month", "units", F.min("month").over(w).alias("m0"),
+                         F.max("month").over(w).alias("m1"),
+                         F.coalesce(F.add_months(following, -1), F.col("month")).alias("until"))
+    each = rows.withColumn("at", F.explode(F.sequence("month", "until", F.expr("INTERVAL 1 MONTH"))))
+    return each.select(*keys, "category", F.col("at").alias("month"),
+                       F.when(F.col("at") == F.col("month"), F.col("units")).otherwise(F.lit(0)).cast("long").alias("units"),
+                       F.months_between("at", "m0").cast("int").alias("t"), (F.months_between("m1", "m0").cast("int") + 1).alias("n"))
+
+
+def sku_filled(monthly: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:
+    """M3 + M4 at SKU grain with one exchange: eligibility, gaps and lengths are windows by product."""
+    w = Window.partitionBy("product_id")
+    rows = sku_months(monthly).select(
+        "product_id", "category", first_day("order_month").alias("month"), F.col("u").alias("units"),
+        F.count(F.lit(1)).over(w).alias("active"), F.sum("u").over(w).alias("total"))
+    able = rows.where((F.col("active") >= p.min_active_months) & (F.col("total") >= p.min_total_units))
+    return _fill(able, ["product_id"]).select(
+        F.lit("sku").alias("grain"), F.col("product_id").cast("string").alias("grain_key"), "category", "month", "units", "t", "n")
 
 
-def category_series(monthly: DataFrame) -> DataFrame:
-    """Category grain series; NULL categories drop out, as in a pandas groupby."""
-    s = monthly.where(F.col("category").isNotNull()).groupBy("category", "order_month") \
-        .agg(F.sum("units_sold").alias("units"))
-    return s.select(F.lit("category").alias("grain"), F.col("category").alias("grain_key"), "category",
-                    F.to_date(F.concat("order_month", F.lit("-01"))).alias("month"),
-                    F.col("units").cast("long").alias("units"))
+def category_filled(monthly: DataFrame) -> DataFrame:
+    """M4 at category grain (NULL categories drop out): summed by (category, month) first, so
+    the second exchange moves one row per category and month."""
+    per = monthly.where(F.col("category").isNotNull()).groupBy("category", "order_month").agg(F.sum("units_sold").alias("units"))
+    rows = per.select(F.col("category").alias("grain_key"), "category", first_day("order_month").alias("month"), "units")
+    return _fill(rows, ["grain_key"]).select(F.lit("category").alias("grain"), "grain_key", "category", "month", "units", "t", "n")
 
 
 def gap_fill(series: DataFrame) -> DataFrame:
-    """M4: every month between a series' own first and last month; missing
-    months get 0 units. Adds ``t`` (0-based month index) and ``n`` (length)."""
-    keys = ["grain", "grain_key"]
-    span = series.groupBy(*keys).agg(F.max("category").alias("category"), F.min("month").alias("m0"),
-                                     F.max("month").alias("m1"))
-    months = span.select(*keys, "category", "m0",
-                         F.explode(F.sequence("m0", "m1", F.expr("INTERVAL 1 MONTH"))).alias("month"),
-                         (F.months_between("m1", "m0").cast("int") + 1).alias("n"))
-    filled = months.join(series.select(*keys, "month", "units"), [*keys, "month"], "left")
-    return filled.select(*keys, "category", "month", F.coalesce("units", F.lit(0)).cast("long").alias("units"),
-                         F.months_between("month", "m0").cast("int").alias("t"), "n")
+    """M4 for given series (grain, grain_key, category, month, units)."""
+    return _fill(series, ["grain", "grain_key"]).select("grain", "grain_key", "category", "month", "units", "t", "n")
 
 
 def confidence_label(mape: Column) -> Column:

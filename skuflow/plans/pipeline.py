@@ -245,9 +245,8 @@ class Pipeline:
     def filled_series(self) -> DataFrame:
         """M4 for both grains (eligible SKUs, M3, and all categories), materialised:
         every forecaster, backtest and chart-data view reads it."""
-        sku = demand.sku_series(self.monthly_sku, self.forecastable)
-        return self._keep(demand.gap_fill(sku.unionByName(demand.category_series(self.monthly_sku))),
-                          "filled_series")
+        sku = demand.sku_filled(self.monthly_sku, self.params.forecast)
+        return self._keep(sku.unionByName(demand.category_filled(self.monthly_sku)), "filled_series")
 
     @cached_property
     def sku_series_filled(self) -> DataFrame:
