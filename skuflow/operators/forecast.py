@@ -300,56 +300,45 @@ def _fit_series(Y: np.ndarray, n: np.ndarray, p: ForecastParams):
     return bt, full, sd_full, seas_full
 
 
-def fit_bucket(pdf: pd.DataFrame, p: ForecastParams, segments: bool) -> pd.DataFrame:
-    """One bucket of gap-filled series -> forecast rows (or chart segments)."""
+def fit_bucket(pdf: pd.DataFrame, p: ForecastParams) -> pd.DataFrame:
+    """One bucket of gap-filled series -> per series its holdout forecast and its
+    forward forecast (with band, accuracy and model) as rows."""
     pdf = pdf[pdf["n"] >= p.min_len]
     if pdf.empty:
         return pd.DataFrame(columns=[f.name for f in FIT_SCHEMA.fields])
     pdf = pdf.sort_values(["grain", "grain_key", "t"])
-    keys = pdf[["grain", "grain_key"]].drop_duplicates().reset_index(drop=True)
-    kidx = pdf.groupby(["grain", "grain_key"], sort=True).ngroup().to_numpy()
-    meta = pdf.groupby(["grain", "grain_key"], sort=True).agg(category=("category", "max"), n=("n", "max"),
-                                                              m0=("month", "min"))
+    by = pdf.groupby(["grain", "grain_key"], sort=True)
+    kidx = by.ngroup().to_numpy()
+    meta = by.agg(category=("category", "max"), n=("n", "max"), m0=("month", "min")).reset_index()
     S, Tm = len(meta), int(meta["n"].max())
     Y = np.zeros((S, Tm))
     Y[kidx, pdf["t"].to_numpy()] = pdf["units"].to_numpy(dtype=float)
     n = meta["n"].to_numpy().astype(int)
     h = p.holdout
     bt, full, sd_full, seasonal = _fit_series(Y, n, p)
-    bt, full = np.clip(bt, 0, None), np.clip(full, 0, None)
+    bt, full = np.clip(bt, 0, None)[:, :h], np.clip(full, 0, None)
     actual = Y[np.arange(S)[:, None], (n - h)[:, None] + np.arange(h)[None, :]]
-    mae = np.abs(actual - bt[:, :h]).mean(axis=1)
+    mae = np.abs(actual - bt).mean(axis=1)
     nz = actual != 0
     with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = np.where(nz, np.abs((actual - bt[:, :h]) / np.where(nz, actual, 1.0)), 0.0)
-        mape = np.where(nz.sum(1) > 0, ratio.sum(1) / nz.sum(1) * 100.0, np.nan)
+        share = np.where(nz, np.abs((actual - bt) / np.where(nz, actual, 1.0)), 0.0)
+        mape = np.where(nz.sum(1) > 0, share.sum(1) / nz.sum(1) * 100.0, np.nan)
     lower = np.clip(full - p.z * sd_full[:, None], 0, None)
     upper = full + p.z * sd_full[:, None]
-    model = np.where(seasonal, "HW-seasonal", "HW-trend")
-    m0 = pd.to_datetime(meta["m0"].to_numpy())
-    out = []
-    for i in range(S):
-        base = {"grain": keys.loc[i, "grain"], "grain_key": keys.loc[i, "grain_key"],
-                "category": meta["category"].iloc[i], "model_used": model[i]}
-        if not segments:
-            for j in range(p.horizon):
-                out.append({**base, "segment": "forecast", "month": (m0[i] + pd.DateOffset(months=int(n[i]) + j)).date(),
-                            "value": full[i, j], "lo": lower[i, j], "hi": upper[i, j], "mae": mae[i],
-                            "mape": None if np.isnan(mape[i]) else mape[i]})
-            continue
-        for t in range(n[i]):
-            seg = "train" if t < n[i] - h else "holdout_actual"
-            out.append({**base, "segment": seg, "month": (m0[i] + pd.DateOffset(months=t)).date(), "value": Y[i, t]})
-        for j in range(h):
-            out.append({**base, "segment": "holdout_forecast",
-                        "month": (m0[i] + pd.DateOffset(months=int(n[i]) - h + j)).date(), "value": bt[i, j]})
-        for j in range(p.horizon):
-            out.append({**base, "segment": "forecast", "month": (m0[i] + pd.DateOffset(months=int(n[i]) + j)).date(),
-                        "value": full[i, j], "lo": lower[i, j], "hi": upper[i, j]})
-    res = pd.DataFrame(out)
-    for f in FIT_SCHEMA.fields:
-        if f.name not in res:
-            res[f.name] = None
+    first = pd.to_datetime(meta["m0"]).to_numpy().astype("datetime64[M]")
+
+    def rows(segment: str, start: np.ndarray, value: np.ndarray, **more) -> pd.DataFrame:
+        steps = value.shape[1]
+        months = (first[:, None] + (start[:, None] + np.arange(steps)).astype("timedelta64[M]")).ravel()
+        out = {c: np.repeat(meta[c].to_numpy(), steps) for c in ("grain", "grain_key", "category")}
+        out |= {"segment": segment, "month": pd.Series(months.astype("datetime64[s]")).dt.date, "value": value.ravel(),
+                "model_used": np.repeat(np.where(seasonal, "HW-seasonal", "HW-trend"), steps)}
+        out |= {k: (v if v.ndim == 2 else np.repeat(v[:, None], steps, axis=1)).ravel() for k, v in more.items()}
+        return pd.DataFrame(out)
+
+    res = pd.concat([rows("holdout_forecast", n - h, bt),
+                     rows("forecast", n, full, lo=lower, hi=upper, mae=mae, mape=mape)], ignore_index=True)
+    res["mape"] = res["mape"].astype(object).where(res["mape"].notna(), None)
     return res[[f.name for f in FIT_SCHEMA.fields]]
 
 
@@ -373,30 +362,41 @@ def _ship_code() -> None:
         pass
 
 
-def _run(filled: DataFrame, p: ForecastParams, segments: bool, series_per_bucket: int) -> DataFrame:
+def fit_series(filled: DataFrame, p: ForecastParams = ForecastParams(),
+               series_per_bucket: int = SERIES_PER_BUCKET) -> DataFrame:
+    """M5 + M6 + M8: one fit of every series in ``filled``, the source of the forecast
+    table and of the chart segments."""
     _ship_code()
     src = _bucketed(filled.where(F.col("n") >= p.min_len), series_per_bucket) \
         .select("_bucket", "grain", "grain_key", "category", "month", "units", "t", "n")
-    return src.groupBy("_bucket").applyInPandas(lambda pdf: fit_bucket(pdf, p, segments), FIT_SCHEMA)
+    return src.groupBy("_bucket").applyInPandas(lambda pdf: fit_bucket(pdf, p), FIT_SCHEMA)
+
+
+def forecast_rows(fits: DataFrame) -> DataFrame:
+    """M9 + M12: the forecast table from `fit_series`."""
+    out = fits.where(F.col("segment") == "forecast").select(
+        "grain", "grain_key", "category", F.col("month").alias("forecast_month"),
+        round_half_up("value", 1).cast(FORECAST_NUM).alias("predicted_units"),
+        round_half_up("lo", 1).cast(FORECAST_NUM).alias("lower_bound"),
+        round_half_up("hi", 1).cast(FORECAST_NUM).alias("upper_bound"),
+        round_half_up("mae", 2).cast(FORECAST_NUM).alias("mae"),
+        round_half_up("mape", 1).cast(FORECAST_NUM).alias("mape_pct"), "model_used")
+    return out.withColumn("confidence", confidence_label(F.col("mape_pct")))
 
 
 def holt_winters(filled: DataFrame, p: ForecastParams = ForecastParams(),
                  series_per_bucket: int = SERIES_PER_BUCKET) -> DataFrame:
     """M5 + M6 + M8 + M9 + M12: the forecast table for every series in ``filled``."""
-    r = _run(filled, p, False, series_per_bucket)
-    out = r.select("grain", "grain_key", "category", F.col("month").alias("forecast_month"),
-                   round_half_up("value", 1).cast(FORECAST_NUM).alias("predicted_units"),
-                   round_half_up("lo", 1).cast(FORECAST_NUM).alias("lower_bound"),
-                   round_half_up("hi", 1).cast(FORECAST_NUM).alias("upper_bound"),
-                   round_half_up("mae", 2).cast(FORECAST_NUM).alias("mae"),
-                   round_half_up("mape", 1).cast(FORECAST_NUM).alias("mape_pct"), "model_used")
-    return out.withColumn("confidence", confidence_label(F.col("mape_pct")))
-
-
-def holt_winters_segments(filled: DataFrame, p: ForecastParams = ForecastParams(),
-                          series_per_bucket: int = SERIES_PER_BUCKET) -> DataFrame:
-    """Training history, holdout actual and forecast, forward forecast
-    and 95 % band for every series in ``filled``."""
-    r = _run(filled, p, True, series_per_bucket)
-    return r.select("grain", "grain_key", "segment", "month", round_half_up("value", 2).alias("value"),
-                    round_half_up("lo", 2).alias("lo"), round_half_up("hi", 2).alias("hi"))
+    return forecast_rows(fit_series(filled, p, series_per_bucket))
+
+
+def segment_rows(filled: DataFrame, fits: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:
+    """Training history and holdout actuals (from the series), holdout forecast,
+    forward forecast and 95 % band (from the stored fit)."""
+    part = F.when(F.col("t") < F.col("n") - p.holdout, "train").otherwise("holdout_actual")
+    none = F.lit(None).cast("double")
+    past = filled.where(F.col("n") >= p.min_len).select(
+        "grain", "grain_key", part.alias("segment"), "month", F.col("units").cast("double").alias("value"), none.alias("lo"), none.alias("hi"))
+    rows = past.unionByName(fits.select("grain", "grain_key", "segment", "month", "value", "lo", "hi"))
+    return rows.select("grain", "grain_key", "segment", "month", round_half_up("value", 2).alias("value"),
+                       round_half_up("lo", 2).alias("lo"), round_half_up("hi", 2).alias("hi"))

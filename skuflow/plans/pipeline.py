@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.ranking import global_rank
 
-from skuflow.operators import clean, demand, features, forecast_reports, inventory, kpi, profit, quality, trust
+from skuflow.operators import clean, demand, features, forecast, forecast_reports, inventory, kpi, profit, quality, trust
 from skuflow.params import Params
 from skuflow.session import delete_stages, materialize
 from skuflow.sources import testdata
@@ -262,16 +262,18 @@ class Pipeline:
     def baselines(self) -> DataFrame:
         return demand.baselines(self.sku_series_filled, self.params.forecast)
 
+    @cached_property
+    def fits(self) -> DataFrame:
+        """The Holt-Winters fit of every series, stored once: the forecast table and the
+        chart segments are read from it."""
+        return self._keep(forecast.fit_series(self.filled_series, self.params.forecast), "fits")
+
     @cached_property
     def forecasts(self) -> DataFrame:
         """The forecast table (both grains)."""
-        p = self.params.forecast
         if self.forecaster == "holt_winters":
-            from skuflow.operators import forecast
-            out = forecast.holt_winters(self.filled_series, p)
-        else:
-            out = demand.moving_average_forecast(self.filled_series, p)
-        return self._keep(out, "forecasts")
+            return forecast.forecast_rows(self.fits)
+        return self._keep(demand.moving_average_forecast(self.filled_series, self.params.forecast), "forecasts")
 
     def forecast_table(self) -> DataFrame:
         return self.forecasts
@@ -363,8 +365,7 @@ class Pipeline:
 
     def forecast_vs_actual(self) -> DataFrame:
         if self.forecaster == "holt_winters":
-            from skuflow.operators import forecast
-            return forecast.holt_winters_segments(self.sku_series_filled, self.params.forecast)
+            return forecast.segment_rows(self.sku_series_filled, self.fits.where(F.col("grain") == "sku"), self.params.forecast)
         return forecast_reports.moving_average_segments(self.sku_series_filled, self.params.forecast)
 
     def mape_histogram(self) -> DataFrame:

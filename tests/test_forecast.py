@@ -64,3 +64,36 @@ def test_holt_winters_job_shapes(spark):
     assert len(out) == 6
     assert all(float(r["lower_bound"]) <= float(r["predicted_units"]) <= float(r["upper_bound"]) for r in out)
     assert all(float(r["predicted_units"]) >= 0 for r in out)
+
+
+def test_stored_accuracy_equals_the_holdout_segments(spark):
+    """MAE and MAPE of the table, recomputed from the chart rows of the same fit."""
+    rng = np.random.default_rng(2)
+    p = ForecastParams()
+    s = _series(spark, [int(x) for x in rng.poisson(3, 20)], "a").unionByName(_series(spark, [int(x) for x in rng.poisson(5, 40)], "b"))
+    filled = demand.gap_fill(s)
+    fits = forecast.fit_series(filled, p)
+    rows = forecast.segment_rows(filled, fits, p).collect()
+    table = {r["grain_key"]: r for r in forecast.forecast_rows(fits).collect()}
+    for key, n in (("a", 20), ("b", 40)):
+        part = {seg: [float(r["value"]) for r in sorted(rows, key=lambda r: r["month"]) if r["grain_key"] == key and r["segment"] == seg]
+                for seg in ("train", "holdout_actual", "holdout_forecast", "forecast")}
+        assert [len(v) for v in part.values()] == [n - 3, 3, 3, 3]
+        miss = [abs(x - y) for x, y in zip(part["holdout_actual"], part["holdout_forecast"])]
+        assert abs(float(table[key]["mae"]) - sum(miss) / 3) < 0.02
+        shares = [m / x for m, x in zip(miss, part["holdout_actual"]) if x]
+        assert abs(float(table[key]["mape_pct"]) - 100 * sum(shares) / len(shares)) < 0.5
+
+
+def test_search_is_never_worse_than_a_dense_grid_of_weights():
+    """The walk may stop anywhere, but not above what the whole admissible range offers on a dense grid."""
+    rng = np.random.default_rng(3)
+    level = np.cumsum(rng.normal(0, 1, (6, 45)), axis=1) + 20
+    beta_heavy = np.cumsum(np.cumsum(rng.normal(0, 0.5, (6, 45)), axis=1), axis=1) + 30
+    Y = np.concatenate([level, beta_heavy])
+    cut = np.full(len(Y), 45)
+    (_, sd), = forecast._fit(Y, [cut], 12, False, 3)
+    dense = np.array([(a, b * a, 0.0) for a in np.linspace(0.02, 0.98, 33) for b in np.linspace(0, 1, 21)])
+    _, _, sse, _ = forecast._fit_local(Y, cut, np.broadcast_to(dense, (len(Y), *dense.shape)).copy(), 12, False, 3)
+    _, best_sd, _, _ = forecast._fit_local(Y, cut, np.broadcast_to(dense, (len(Y), *dense.shape)).copy(), 12, False, 3)
+    assert (sd <= best_sd * 1.01).all() and np.isfinite(sse).all()
