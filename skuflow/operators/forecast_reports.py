@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.functions.columns import as_double, round_half_up
@@ -142,15 +142,31 @@ def coverage_summary(units: DataFrame, metrics: DataFrame) -> DataFrame:
         round_half_up(as_double(F.count_if(f)) * 100.0 / as_double(F.count(F.lit(1))), 2).alias("catalogue_pct"))
 
 
+def quantile_edges(df: DataFrame, value: str, bins: int) -> Column:
+    """Scalar subquery: the distinct linear quantiles 0, 1/bins, ..., 1 of a whole-number
+    column, from ranked counts: one row per distinct value after partial aggregation, a
+    range-sorted running count over them, and two conditional minima per quantile."""
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = global_running(counts, "_c", [F.col(value).asc()], "_upto")
+    n = ranked.agg(F.sum("_c")).scalar()
+    marked = ranked.withColumn("_n", n)
+    places = [F.lit(i / bins) * (F.col("_n") - 1) for i in range(bins + 1)]
+    picks = [F.min(F.when(F.col("_upto") > f(p), as_double(value))) for p in places for f in (F.floor, F.ceil)]
+    row = marked.agg(F.max("_n").alias("_n"), *[c.alias(f"_q{i}") for i, c in enumerate(picks)])
+    between = []
+    for i, p in enumerate(places):
+        lo, hi, part = F.col(f"_q{2 * i}"), F.col(f"_q{2 * i + 1}"), p - F.floor(p)
+        between.append(lo + (hi - lo) * part)
+    return row.select(F.array_distinct(F.array_sort(F.array(*between))).alias("_e")).scalar()
+
+
 def accuracy_by_volume(units: DataFrame, metrics: DataFrame, bins: int = VOLUME_BINS) -> DataFrame:
     """Forecast SKUs in quantile bins of total units (linear quantiles,
     duplicate edges dropped, right-closed, lowest included); median units and
     median MAPE per bin."""
     df = metrics.where(F.col("mape_pct").isNotNull()).join(
         units.select(F.col("product_id").cast("string").alias("product_id"), "total_units"), "product_id")
-    probs = [i / bins for i in range(bins + 1)]
-    edges = df.agg(F.array_distinct(F.array_sort(F.percentile(as_double("total_units"), F.array(
-        *[F.lit(p) for p in probs]))))).scalar()
+    edges = quantile_edges(df, "total_units", bins)
     x = df.withColumn("_e", edges)
     upper = F.slice("_e", 2, F.size("_e"))
     binned = x.withColumn("bin", F.size(F.filter(upper, lambda e: e < as_double("total_units")))) \
