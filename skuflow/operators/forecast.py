@@ -73,21 +73,26 @@ def _basis(m: int, seasonal: bool) -> np.ndarray:
     return x
 
 
-def _step(state: np.ndarray, y, t: int, w: np.ndarray, m: int, seasonal: bool):
-    """One Holt-Winters update. ``state[..., 0]`` level, ``1`` trend, ``2:``
-    seasonal ring. Returns (one-step prediction, new state). The trailing axis
-    of ``w`` (alpha, beta, gamma) broadcasts against the state's grid axis."""
+def _step(state: np.ndarray, y, t: int, w, m: int, seasonal: bool) -> np.ndarray:
+    """One Holt-Winters update of ``state``, in place: ``state[0]`` level, ``[1]``
+    trend, ``[2:]`` seasonal ring, each an array over series, weights (and start
+    values). ``w`` (alpha, beta, gamma) broadcasts against them. Returns the
+    one-step prediction."""
     a, b, g = w
-    lvl, trd = state[..., 0], state[..., 1]
-    sea = state[..., 2 + t % m] if seasonal else 0.0
-    pred = lvl + trd + sea
-    new = state.copy()
-    new_l = a * (y - sea) + (1 - a) * (lvl + trd)
-    new[..., 1] = b * (new_l - lvl) + (1 - b) * trd
-    new[..., 0] = new_l
+    lvl, trd = state[0], state[1]
+    base = lvl + trd
     if seasonal:
-        new[..., 2 + t % m] = g * (y - lvl - trd) + (1 - g) * sea
-    return pred, new
+        ring = state[2 + t % m]
+        pred = base + ring
+        new_l = base + a * (y - pred)
+        ring += g * (y - pred)
+    else:
+        pred = base
+        new_l = base + a * (y - base)
+    trd *= 1 - b
+    trd += b * (new_l - lvl)
+    state[0] = new_l
+    return pred
 
 
 def _responses(grid: np.ndarray, horizon: int, m: int, seasonal: bool):
@@ -95,16 +100,14 @@ def _responses(grid: np.ndarray, horizon: int, m: int, seasonal: bool):
     state Phi (G, T+1, states, k)."""
     x = _basis(m, seasonal)
     G = len(grid)
-    w = tuple(grid[:, i][:, None, None] for i in range(3))   # (G,1,1) vs state (G, k, states)
-    st = np.broadcast_to(x.T, (G, x.shape[1], x.shape[0])).copy()   # (G, k, states)
+    st = np.broadcast_to(x[:, None, :], (x.shape[0], G, x.shape[1])).copy()   # (states, G, k)
     R = np.empty((G, horizon, x.shape[1]))
     Phi = np.empty((G, horizon + 1, x.shape[0], x.shape[1]))
-    Phi[:, 0] = np.swapaxes(st, 1, 2)
-    w2 = tuple(v[:, :, 0] for v in w)   # (G,1) for the (G, k) state slices
+    Phi[:, 0] = np.swapaxes(st, 0, 1)
+    w = tuple(grid[:, i][:, None] for i in range(3))   # (G, 1)
     for t in range(horizon):
-        pred, st = _step(st, 0.0, t, w2, m, seasonal)
-        R[:, t] = pred
-        Phi[:, t + 1] = np.swapaxes(st, 1, 2)
+        R[:, t] = _step(st, 0.0, t, w, m, seasonal)
+        Phi[:, t + 1] = np.swapaxes(st, 0, 1)
     return R, Phi
 
 
@@ -147,16 +150,15 @@ def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon:
         y = Y[c0:c0 + CHUNK]
         p = len(y)
         cus = [c[c0:c0 + CHUNK] for c in cuts]
-        st = np.zeros((p, G, ns))
+        st = np.zeros((ns, p, G))
         E = np.zeros((p, G, Tm))
-        snaps = [np.zeros((p, G, ns)) for _ in cuts]
+        snaps = [np.zeros((ns, p, G)) for _ in cuts]
         for t in range(Tm):
-            pred, st = _step(st, y[:, t][:, None], t, w, m, seasonal)
-            E[:, :, t] = y[:, t][:, None] - pred
+            E[:, :, t] = y[:, t][:, None] - _step(st, y[:, t][:, None], t, w, m, seasonal)
             for cu, snap in zip(cus, snaps):
                 done = cu == t + 1
                 if done.any():
-                    snap[done] = st[done]
+                    snap[:, done] = st[:, done]
         idx = np.arange(p)
         for (fc, sd), cu, snap in zip(out, cus, snaps):
             Ec = E * (steps[None, None, :] < cu[:, None, None])
@@ -168,7 +170,7 @@ def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon:
             sse = ee - 2 * (x0 * rte).sum(-1) + np.einsum("pgk,pgkj,pgj->pg", x0, A, x0)
             best = np.argmin(sse, axis=1)
             xb = x0[idx, best]                                            # (p, k)
-            state = snap[idx, best] + np.einsum("psk,pk->ps", Phi[best, cu], xb)
+            state = snap[:, idx, best].T + np.einsum("psk,pk->ps", Phi[best, cu], xb)
             for h in range(1, horizon + 1):
                 f = state[:, 0] + h * state[:, 1]
                 if seasonal:
@@ -235,8 +237,8 @@ def _fit_local(y: np.ndarray, cu: np.ndarray, W: np.ndarray, m: int, seasonal: b
     a, b, g = W[..., 0], W[..., 1], W[..., 2]
     wh = (a[..., None], b[..., None], g[..., None])
     wd = (a, b, g)
-    hs = np.broadcast_to(x.T, (p, W.shape[1], k, ns)).copy()
-    ds = np.zeros((p, W.shape[1], ns))
+    hs = np.broadcast_to(x[:, None, None, :], (ns, p, W.shape[1], k)).copy()
+    ds = np.zeros((ns, p, W.shape[1]))
     A = np.zeros((p, W.shape[1], k, k))
     rs = np.zeros((p, W.shape[1], k))
     rte = np.zeros((p, W.shape[1], k))
@@ -245,8 +247,8 @@ def _fit_local(y: np.ndarray, cu: np.ndarray, W: np.ndarray, m: int, seasonal: b
     phi = np.zeros_like(hs)
     dsnap = np.zeros_like(ds)
     for t in range(int(cu.max())):
-        pr_h, hs_n = _step(hs, 0.0, t, wh, m, seasonal)
-        pr_d, ds_n = _step(ds, y[:, t][:, None], t, wd, m, seasonal)
+        pr_h = _step(hs, 0.0, t, wh, m, seasonal)
+        pr_d = _step(ds, y[:, t][:, None], t, wd, m, seasonal)
         live = (t < cu)[:, None]
         e = np.where(live, y[:, t][:, None] - pr_d, 0.0)
         R = np.where(live[..., None], pr_h, 0.0)
@@ -255,18 +257,17 @@ def _fit_local(y: np.ndarray, cu: np.ndarray, W: np.ndarray, m: int, seasonal: b
         rte += R * e[..., None]
         ee += e * e
         se += e
-        hs, ds = hs_n, ds_n
         done = cu == t + 1
         if done.any():
-            phi[done] = hs[done]
-            dsnap[done] = ds[done]
+            phi[:, done] = hs[:, done]
+            dsnap[:, done] = ds[:, done]
     ridge = 1e-9 * (np.trace(A, axis1=2, axis2=3)[..., None, None] / k + 1.0) * np.eye(k)
     x0 = np.linalg.solve(A + ridge, rte[..., None])[..., 0]
     sse = ee - 2 * (x0 * rte).sum(-1) + np.einsum("plk,plkj,plj->pl", x0, A, x0)
     best = np.argmin(sse, axis=1)
     idx = np.arange(p)
     xb = x0[idx, best]
-    state = dsnap[idx, best] + np.einsum("pks,pk->ps", phi[idx, best], xb)
+    state = dsnap[:, idx, best].T + np.einsum("spk,pk->ps", phi[:, idx, best], xb)
     fc = np.zeros((p, horizon))
     for h in range(1, horizon + 1):
         f = state[:, 0] + h * state[:, 1]
