@@ -39,10 +39,10 @@ def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     """Partitions for shuffling whole texts: at least the session's setting, and
     enough that one holds about ``bytes_each`` of the (stored) input."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - a session type without plan statistics
+    if not hasattr(df, "_jdf"):  # a session type without plan statistics
         return least
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()  # estimates of joins multiply, so what is read counts
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     if size > 1 << 55:  # unknown
         return least
     return max(least, math.ceil(size / bytes_each))
