@@ -1,13 +1,16 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-Documents fall into shards by a seeded hash. In each shard the documents of a
-source, in seeded order, form one stream of words that is cut into blocks of
-``block`` words (the last one may be shorter). The words that a source should
-give are shared out over its shards in proportion to what each shard holds;
-each shard's seats (blocks) go to the highest quotients
-``votes / (2 * seats + 1)``. The quota of a (shard, source) is met with whole
-passes over its blocks plus a seeded choice of the rest, so a block is never
-taken more than ``cap`` times and reruns agree.
+A seat is one word. The words of the mix go to the sources, and then those of
+a source to its shards, by the highest quotients ``votes / (2 * seats + 1)``;
+a source's votes are its target, a shard's the words it holds. So every
+source gives its target to within about a word, however small it is beside
+the others. Each source has its own shards, as many as its own words and rows
+need (a small source is one), and its documents fall into them by a seeded
+hash. In a shard the documents, in seeded order, form one stream of words that
+is cut into blocks of ``block`` words (the last one may be shorter). A shard's
+quota is met with whole passes over its words plus blocks in a seeded order,
+the last of which gives only its first words, so a word is never taken more
+than ``cap`` times and reruns agree.
 
 Defined cases: null text, or text without words: size 0, taken 0. A null
 source is a source of its own, last in order. Repeated rows and repeated ids
@@ -16,9 +19,9 @@ rows. Null ids are hashed like any value.
 
 Scale: one scan of the texts gives a slim (id, source, size) stage. Sources
 are summed with map-side partial sums; the only one-task step is over one row
-per source. A source of any size is spread over the shards, whose number
-follows the total of words and rows, so a group given to one Python call
-holds about ``shard_words`` words or ``shard_rows`` rows of the whole.
+per source, and a source's words are shared out over one row per shard. A
+group given to one Python call holds about ``shard_words`` words or
+``shard_rows`` rows of a source.
 """
 
 from __future__ import annotations
@@ -74,9 +77,22 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
 
 def highest_quotients(votes: np.ndarray, most: np.ndarray, seats: int) -> np.ndarray:
     """Sainte-Lague: ``seats`` go one by one to the highest ``votes / (2 * held + 1)``
-    (ties: the earlier row); a row stops at ``most``."""
+    (ties: the earlier row); a row stops at ``most``. The seats above a quotient
+    that surely all are given are counted at once, the others dealt one by one."""
+    votes, most = np.asarray(votes, float), np.asarray(most, np.int64)
+
+    def above(quotient: float) -> np.ndarray:
+        return np.clip(np.minimum(np.ceil((votes / quotient - 1) / 2), most), 0, None).astype(np.int64)
+
     held = np.zeros(len(votes), dtype=np.int64)
-    heap = [(-float(v), i) for i, v in enumerate(votes) if v > 0 and most[i] > 0]
+    low, high = 0.0, votes.max(initial=0.0)
+    if high > 0:
+        for _ in range(100):
+            middle = (low + high) / 2
+            low, high = (low, middle) if above(middle).sum() <= seats else (middle, high)
+        held = np.maximum(above(high) - 1, 0)  # one less, as a quotient equal to ``high`` may round to either side
+        seats -= int(held.sum())
+    heap = [(-float(v) / (2 * int(held[i]) + 1), i) for i, v in enumerate(votes) if v > 0 and most[i] > held[i]]
     heapq.heapify(heap)
     while seats > 0 and heap:
         _, i = heap[0]
@@ -85,18 +101,26 @@ def highest_quotients(votes: np.ndarray, most: np.ndarray, seats: int) -> np.nda
         if held[i] >= most[i]:
             heapq.heappop(heap)
         else:
-            heapq.heapreplace(heap, (-float(votes[i]) / (2 * held[i] + 1), i))
+            heapq.heapreplace(heap, (-float(votes[i]) / (2 * int(held[i]) + 1), i))
     return held
 
 
-def _quotas(block: int, cap: int):
+def _shares(cap: int):
+    """Words of the mix to sources, one row each."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("skey", kind="stable")
-        votes = pdf["votes"].to_numpy(float)
-        blocks = -(-pdf["words"].to_numpy(np.int64) // block)
-        seats = int(math.floor(votes.sum() / block + 0.5))
+        votes = pdf["target"].to_numpy(float)
+        return pdf.assign(give=highest_quotients(votes, cap * pdf["source_size"].to_numpy(np.int64), int(math.floor(votes.sum() + 0.5))))
+    return run
+
+
+def _quotas(cap: int):
+    """Words of a source to its shards, one row each."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("shard", kind="stable")
+        words = pdf["words"].to_numpy(np.int64)
         return pd.DataFrame({"shard": pdf["shard"], "skey": pdf["skey"],
-                             "quota": highest_quotients(votes, cap * blocks, seats)})
+                             "quota": highest_quotients(words, cap * words, int(pdf["give"].iloc[0]))})
     return run
 
 
@@ -107,20 +131,25 @@ def _choose(block: int, seed: int):
         end = np.cumsum(size)
         start = end - size
         n = int(-(-end[-1] // block))
-        quota = int(pdf["quota"].iloc[0])
-        times = np.zeros(n + 1, dtype=np.int64)
+        passes, rest = divmod(int(pdf["quota"].iloc[0]), max(1, int(end[-1])))
+        more = np.zeros(n + 1, dtype=np.int64)  # how many first words of a block are taken once more
         if n:
-            times[:n] = quota // n
+            length = np.minimum(block, end[-1] - block * np.arange(n))
             own = zlib.crc32(f"{seed}/{pdf['shard'].iloc[0]}/{pdf['skey'].iloc[0]}".encode())
-            times[np.random.Generator(np.random.PCG64(own)).permutation(n)[:quota % n]] += 1
-        before = np.concatenate(([0], np.cumsum(times) * block))
-        upto = lambda x: before[x // block] + (x % block) * times[x // block]
+            order = np.random.Generator(np.random.PCG64(own)).permutation(n)
+            more[order] = np.clip(rest - (np.cumsum(length[order]) - length[order]), 0, length[order])
+        before = np.concatenate(([0], np.cumsum(more)))
+        upto = lambda x: passes * x + before[x // block] + np.minimum(x % block, more[x // block])
         runs = []
         for a, b in zip(start.tolist(), end.tolist()):
             own_runs = []
             for k in range(a // block, -(-b // block) if b > a else a // block):
-                if times[k]:
-                    own_runs.append((max(a, k * block) - a, min(b, (k + 1) * block) - a, int(times[k])))
+                lo, hi = max(a, k * block), min(b, (k + 1) * block)
+                turn = min(max(lo, k * block + int(more[k])), hi)
+                if turn > lo:
+                    own_runs.append((lo - a, turn - a, passes + 1))
+                if hi > turn and passes:
+                    own_runs.append((turn - a, hi - a, passes))
             runs.append([x for r in own_runs for x in r])
         return pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "size": size,
                              "source_size": pdf["source_size"], "target": pdf["target"],
@@ -136,18 +165,17 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int
     (null by default) as given, to tell rows with one id apart."""
     slim = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                                    word_count(text_of()).alias("size"), (F.lit(None) if tag is None else tag).cast("string").alias("tag")), "mix-sizes")
-    total = slim.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("w"), F.count(F.lit(1)).alias("n")).first()
-    shards = max(1, math.ceil(total["w"] / shard_words), math.ceil(total["n"] / shard_rows))
-    targets = source_targets(slim, weights, share, cap)
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
     skey = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
-    cut = slim.withColumn("h", h).withColumn("shard", F.pmod(F.col("h"), F.lit(shards)).cast("int")).withColumn("skey", skey)
-    cells = cut.groupBy("shard", "skey").agg(F.sum("size").cast("long").alias("words"))
-    goal = targets.select(skey.alias("skey"), "source_size", "target")
-    votes = F.when(F.col("source_size") > 0, F.col("target") * F.col("words") / F.col("source_size")).otherwise(F.lit(0.0))
-    quotas = (cells.join(goal, "skey").withColumn("votes", votes)
-              .groupBy("shard").applyInPandas(_quotas(block, cap), "shard int, skey string, quota long"))
-    per_doc = cut.join(quotas, ["shard", "skey"]).join(goal, "skey")
+    rows = slim.groupBy(skey.alias("skey")).agg(F.count(F.lit(1)).alias("rows"))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(shard_words)), F.ceil(F.col("rows") / F.lit(shard_rows))).cast("int")
+    goal = source_targets(slim, weights, share, cap).select(skey.alias("skey"), "source_size", "target").join(rows, "skey")
+    goal = materialize(goal.select("skey", "source_size", "target", shards.alias("shards")).groupBy().applyInPandas(
+        _shares(cap), "skey string, source_size long, target double, shards int, give long"), "mix-goals")
+    cut = (slim.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("skey", skey).join(goal, "skey")
+           .withColumn("shard", F.pmod(F.col("h"), F.col("shards")).cast("int")))
+    cells = cut.groupBy("shard", "skey").agg(F.sum("size").cast("long").alias("words"), F.first("give").alias("give"))
+    quotas = cells.groupBy("skey").applyInPandas(_quotas(cap), "shard int, skey string, quota long")
+    per_doc = cut.join(quotas, ["shard", "skey"])
     return per_doc.groupBy("shard", "skey").applyInPandas(
         _choose(block, seed),
         "doc_id long, source string, size long, source_size long, target double, taken long, runs array<long>, tag string")

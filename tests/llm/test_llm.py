@@ -500,6 +500,40 @@ def test_mixing(spark):
     assert mix_sources(docs.limit(0)).count() == 0
 
 
+def test_small_sources_beside_a_large_one_are_given_whole(spark):
+    from skuflow.llm.mixing import mix_sources
+    rng = random.Random(10)
+    rows = [(i, " ".join(["w"] * rng.randint(80, 120)), "a") for i in range(2000)]
+    rows += [(10_000 + i, " ".join(["w"] * rng.randint(10, 15)), "b") for i in range(200)]
+    rows += [(20_000, " ".join(["w"] * 7), "c"), (20_001, "", "d"), (20_002, " ".join(["w"] * 70), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(docs, shard_words=500).toPandas()  # about 400 shards of the large source
+    assert len(got) == len(rows) and (got.taken <= 2 * got["size"]).all()
+    for name, g in got.groupby("source", dropna=False):
+        assert abs(g.taken.sum() - g.target.iloc[0]) <= 1, (name, g.taken.sum(), g.target.iloc[0])
+    assert abs(got.taken.sum() - 1.5 * got["size"].sum()) <= 1
+
+
+def test_highest_quotients_of_many_seats():
+    from skuflow.llm.mixing import highest_quotients
+
+    def one_by_one(votes, most, seats):
+        held = [0] * len(votes)
+        for _ in range(seats):
+            able = [i for i, v in enumerate(votes) if v > 0 and held[i] < most[i]]
+            if not able:
+                break
+            held[max(able, key=lambda i: (votes[i] / (2 * held[i] + 1), -i))] += 1
+        return held
+    rng = random.Random(11)
+    for _ in range(60):
+        n = rng.randint(1, 9)
+        votes, most = [float(rng.choice([0, 1, 3, 3, 9, 50, 1000])) for _ in range(n)], [rng.randint(0, 400) for _ in range(n)]
+        seats = rng.randint(0, 600)
+        assert highest_quotients(np.array(votes), np.array(most), seats).tolist() == one_by_one(votes, most, seats)
+    assert highest_quotients(np.array([6e11, 2e11]), np.array([10 ** 13, 10 ** 13]), 8 * 10 ** 11).tolist() == [6 * 10 ** 11, 2 * 10 ** 11]
+
+
 # -- pipeline ----------------------------------------------------------------------------------------------------
 
 
