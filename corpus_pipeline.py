@@ -8,7 +8,8 @@ again, so a lost executor never repeats an earlier stage.
 * toxicity: documents whose probability of any toxic grade reaches one half go.
 * near_duplicates: five-word shingles, similarity 0.8; the document with the
   smallest id of each group stays (of rows equal in id and text, one).
-* personal_data: confirmed spans scoring at least one half are masked.
+* personal_data: every confirmed span of a base kind is masked, and ibans
+  scoring at least one half.
 * mixing: words are taken by quota; a document is returned once for each time
   words of it are taken, with exactly the words of that time (in order).
 * pieces: ids of every document, next to its columns.

@@ -6,7 +6,9 @@ non-overlapping matches; a proposal that fails its check is dropped without a
 second try. Checks: ip parts at most 255; card 12 to 19 digits with a right
 Luhn sum; phone 9 to 15 digits; iban remainder 1 modulo 97. A kind's prior
 score rises when one of its context words, and falls when one of its
-counter-words, stands in the ``WINDOW`` code points before or after the span.
+counter-words (whole words), stands in the ``WINDOW`` code points before or
+after the span. Redaction masks every confirmed span of a base kind whatever
+its score; the score decides about the kinds added to them.
 
 The base patterns are, as usually written::
 
@@ -61,8 +63,9 @@ CONTEXT = {
     "phone": r"phone|call|tel|mobile|fax|whatsapp|ruf|llam|appel",
     "iban": r"iban|account|bank|transfer|konto|cuenta|compte",
 }
-COUNTER = {"ip": r"version|release|chapter|section", "card": r"isbn|order|serial|tracking", "phone": r"order|serial|id\b"}
+COUNTER = {"ip": r"\b(?:version|release|chapter|section)\b", "card": r"\b(?:isbn|order|serial|tracking)\b", "phone": r"\b(?:order|serial|id)\b"}
 BOOST, CUT = 0.2, 0.3
+ADDED_SCORE = 0.5
 
 
 def _digits(s: Column) -> Column:
@@ -165,11 +168,15 @@ def redacted(text: Column, spans: Column) -> Column:
     return F.aggregate(spans, state, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
 
 
-def redact(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """``docs`` with the confirmed spans scoring at least ``least_score`` masked in
-    ``text`` and ``n_chars`` (where there is one) set anew; a null text stays null."""
+def redact(docs: DataFrame, least_score: float | None = None) -> DataFrame:
+    """``docs`` with confirmed spans masked in ``text`` and ``n_chars`` (where there is
+    one) set anew; a null text stays null. All spans of the base kinds are masked, and
+    those of added kinds that score at least ``ADDED_SCORE``; a caller who gives
+    ``least_score`` has the spans of every kind masked from that score on instead."""
     clash = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.startswith("__")}
-    own = with_spans(docs.withColumnsRenamed(clash)).withColumn("__use", F.filter("__spans", lambda x: x["score"] >= least_score))
+    used = ((lambda x: (x["rank"] < len(BASE)) | (x["score"] >= ADDED_SCORE)) if least_score is None
+            else (lambda x: x["score"] >= least_score))
+    own = with_spans(docs.withColumnsRenamed(clash)).withColumn("__use", F.filter("__spans", used))
     new = own.withColumn("text", F.when(F.size("__use") > 0, redacted(F.col("text"), F.col("__use"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.when(F.size("__use") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

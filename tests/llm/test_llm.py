@@ -267,6 +267,22 @@ def test_pii_added_spans_scores_and_redaction(spark):
     assert redact(docs).columns == docs.columns
 
 
+def test_confirmed_spans_are_masked_whatever_stands_near(spark):
+    import corpus_pipeline as C
+    from skuflow.llm.pii import find_pii
+    texts = [(1, "Maria said +49 30 1234 5678"), (2, "order 12, +1 (262) 555-3752"), (3, "version page of 10.0.0.7"),
+             (4, "in order to reach serial id +49 30 1234 5678"), (5, "order serial 4111 1111 1111 1111"), (6, "release, chapter, section 1.2.3.4"),
+             (7, "paid in Madrid +49 30 1234 5678"), (8, "the border, an intersection of 10.0.0.7"), (9, "version 256.1.1.1")]
+    docs = frame(spark, texts, extra=True)
+    want = {1: "Maria said <PHONE>", 2: "order 12, <PHONE>", 3: "version page of <IP>", 4: "in order to reach serial id <PHONE>",
+            5: "order serial <CARD>", 6: "release, chapter, section <IP>", 7: "paid in Madrid <PHONE>",
+            8: "the border, an intersection of <IP>", 9: "version 256.1.1.1"}
+    masked = C.personal_data(spark, docs, "").collect()
+    assert {r.doc_id: r.text for r in masked} == want and all(r.n_chars == len(r.text) for r in masked)
+    score = {r.doc_id: r.found[0].score for r in find_pii(docs).collect() if r.found}
+    assert score[1] == score[7] == score[8] == 0.6 and score[2] == score[4] == score[6] == 0.3
+
+
 # -- 6 near-duplicates -------------------------------------------------------------------------------------------
 
 
