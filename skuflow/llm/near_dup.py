@@ -25,7 +25,8 @@ chance of 1e-9, and the XOR bound lets one pass but for about 1e-9; pairs
 above the threshold are safer still.
 
 Defined cases: null text counts as empty; empty documents are their own
-component. Rows sharing an id count as one document (a row each is returned).
+component. Rows sharing an id count as one document (a row each is returned);
+each of its texts is judged by its own set.
 A null id sorts last and counts as one document. Empty table: no rows.
 
 Scale: whole texts are read twice and never shuffled; what moves are the
@@ -153,7 +154,13 @@ def _signer(words: int, percent: int):
 def _set_maker(words: int):
     def run(batches):
         import pyarrow as pa
+        import xxhash
         shingler = Shingler(words)
+
+        def rows(ids, sets):
+            keys = [xxhash.xxh3_128_digest(x) if x else b"" for x in sets]
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())],
+                                              names=["k", "set_key", "set"])
         for batch in batches:
             ids, sets, held = [], [], 0
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -161,10 +168,10 @@ def _set_maker(words: int):
                 sets.append(shingler(text.as_py()).tobytes())
                 held += len(sets[-1])
                 if held > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["k", "set"])
+                    yield rows(ids, sets)
                     ids, sets, held = [], [], 0
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["k", "set"])
+                yield rows(ids, sets)
     return run
 
 
@@ -194,11 +201,11 @@ def _judge(percent: int):
 
 
 def sets_of(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(k, set) of the documents named in ``members`` (k)."""
+    """(k, set_key, set) of the documents named in ``members`` (k), a row for each of their texts."""
     ids = materialize(members.select("k").distinct(), "near-ids")
     few = ids.count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(ids) if few else ids, "k", "left_semi")
-    return wanted.select("k", "text").mapInArrow(_set_maker(words), "k long, set binary")
+    return wanted.select("k", "text").mapInArrow(_set_maker(words), "k long, set_key binary, set binary")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -235,8 +242,8 @@ class Cell:
     def __init__(self, pdf: pd.DataFrame, bound: int, percent: int):
         self.i, self.j, self.bucket = (int(pdf[c].iloc[0]) for c in ("i", "j", "bucket"))
         self.bound, self.percent = bound, percent
-        pdf = pdf.sort_values("rep")
-        self.rep, self.label, self.n, self.part = (pdf[c].to_numpy().copy() for c in ("rep", "label", "n", "part"))
+        pdf = pdf.sort_values(["rep", "set_key"])
+        self.rep, self.key, self.label, self.n, self.part = (pdf[c].to_numpy().copy() for c in ("rep", "set_key", "label", "n", "part"))
         self.center = int(pdf["center"].iloc[0])
         self.sketch = np.array(pdf["sketch"].to_list(), dtype=np.int64).view(np.uint64).reshape(len(pdf), -1)
         self.bands = np.array(pdf["bands"].to_list(), dtype=np.int64).reshape(len(pdf), -1)
@@ -267,7 +274,7 @@ def _flag(bound: int, percent: int):
             y = cell.partners(x)
             if len(y):
                 used[x] = used[y] = True
-        return pd.DataFrame({"bucket": cell.bucket, "i": cell.i, "j": cell.j, "rep": cell.rep[used]})
+        return pd.DataFrame({"bucket": cell.bucket, "i": cell.i, "j": cell.j, "set_key": cell.key[used]})
     return run
 
 
@@ -275,7 +282,7 @@ def _settle(bound: int, percent: int):
     """Judge the open pairs of a cell on full sets; members that link become one component at
     once, so only links that join two components come out (fewer than members)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep").reset_index(drop=True)
+        pdf = pdf.sort_values(["rep", "set_key"]).reset_index(drop=True)
         cell, out = Cell(pdf, bound, percent), []
         sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
         names, flat = np.unique(np.concatenate(sets), return_inverse=True)
@@ -305,7 +312,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
         F.min("k").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-classes")
     bound = xor_bound(percent, bands_for(percent) * ROWS)
 
-    entries = classes.select("rep", F.explode("bands").alias("bucket"))
+    entries = classes.select("rep", "set_key", F.explode("bands").alias("bucket"))
     shared = materialize(entries.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
                          .where("center < last").select("bucket", "center"), "near-buckets")
     met = materialize(entries.join(shared, "bucket"), "near-met")
@@ -322,19 +329,20 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     labels = components(links)
 
     placed = (met.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("bucket", "center", "rep", F.coalesce("label", "rep").alias("label")))
+              .select("bucket", "center", "rep", "set_key", F.coalesce("label", "rep").alias("label")))
     open_buckets = (placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
                     .where("lo < hi and size > 2")
                     .select("bucket", F.ceil(F.col("size") / F.lit(BLOCK_MEMBERS)).cast("int").alias("parts")))
-    loose = (placed.join(open_buckets, "bucket").join(classes.select("rep", "n", "sketch", "bands"), "rep")
-             .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    loose = (placed.join(open_buckets, "bucket").join(classes.select("set_key", "n", "sketch", "bands"), "set_key")
+             .withColumn("part", F.pmod(F.xxhash64("set_key"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("bucket", "center", "rep", "label", "n", "sketch", "bands", "part",
+             .select("bucket", "center", "rep", "set_key", "label", "n", "sketch", "bands", "part",
                      F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")))
     cell = ["bucket", "i", "j"]
-    open_members = materialize(loose.groupBy(*cell).applyInPandas(_flag(bound, percent), "bucket long, i int, j int, rep long"), "near-open")
-    sets = sets_of(open_members.select(F.col("rep").alias("k")), texts, words).withColumnRenamed("k", "rep").dropDuplicates(["rep"])
-    judged = loose.join(open_members, [*cell, "rep"]).join(sets, "rep")
+    open_members = materialize(loose.groupBy(*cell).applyInPandas(_flag(bound, percent), "bucket long, i int, j int, set_key binary"), "near-open")
+    owners = open_members.select("set_key").distinct().join(classes, "set_key").select(F.col("rep").alias("k"))
+    sets = sets_of(owners, texts, words).select("set_key", "set").dropDuplicates(["set_key"])
+    judged = loose.join(open_members, [*cell, "set_key"]).join(sets, "set_key")
     more = materialize(judged.groupBy(*cell).applyInPandas(_settle(bound, percent), "a long, b long"), "near-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more))

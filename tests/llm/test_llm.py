@@ -339,6 +339,28 @@ def test_near_duplicates_nulls_and_empty(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    from skuflow.llm.near_dup import near_duplicates
+    rng = random.Random(12)
+
+    def edited(base, n):
+        out = list(base)
+        for at in rng.sample(range(10, 110), n):
+            out[at] = f"e{rng.random()}"
+        return " ".join(out)
+    rows = []
+    for g in range(4):
+        base = [f"g{g}w{i}" for i in range(120)]
+        # unlike each other, and first in every bucket that the two documents below share: only the last pass judges those
+        rows += [(1000 * g + i, edited(base, 4)) for i in range(40)]
+        for doc_id in (1000 * g + 500, 1000 * g + 501):
+            rows += [(doc_id, edited(base, 1))] + [(doc_id, " ".join(f"u{rng.random()}" for _ in range(30))) for _ in range(3)]
+    want = brute_near(rows, 3, 85)
+    assert {c for k, _, c in want if k % 1000 >= 500} == {500, 1500, 2500, 3500}
+    for own in (rows, rows[::-1]):
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(frame(spark, own), 3, 85).collect()) == want
+
+
 def test_odd_sketch_counts_differences():
     from skuflow.llm.near_dup import odd_sketch, xor_bound
     rng = np.random.default_rng(0)
