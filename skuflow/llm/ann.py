@@ -36,7 +36,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -89,24 +89,29 @@ def probes(forest: list[Tree], q: np.ndarray, fraction: float) -> list[tuple[int
     return out
 
 
-def _router(forest: list[Tree], chunks: int, blocks: int):
+def _dealt(column: str, n: int) -> Column:
+    """Which of ``n`` groups an id is in; by a hash, as ids may share a factor with ``n``."""
+    return F.pmod(F.xxhash64(column), F.lit(n).cast("long"))
+
+
+def _router(forest: list[Tree]):
     def run(it):
         for pdf in it:
             x = np.array(pdf["v"].to_list(), dtype=np.float64)
             raw = [r.tobytes() for r in x]
             for t, tree in enumerate(forest):
-                yield pd.DataFrame({"tree": t, "leaf": tree.leaves(x), "chunk": pdf["class_id"] % chunks,
+                yield pd.DataFrame({"tree": t, "leaf": tree.leaves(x), "chunk": pdf["chunk"],
                                     "class_id": pdf["class_id"], "v": raw})
     return run
 
 
-def _prober(forest: list[Tree], fraction: float, blocks: int):
+def _prober(forest: list[Tree], fraction: float):
     def run(it):
         for pdf in it:
             rows = []
-            for class_id, v in zip(pdf["class_id"], pdf["v"]):
+            for class_id, block, v in zip(pdf["class_id"], pdf["block"], pdf["v"]):
                 q = np.array(v, dtype=np.float64)
-                rows += [(t, leaf, class_id % blocks, class_id, q.tobytes()) for t, leaf in probes(forest, q, fraction)]
+                rows += [(t, leaf, block, class_id, q.tobytes()) for t, leaf in probes(forest, q, fraction)]
             yield pd.DataFrame(rows, columns=["tree", "leaf", "block", "class_id", "v"])
     return run
 
@@ -159,8 +164,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, trees: int = TREES, depth
     search = asked.select("class_id").distinct()
     blocks = max(1, math.ceil(search.count() / _QUERIES))
     chunks = max(1, math.ceil(n / 2 ** depth / _MEMBERS))
-    index = classes.mapInPandas(_router(forest, chunks, blocks), "tree int, leaf int, chunk long, class_id long, v binary")
-    probe = search.join(classes, "class_id").mapInPandas(_prober(forest, fraction, blocks), "tree int, leaf int, block long, class_id long, v binary")
+    index = classes.withColumn("chunk", _dealt("class_id", chunks)).mapInPandas(_router(forest), "tree int, leaf int, chunk long, class_id long, v binary")
+    probe = (search.join(classes, "class_id").withColumn("block", _dealt("class_id", blocks))
+             .mapInPandas(_prober(forest, fraction), "tree int, leaf int, block long, class_id long, v binary"))
     # each block of queries meets each chunk of a leaf
     index = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     probe = probe.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))

@@ -446,6 +446,26 @@ def test_neighbours_edges(spark):
     assert nearest(v.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_blocks_are_bounded_for_strided_ids(spark, monkeypatch):
+    from skuflow.llm import ann
+    rng = np.random.default_rng(13)
+    v = spark.createDataFrame([(20 * i, x.tolist()) for i, x in enumerate(rng.normal(size=(640, 6)))], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, ann.nearest(v, F.lit(True), k=5, trees=1, depth=2, fraction=1.0).collect()))
+    rank = ann._rank
+
+    def guarded(k):
+        own = rank(k)
+
+        def run(queries, members):
+            assert len(queries) <= 2 * 32 and len(members) <= 2 * 32, (len(queries), len(members))
+            return own(queries, members)
+        return run
+    monkeypatch.setattr(ann, "_QUERIES", 32)  # 20 blocks
+    monkeypatch.setattr(ann, "_MEMBERS", 32)  # 5 chunks of a leaf
+    monkeypatch.setattr(ann, "_rank", guarded)
+    assert sorted(map(tuple, ann.nearest(v, F.lit(True), k=5, trees=1, depth=2, fraction=1.0).collect())) == want
+
+
 # -- 9 records ---------------------------------------------------------------------------------------------------
 
 
