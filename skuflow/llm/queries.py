@@ -6,6 +6,7 @@ from skuflow.llm.ann import op8_nearest
 from skuflow.llm.fingerprints import op4_fingerprints
 from skuflow.llm.mixing import op10_mix_sources
 from skuflow.llm.near_dup import ORACLE_OP6, op6_near_duplicates
+from skuflow.llm.parity_join import ORACLE_OP11, op11_jaccard_join
 from skuflow.llm.pieces import op3_pieces
 from skuflow.llm.pii import ORACLE_OP5, op5_pii
 from skuflow.llm.records import op9_token_records
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_token_records": op9_token_records,
     "op10_mix_sources": op10_mix_sources,
+    "op11_jaccard_join": op11_jaccard_join,
 }
 
 ORACLE_SQL = {
@@ -31,4 +33,5 @@ ORACLE_SQL = {
     "op5_pii": ORACLE_OP5,
     "op6_near_duplicates": ORACLE_OP6,
     "op7_url_filter": ORACLE_OP7,
+    "op11_jaccard_join": ORACLE_OP11,
 }
