@@ -10,6 +10,7 @@ from skuflow.llm.parity_join import ORACLE_OP11, op11_jaccard_join
 from skuflow.llm.pieces import op3_pieces
 from skuflow.llm.pii import ORACLE_OP5, op5_pii
 from skuflow.llm.records import op9_token_records
+from skuflow.llm.repair import op12_conversation_repair
 from skuflow.llm.repeats import ORACLE_OP2, op2_repeats
 from skuflow.llm.toxicity import op1_toxicity
 from skuflow.llm.url_filter import ORACLE_OP7, op7_url_filter
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_token_records": op9_token_records,
     "op10_mix_sources": op10_mix_sources,
     "op11_jaccard_join": op11_jaccard_join,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLE_SQL = {
