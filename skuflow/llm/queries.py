@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from skuflow.llm.ann import op8_nearest
 from skuflow.llm.fingerprints import op4_fingerprints
+from skuflow.llm.lexical import ORACLE_OP13, op13_lexical_search
 from skuflow.llm.mixing import op10_mix_sources
 from skuflow.llm.near_dup import ORACLE_OP6, op6_near_duplicates
 from skuflow.llm.parity_join import ORACLE_OP11, op11_jaccard_join
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
     "op11_jaccard_join": op11_jaccard_join,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL = {
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op6_near_duplicates": ORACLE_OP6,
     "op7_url_filter": ORACLE_OP7,
     "op11_jaccard_join": ORACLE_OP11,
+    "op13_lexical_search": ORACLE_OP13,
 }
