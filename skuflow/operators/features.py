@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.columns import round_dec, round_half_up, safe_pct, valid_orders
-from skuflow.functions.ranking import bounded_broadcast, global_rank
+from skuflow.functions.ranking import By, bounded_broadcast, global_rank
 from skuflow.sources.schemas import MONEY
 
 COST_COLUMNS = ["cogs_total", "storage_cost_total", "fulfillment_cost_total",
@@ -176,7 +176,7 @@ def sku_profitability(revenue: DataFrame, costs: DataFrame, reviews: DataFrame,
     cols = PROFIT_COLUMNS + (["units_sold", "cogs_total"] if extras else [])
     if not ranked:
         return df.select(*cols)
-    order = [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()]
+    order = [By("gross_revenue", desc=True), By("product_id")]
     return global_rank(df.select(*cols), order, "sku_rank").select(*cols, "sku_rank")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.functions.columns import as_double, round_half_up
-from skuflow.functions.ranking import exact_median, global_rank, global_running
+from skuflow.functions.ranking import By, global_running, medians, nth_row
 from skuflow.params import ForecastParams
 
 # The featured-SKU MAPE cutoffs, histogram bins and bias band.
@@ -21,7 +21,7 @@ def forecast_review(forecasts: DataFrame) -> DataFrame:
     distinct keys (first row per key)."""
     counts = forecasts.groupBy("grain", "confidence").agg(F.count(F.lit(1)).alias("row_count"))
     first = forecasts.groupBy("grain", "grain_key").agg(F.min_by("mape_pct", "forecast_month").alias("m"))
-    med = first.groupBy("grain").agg(F.round(exact_median("m"), 2).cast("decimal(18,2)").alias("median_mape_pct"))
+    med = medians(first, ["grain"], {"m": (F.col("m"), 2)}, few=True).select("grain", F.round("m", 2).cast("decimal(18,2)").alias("median_mape_pct"))
     return counts.join(med, "grain", "left")
 
 
@@ -42,19 +42,13 @@ def sku_metrics(forecasts: DataFrame) -> DataFrame:
 
 def feature_sku(metrics: DataFrame) -> DataFrame:
     """The SKU to feature. Candidates sorted by MAPE (then id); the first
-    cutoff with >= 3 SKUs under it picks position n // 3 of that pool, which
-    is a prefix of the sorted candidates, so one global rank serves all cutoffs."""
+    cutoff with >= 3 SKUs under it picks position n // 3 of that pool. Every pool
+    is a prefix of the sorted candidates, so its pick is their n-th row: counts
+    say which, and only the value range that holds it is sorted."""
     cand = metrics.where(F.col("mape_pct").isNotNull())
-    ranked = global_rank(cand, [F.col("mape_pct").asc(), F.col("product_id").asc()], "_r")
-    m = F.col("mape_pct")
-    counts = cand.agg(*[F.count_if(m < c).alias(f"n{c}") for c in FEATURE_CUTOFFS],
-                      F.count(F.lit(1)).alias("n_all"))
-    target = None
-    for c in FEATURE_CUTOFFS:
-        pick = F.floor(F.col(f"n{c}") / 3) + 1
-        target = F.when(F.col(f"n{c}") >= 3, pick) if target is None else target.when(F.col(f"n{c}") >= 3, pick)
-    target = target.when(F.col("n_all") >= 3, F.floor(F.col("n_all") / 3) + 1).otherwise(F.lit(1))
-    return ranked.where(F.col("_r") == counts.select(target.cast("long")).scalar()).drop("_r")
+    pools = [F.count_if(F.col("mape_pct") < c) for c in FEATURE_CUTOFFS] + [F.count(F.lit(1))]
+    sizes = [n for n in cand.agg(*[c.alias(f"n{i}") for i, c in enumerate(pools)]).first() if n >= 3]
+    return nth_row(cand, [By("mape_pct"), By("product_id")], sizes[0] // 3 + 1 if sizes else 1)
 
 
 def moving_average_segments(filled: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:
@@ -105,7 +99,8 @@ def mape_summary(metrics: DataFrame) -> DataFrame:
     m = F.col("mape_pct")
     x = metrics.where(m.isNotNull())
     n = F.count(F.lit(1))
-    return x.agg(n.alias("sku_count"), F.round(exact_median("mape_pct"), 1).cast("decimal(18,1)").alias("median_mape"),
+    middle = medians(x, [], {"m": (m, 2)}).scalar()
+    return x.agg(n.alias("sku_count"), F.max(F.round(middle, 1)).cast("decimal(18,1)").alias("median_mape"),
                  round_half_up(as_double(F.count_if(m < 20)) * 100.0 / as_double(n), 1).alias("pct_high"),
                  round_half_up(as_double(F.count_if((m >= 20) & (m < 50))) * 100.0 / as_double(n), 1)
                  .alias("pct_medium"),
@@ -119,13 +114,10 @@ def sku_units(monthly: DataFrame) -> DataFrame:
 def coverage_pareto(units: DataFrame, metrics: DataFrame) -> DataFrame:
     """SKUs by units (desc, then id) with cumulative share of units and a
     forecast flag (distributed running total)."""
-    flagged = units.join(metrics.select(F.col("product_id").alias("grain_key")).withColumn("_f", F.lit(True)),
-                         units["product_id"].cast("string") == F.col("grain_key"), "left") \
-        .select("product_id", "total_units", F.coalesce("_f", F.lit(False)).alias("forecasted"))
-    ran = global_running(flagged, "total_units", [F.col("total_units").desc(), F.col("product_id").asc()],
-                         "cum_units", "sku_rank")
-    ran = ran.withColumn("_tot", units.agg(F.sum("total_units")).scalar())
-    return ran.select("sku_rank", "product_id", "total_units",
+    ran = global_running(units, "total_units", [By("total_units", desc=True), By("product_id")], "cum_units", "sku_rank")
+    ran = ran.withColumns({"_tot": units.agg(F.sum("total_units")).scalar(), "_key": F.col("product_id").cast("string")})
+    flags = metrics.select(F.col("product_id").alias("_key"), F.lit(True).alias("_f"))
+    return ran.join(flags, "_key", "left").withColumn("forecasted", F.coalesce("_f", F.lit(False))).select("sku_rank", "product_id", "total_units",
                       round_half_up(as_double("cum_units") * 100.0 / as_double("_tot"), 4)
                       .alias("cumulative_units_pct"), "forecasted")
 
@@ -145,9 +137,9 @@ def coverage_summary(units: DataFrame, metrics: DataFrame) -> DataFrame:
 def quantile_edges(df: DataFrame, value: str, bins: int) -> Column:
     """Scalar subquery: the distinct linear quantiles 0, 1/bins, ..., 1 of a whole-number
     column, from ranked counts: one row per distinct value after partial aggregation, a
-    range-sorted running count over them, and two conditional minima per quantile."""
+    running count over them (by value ranges), and two conditional minima per quantile."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = global_running(counts, "_c", [F.col(value).asc()], "_upto")
+    ranked = global_running(counts, "_c", [By(value)], "_upto")
     n = ranked.agg(F.sum("_c")).scalar()
     marked = ranked.withColumn("_n", n)
     places = [F.lit(i / bins) * (F.col("_n") - 1) for i in range(bins + 1)]
@@ -172,10 +164,11 @@ def accuracy_by_volume(units: DataFrame, metrics: DataFrame, bins: int = VOLUME_
     binned = x.withColumn("bin", F.size(F.filter(upper, lambda e: e < as_double("total_units")))) \
         .withColumn("bin_low", F.element_at("_e", F.col("bin") + 1)) \
         .withColumn("bin_high", F.element_at("_e", F.col("bin") + 2))
-    return binned.groupBy("bin", "bin_low", "bin_high").agg(
-        F.count(F.lit(1)).alias("sku_count"),
-        exact_median("total_units", 0).cast("decimal(20,1)").alias("median_units"),
-        F.round(exact_median("mape_pct"), 2).cast("decimal(18,2)").alias("median_mape"))
+    counts = binned.groupBy("bin", "bin_low", "bin_high").agg(F.count(F.lit(1)).alias("sku_count"))
+    middle = medians(binned, ["bin"], {"u": (F.col("total_units"), 0), "m": (F.col("mape_pct"), 2)}, few=True)
+    return counts.join(F.broadcast(middle), "bin").select(
+        "bin", "bin_low", "bin_high", "sku_count", F.col("u").cast("decimal(20,1)").alias("median_units"),
+        F.round("m", 2).cast("decimal(18,2)").alias("median_mape"))
 
 
 def category_bias(monthly: DataFrame, forecasts: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.columns import (exact_avg, exact_div, as_double, money, opportunity, pct_text, round_dec, round_half_up,
                                        safe_pct)
-from skuflow.functions.ranking import exact_median, global_rank, scorecard
+from skuflow.functions.ranking import By, global_rank, medians, scorecard
 from skuflow.operators.demand import pop_sigma
 from skuflow.params import InventoryParams
 
@@ -157,7 +157,7 @@ def stockout_register(decisions: DataFrame, p: InventoryParams = InventoryParams
                .otherwise(URGENCY[2]))
     r = decisions.where(F.col("verdict") == "REORDER NOW").withColumn(
         "_risk", F.col("at_risk_units") * F.col("unit_price"))
-    r = global_rank(r, [F.col("_risk").desc_nulls_first(), F.col("product_id").asc_nulls_last()], "risk_rank")
+    r = global_rank(r, [By("_risk", desc=True, nulls_first=True), By("product_id")], "risk_rank")
     return r.select(
         "product_id", "category", _units("forecast_demand").alias("forecast_demand_units"),
         _units("modeled_current_stock").alias("modeled_stock_units"),
@@ -176,7 +176,7 @@ def _action() -> Column:
 def action_list(decisions: DataFrame) -> DataFrame:
     """Non-HOLD SKUs with money at stake, action text and priority rank."""
     r = decisions.where(F.col("verdict") != "HOLD").withColumn("_opp", opportunity())
-    r = global_rank(r, [F.col("_opp").desc_nulls_first(), F.col("product_id").asc_nulls_last()], "priority_rank")
+    r = global_rank(r, [By("_opp", desc=True, nulls_first=True), By("product_id")], "priority_rank")
     return r.select(
         "product_id", "category", "verdict", "profit_margin_pct",
         _units("forecast_demand").alias("forecast_demand_units"),
@@ -323,10 +323,6 @@ def category_impact(decisions: DataFrame) -> DataFrame:
                     round_dec(F.col("l") + F.col("f") + F.col("p"), 2, 38).alias("total_opportunity_brl"))
 
 
-def _median_1dp(c: str, scale: int = 2) -> Column:
-    return F.round(exact_median(c, scale), 1)
-
-
 def inventory_scorecard(decisions: DataFrame, forecasts: DataFrame, currency: str = "$") -> DataFrame:
     """K2: 13 long-form metrics (metric, value, value_display)."""
     v = F.col("verdict")
@@ -339,12 +335,12 @@ def inventory_scorecard(decisions: DataFrame, forecasts: DataFrame, currency: st
         F.coalesce(F.sum(F.when(v == "REDUCE STOCK", F.col("excess_units") * F.col("unit_cogs"))), zero)
         .alias("freed"),
         F.coalesce(F.sum(F.when(v == "REORDER NOW", F.col("at_risk_units") * F.col("unit_price"))), zero)
-        .alias("protected_"),
-        _median_1dp("mape_pct").alias("mape_sku"))
+        .alias("protected_"))
     cat = forecasts.where(F.col("grain") == "category").groupBy("category").agg(
         exact_avg("mape_pct", 6)
         .alias("m"))
-    row = k.withColumn("mape_cat", cat.agg(_median_1dp("m", 6)).scalar())
+    row = k.withColumns({"mape_sku": F.round(medians(decisions, [], {"x": (F.col("mape_pct"), 2)}).scalar(), 1),
+                         "mape_cat": F.round(medians(cat, [], {"x": (F.col("m"), 6)}).scalar(), 1)})
     share = round_half_up(as_double("actionable") * 100.0 / F.nullif(as_double("skus"), F.lit(0.0)), 1)
     total = F.col("losses") + F.col("freed") + F.col("protected_")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.columns import (as_double, dominant, money, pct_text, round_dec, round_half_up,
                                        safe_pct)
-from skuflow.functions.ranking import bounded_broadcast, global_running
+from skuflow.functions.ranking import By, bounded_broadcast, global_running
 from skuflow.operators.features import COST_COLUMNS
 
 # Fixed labels of the class-impact rows.
@@ -62,15 +62,11 @@ def profit_pareto(profitability: DataFrame, currency: str = "$") -> DataFrame:
     """Profitable SKUs by net profit: rank, cumulative profit share (equal
     profits share one running total, as SQL's RANGE frame) and SKU share."""
     pos = profitability.where(F.col("net_profit") > 0).select("product_id", "category", "net_profit")
-    # One sort gives rank and running sum; as profits are positive, the last of a peer
-    # group holds its total (one row per distinct profit after partial aggregation).
-    order = [F.col("net_profit").desc(), F.col("product_id").asc_nulls_last()]
-    ranked = global_running(pos, "net_profit", order, "_running", "profit_rank")
-    peers = ranked.groupBy("net_profit").agg(F.max("_running").alias("running_profit"))
-    # Totals are scalar subqueries: computed once, no join.
-    total_profit = ranked.agg(F.sum("net_profit")).scalar()
-    total_skus = ranked.agg(F.count(F.lit(1))).scalar()
-    df = ranked.join(peers, "net_profit").withColumns({"total_profit": total_profit, "total_skus": total_skus})
+    order = [By("net_profit", desc=True), By("product_id")]
+    ranked = global_running(pos, "net_profit", order, rank_name="profit_rank", peers_name="running_profit")
+    # Totals are a scalar subquery: computed once, no join.
+    totals = pos.agg(F.struct(F.sum("net_profit").alias("profit"), F.count(F.lit(1)).alias("skus"))).scalar()
+    df = ranked.withColumns({"total_profit": totals.getField("profit"), "total_skus": totals.getField("skus")})
     return df.select(
         "profit_rank", "product_id", "category",
         money("net_profit", currency).alias("net_profit"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.columns import as_double, exact_avg, money, opportunity, round_dec, round_half_up
-from skuflow.functions.ranking import exact_median, latest_per_key, modal_value, scorecard
+from skuflow.functions.ranking import latest_per_key, medians, modal_value, scorecard
 
 # Published baseline rows of the model comparison.
 BASELINE_ROWS = [
@@ -30,10 +30,6 @@ THRESHOLDS = {"high": "MAPE < 20%", "medium": "MAPE 20–50%", "low": "MAPE > 50
 BANDS = (("high", "High"), ("medium", "Medium"), ("low", "Low"))
 
 
-def _band_order(c: Column) -> Column:
-    return F.when(c == "high", 1).when(c == "medium", 2).when(c == "low", 3).otherwise(4)
-
-
 def _avg(c: str, n: int) -> Column:
     return exact_avg(c, n)
 
@@ -78,14 +74,18 @@ def latest_sku_rows(forecasts: DataFrame) -> DataFrame:
                           ["category", "confidence", "mape_pct", "mae", "model_used"])
 
 
+def _median_errors(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys (labels) with the rounded medians of MAE and MAPE."""
+    return medians(df, keys, {"mae": (F.col("mae"), 2), "mape_pct": (F.col("mape_pct"), 2)}, few=True).select(
+        *keys, F.round("mae", 2).cast("decimal(18,2)").alias("median_mae"), F.round("mape_pct", 1).cast("decimal(18,1)").alias("median_mape_pct"))
+
+
 def model_comparison(forecasts: DataFrame, baselines: DataFrame | None = None) -> DataFrame:
     """V3: naive and moving-average rows (published figures, or live medians
     when ``baselines`` (M16) is given) and the live medians of the model that made
     the forecasts, labelled by ``model_used``."""
     s = latest_sku_rows(forecasts)
-    hw = s.agg(F.round(exact_median("mae"), 2).cast("decimal(18,2)").alias("median_mae"),
-               F.round(exact_median("mape_pct"), 1).cast("decimal(18,1)").alias("median_mape_pct"),
-               F.max("model_used").alias("used"))
+    hw = _median_errors(s, []).withColumn("used", s.agg(F.max("model_used")).scalar())
 
     def of_model(i: int) -> Column:
         expr = F.lit(None)
@@ -105,9 +105,7 @@ def model_comparison(forecasts: DataFrame, baselines: DataFrame | None = None) -
         base = rows[0].unionByName(rows[1])
     else:
         notes = {m: (i, n) for i, m, _, _, _, _, n in BASELINE_ROWS}
-        live = baselines.where(F.col("grain") == "sku").groupBy("model").agg(
-            F.round(exact_median("mae"), 2).cast("decimal(18,2)").alias("median_mae"),
-            F.round(exact_median("mape_pct"), 1).cast("decimal(18,1)").alias("median_mape_pct"))
+        live = _median_errors(baselines.where(F.col("grain") == "sku"), ["model"])
         so = F.lit(9)
         nt = F.lit(None).cast("string")
         for m, (i, n) in notes.items():
@@ -133,12 +131,13 @@ def confidence_scorecard(forecasts: DataFrame, decisions: DataFrame, currency: s
     c = F.col("confidence")
     band_aggs = []
     for key, _ in BANDS:
-        band_aggs += [F.count_if(c == key).alias(f"n_{key}"),
-                      F.round(exact_median(f"CASE WHEN confidence = '{key}' THEN mape_pct END"), 1)
-                      .alias(f"med_{key}")]
+        band_aggs.append(F.count_if(c == key).alias(f"n_{key}"))
+    middle = medians(s, [], {"med_all": (F.col("mape_pct"), 2),
+                             **{f"med_{key}": (F.when(c == key, F.col("mape_pct")), 2) for key, _ in BANDS}})
+    packed_medians = middle.select(F.struct(*[F.round(m, 1).alias(m) for m in middle.columns])).scalar()
     b = s.agg(F.count(F.lit(1)).alias("total_skus"),
-              F.sum(F.when(c.isin("high", "medium"), 1)).alias("high_med_skus"),
-              F.round(exact_median("mape_pct"), 1).alias("med_all"), *band_aggs)
+              F.sum(F.when(c.isin("high", "medium"), 1)).alias("high_med_skus"), *band_aggs) \
+        .withColumns({m: packed_medians.getField(m) for m in middle.columns})
     o = decisions.withColumn("_opp", opportunity()).groupBy("confidence").agg(
         round_dec(F.sum("_opp"), 2, 38).alias("opp"))
     oa_cols = [F.sum("opp").alias("total_opp"),

@@ -3,8 +3,8 @@
 Each stage is a lazily built DataFrame. Stages read by many later stages
 (the (SKU, month) base, F7b, F8, the filled series, the forecast table and D1)
 are written as parquet to the shared folder of ``spark.checkpoint.dir`` and
-read back (``store='memory'`` caches them instead), as are the positions behind
-global ranks. Building a stage therefore runs jobs.
+read back (``store='memory'`` caches them instead). Building a stage therefore
+runs jobs; a global rank runs one for the bounds of its value ranges.
 
 The quality gate stands in front of every stage: the cleaned tables are handed
 on only if every translated category has its cost rows.
@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.functions.ranking import global_rank
+from skuflow.functions.ranking import By, global_rank
 
 from skuflow.operators import clean, demand, features, forecast, forecast_reports, inventory, kpi, profit, quality, trust
 from skuflow.params import Params
@@ -165,8 +165,8 @@ class Pipeline:
 
     @cached_property
     def sku_profitability(self) -> DataFrame:
-        """F7b with sku_rank (a global, checkpointed rank)."""
-        order = [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()]
+        """F7b with sku_rank (a global rank over value ranges)."""
+        order = [By("gross_revenue", desc=True), By("product_id")]
         return global_rank(self.profitability.select(*features.PROFIT_COLUMNS), order, "sku_rank")
 
     @cached_property

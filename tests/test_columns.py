@@ -62,10 +62,3 @@ def test_exact_ties_round_away_from_zero(spark):
     assert got == [Decimal("33008.51"), Decimal("-33008.51"), Decimal("0.33"), None, None]
     half = spark.createDataFrame([(Decimal("0.01"),), (Decimal("0.02"),)], "x decimal(12,2)")
     assert half.select(exact_avg("x", 2), exact_avg("x", 6)).first() == (Decimal("0.02"), Decimal("0.015000"))
-
-
-def test_median_of_two_middle_values(spark):
-    from skuflow.functions.ranking import exact_median
-    df = spark.createDataFrame([(Decimal(v),) for v in ("1.00", "2.00", "4.50", "9.00")], "x decimal(12,2)")
-    assert df.agg(exact_median("x")).first()[0] == Decimal("3.25")
-    assert df.where("x < 9").agg(exact_median("x")).first()[0] == Decimal("2.00")

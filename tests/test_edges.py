@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.ranking import global_rank
+from skuflow.functions.ranking import By, global_rank
 from skuflow.operators import features, inventory
 from skuflow.params import InventoryParams
 
@@ -90,8 +90,8 @@ def test_zero_revenue_and_null_status(spark):
 @given(st.lists(st.integers(min_value=0, max_value=6), min_size=1, max_size=60))
 def test_global_rank_property(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v long").repartition(3)
-    order = [F.col("v").desc(), F.col("id").asc()]
+    order = [By("v", desc=True), By("id")]
     ours = sorted((r["id"], r["rk"]) for r in global_rank(df, order, "rk").collect())
-    ref = sorted((r["id"], r["rk"]) for r in df.select("id", F.row_number().over(Window.orderBy(*order))
+    ref = sorted((r["id"], r["rk"]) for r in df.select("id", F.row_number().over(Window.orderBy(*[b.order() for b in order]))
                                                        .alias("rk")).collect())
     assert ours == ref
