@@ -62,14 +62,15 @@ def null_out_of_range(df: DataFrame, rules: list[tuple[str, float, bool]]) -> Da
     return df.withColumns(out) if out else df
 
 
+def clean_table(df: DataFrame, name: str) -> DataFrame:
+    """C1-C4 of one base table."""
+    if name == "products":
+        df = rename_columns(df)
+    df = normalise_keys(df, KEY_COLUMNS.get(name, []))
+    df = blank_to_null(df, TIMESTAMP_COLUMNS.get(name, []))
+    return null_out_of_range(df, RANGE_RULES.get(name, []))
+
+
 def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """C1-C4 over every base table. C5: the row count of each table is unchanged."""
-    out = {}
-    for name, df in raw.items():
-        if name == "products":
-            df = rename_columns(df)
-        df = normalise_keys(df, KEY_COLUMNS.get(name, []))
-        df = blank_to_null(df, TIMESTAMP_COLUMNS.get(name, []))
-        df = null_out_of_range(df, RANGE_RULES.get(name, []))
-        out[name] = df
-    return out
+    return {name: clean_table(df, name) for name, df in raw.items()}

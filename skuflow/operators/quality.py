@@ -55,19 +55,37 @@ def cost_coverage(translation: DataFrame, cost_tables: Sequence[DataFrame]) -> D
                 "category_translation", F.col("n"), "fail")
 
 
-def quality_report(t: dict[str, DataFrame]) -> DataFrame:
-    """Q7: the six counts of the post-load checks; only cost coverage fails."""
+def counted_row(df: DataFrame, n: int, check: str, table: str, severity: str = "info") -> DataFrame:
+    """A report row from a count that is known already (``df`` gives the session)."""
+    return df.sparkSession.createDataFrame([(check, table, int(n), severity)], "check string, table string, violations long, severity string")
+
+
+def quality_report(t: dict[str, DataFrame], stored=None, quarantine: DataFrame | None = None) -> DataFrame:
+    """Q7: the six counts of the post-load checks; only cost coverage fails. With ``stored`` tables
+    (`sources.load.store_tables`) the three column counts are those taken while the tables were
+    written; ``quarantine`` (`sources.load.load_csv`) adds the records that did not fit, per table."""
+    if stored is not None:
+        column_counts = [
+            counted_row(t["orders"], stored.count("orders", "null:order_purchase_timestamp"), "null_purchase_timestamp", "orders"),
+            counted_row(t["orders"], stored.count("products", "null:product_category_name"), "null_product_category", "products"),
+            counted_row(t["orders"], stored.count("orders", "unknown:order_status"), "unexpected_order_status", "orders")]
+    else:
+        column_counts = [
+            null_count(t["orders"], "order_purchase_timestamp", "null_purchase_timestamp", "orders"),
+            null_count(t["products"], "product_category_name", "null_product_category", "products"),
+            out_of_vocabulary(t["orders"], "order_status", ALLOWED_STATUSES, "unexpected_order_status", "orders")]
     checks = [
         orphans(t["order_items"], t["products"], "product_id", "product_id",
                 "orphan_items_product_missing", "order_items"),
         orphans(t["order_reviews"], t["orders"], "order_id", "order_id",
                 "orphan_reviews_order_missing", "order_reviews"),
-        null_count(t["orders"], "order_purchase_timestamp", "null_purchase_timestamp", "orders"),
-        null_count(t["products"], "product_category_name", "null_product_category", "products"),
-        out_of_vocabulary(t["orders"], "order_status", ALLOWED_STATUSES, "unexpected_order_status", "orders"),
+        *column_counts,
         cost_coverage(t["category_translation"], [t["supplier_costs"], t["storage_costs"],
                                                   t["fulfillment_costs"], t["return_costs"]]),
     ]
+    if quarantine is not None:
+        from skuflow.sources.load import quarantine_report
+        checks.append(quarantine_report(quarantine))
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)

@@ -24,7 +24,7 @@ from skuflow.functions.ranking import By, global_rank
 from skuflow.operators import clean, demand, features, forecast, forecast_reports, inventory, kpi, profit, quality, trust
 from skuflow.params import Params
 from skuflow.session import delete_stages, materialize
-from skuflow.sources import testdata
+from skuflow.sources import load, testdata
 
 
 class Pipeline:
@@ -32,16 +32,22 @@ class Pipeline:
     to the shared checkpoint folder and reads it back: the lineage is cut (plans
     stay small, a lost executor never forces a recompute from the raw tables)
     and the planner sees real file sizes. 'memory' persists in the cache; 'none'
-    keeps everything lazy."""
+    keeps everything lazy. ``stored_tables``: the cleaned tables are first written in
+    buckets of their join keys (`sources.load`), so joins on them move no rows and the
+    column counts of the report come from that write. ``quarantine``: records that a
+    checked load set aside, for the report."""
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], params: Params | None = None,
-                 store: str = "parquet", gate: bool = True, forecaster: str = "holt_winters"):
+                 store: str = "parquet", gate: bool = True, forecaster: str = "holt_winters",
+                 stored_tables: bool = False, quarantine: DataFrame | None = None):
         self.spark = spark
         self.raw = raw
         self.params = params or Params()
         self.store = store
         self.gate = gate
         self.forecaster = forecaster
+        self.stored_tables = stored_tables
+        self.quarantine = quarantine
         if forecaster not in ("holt_winters", "moving_average"):
             raise ValueError(f"no forecaster {forecaster}")
         self._persisted: list[DataFrame] = []
@@ -81,12 +87,19 @@ class Pipeline:
             df.unpersist()
         self._persisted.clear()
         delete_stages(self.spark, self._written)
+        if "stored" in self.__dict__:
+            self.stored.release()
 
     # ---- cleaning and quality ------------------------------------------------
+    @cached_property
+    def stored(self) -> load.Stored:
+        """The cleaned tables as written (``stored_tables``), with the counts taken meanwhile."""
+        return load.store_tables(self.spark, self.raw)
+
     @cached_property
     def cleaned(self) -> dict[str, DataFrame]:
         """C1-C5 before the gate: what the reports look at."""
-        return clean.clean_tables(self.raw)
+        return self.stored.tables if self.stored_tables else clean.clean_tables(self.raw)
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -96,7 +109,11 @@ class Pipeline:
         return self.cleaned
 
     def quality_report(self) -> DataFrame:
-        return quality.quality_report(self.cleaned)
+        return quality.quality_report(self.cleaned, self.stored if self.stored_tables else None, self.quarantine)
+
+    def load_report(self) -> DataFrame:
+        """Rows, nulls and cleaned values per stored table."""
+        return self.stored.load_report()
 
     def key_report(self) -> DataFrame:
         return quality.key_report({**self.cleaned, "forecast_results": self.forecasts})

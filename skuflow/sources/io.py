@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuflow.sources.load import read_checked
 from skuflow.sources.schemas import DEMAND_SERIES_SCHEMA, FORECAST_SCHEMA, RAW_SCHEMAS, check_schema
 
 
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """Load one base table with its declared schema (CSV) or check it (parquet)."""
+    """Load one base table with its declared schema (CSV) or check it (parquet). A CSV record that does
+    not fit fails the load, as a database load does; `load.read_checked` sets such records aside instead."""
     if fmt == "csv":
-        return spark.read.schema(RAW_SCHEMAS[table]).option("header", True).csv(path)
+        rows, quarantine = read_checked(spark, path, table)
+        bad = quarantine.limit(1).collect()
+        if bad:
+            raise ValueError(f"table {table}: {', '.join(bad[0]['problems'])} in record {bad[0]['line'][:200]}")
+        return rows
     return check_schema(spark.read.format(fmt).load(path), table)
 
 

@@ -149,3 +149,21 @@ def load_tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[s
               "products": products, "order_reviews": reviews}
     tables.update(cost_tables(cats, dirty))
     return tables
+
+
+# CSV variant of the items: fixed values of the defects.
+CSV_MISSING_MOD, CSV_NUMBER_MOD, CSV_OVERFLOW_MOD, CSV_DATE_MOD, CSV_BLANK_DATE_MOD, CSV_COLUMNS_MOD, CSV_INT_MOD = 43, 37, 61, 41, 29, 47, 59
+
+
+def write_items_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The items as CSV lines without a header, some of which do not fit: a missing line number, a line number
+    that is no whole number, a price that is text or has too many digits, an impossible date, an extra column."""
+    key = F.col("l_orderkey")
+    number = F.when(key % CSV_MISSING_MOD == 0, "").when(key % CSV_INT_MOD == 0, F.concat(F.col("l_linenumber").cast("string"), F.lit(".5x"))) \
+        .otherwise(F.col("l_linenumber").cast("string"))
+    price = F.when(key % CSV_NUMBER_MOD == 0, "n/a").when(key % CSV_OVERFLOW_MOD == 0, "9" * 20) \
+        .otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
+    date = F.when(key % CSV_DATE_MOD == 0, "2020-13-45 00:00:00").when(key % CSV_BLANK_DATE_MOD == 0, "").otherwise("2020-02-29 12:30:00")
+    fields = [key.cast("string"), number, F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), date, price, F.lit("1.2500")]
+    extra = F.when(key % CSV_COLUMNS_MOD == 0, ",extra").otherwise("")
+    _read(spark, sf_dir, "lineitem").select(F.concat(F.concat_ws(",", *fields), extra).alias("value")).write.text(path)
