@@ -79,11 +79,11 @@ def sku_decisions(forecasts: DataFrame, features: DataFrame, profitability: Data
                   p: InventoryParams = InventoryParams()) -> DataFrame:
     """SKUs having a forecast, demand features and profitability.
     ``profitability`` carries units_sold and cogs_total (F5, F6) so the join
-    is three-way instead of five-way."""
-    f = forecast_summary(forecasts, "sku", "grain_key")
-    d = features.select(F.col("product_id"), F.col("product_id").cast("string").alias("grain_key"),
-                        "past_demand", "demand_sigma")
-    b = f.join(d, "grain_key").join(
+    is three-way instead of five-way, all on the typed product id (the forecast
+    table keeps ids as text, so they are read back as what they were)."""
+    f = forecast_summary(forecasts, "sku", "grain_key").select(
+        F.col("grain_key").try_cast(features.schema["product_id"].dataType).alias("product_id"), F.col("*")).drop("grain_key")
+    b = f.join(features.select("product_id", "past_demand", "demand_sigma"), "product_id").join(
         profitability.select("product_id", "net_profit", "profit_margin_pct", "units_sold", "cogs_total",
                              "gross_revenue"), "product_id")
     b = b.withColumns({

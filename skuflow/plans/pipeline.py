@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.ranking import By, global_rank
 
-from skuflow.operators import clean, demand, features, forecast, forecast_reports, inventory, kpi, profit, quality, trust
+from skuflow.operators import clean, demand, features, forecast, forecast_reports, inventory, kpi, profit, quality, renew, trust
 from skuflow.params import Params
 from skuflow.session import delete_stages, materialize
 from skuflow.sources import load, testdata
@@ -73,9 +73,9 @@ class Pipeline:
         out.__dict__["forecasts"] = forecasts
         return out
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
         if self.store == "parquet":
-            return materialize(df, f"{self._run_id}-{name}", self._written)
+            return materialize(df, f"{self._run_id}-{name}", self._written, by)
         if self.store == "memory":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(df)
@@ -249,7 +249,7 @@ class Pipeline:
     # ---- M (demand) ------------------------------------------------------------
     @cached_property
     def demand_features(self) -> DataFrame:
-        return demand.demand_features(self.monthly_sku)
+        return self._keep(demand.demand_features(self.monthly_sku), "demand_features")
 
     def history_coverage(self) -> DataFrame:
         return demand.history_coverage(self.monthly_sku)
@@ -263,7 +263,7 @@ class Pipeline:
         """M4 for both grains (eligible SKUs, M3, and all categories), materialised:
         every forecaster, backtest and chart-data view reads it."""
         sku = demand.sku_filled(self.monthly_sku, self.params.forecast)
-        return self._keep(sku.unionByName(demand.category_filled(self.monthly_sku)), "filled_series")
+        return self._keep(sku.unionByName(demand.category_filled(self.monthly_sku)), "filled_series", ("grain",))
 
     @cached_property
     def sku_series_filled(self) -> DataFrame:
@@ -283,14 +283,22 @@ class Pipeline:
     def fits(self) -> DataFrame:
         """The Holt-Winters fit of every series, stored once: the forecast table and the
         chart segments are read from it."""
-        return self._keep(forecast.fit_series(self.filled_series, self.params.forecast), "fits")
+        return self._keep(forecast.fit_series(self.filled_series, self.params.forecast), "fits", ("grain", "segment"))
 
     @cached_property
     def forecasts(self) -> DataFrame:
-        """The forecast table (both grains)."""
+        """The forecast table, stored by grain: readers of one grain skip the other's files."""
         if self.forecaster == "holt_winters":
-            return forecast.forecast_rows(self.fits)
-        return self._keep(demand.moving_average_forecast(self.filled_series, self.params.forecast), "forecasts")
+            rows = forecast.forecast_rows(self.fits)
+        else:
+            rows = demand.moving_average_forecast(self.filled_series, self.params.forecast)
+        return self._keep(rows, "forecasts", ("grain",))
+
+    def renew_forecasts(self, path: str) -> renew.Renewal:
+        """Bring the forecast store at ``path`` up to date: only changed series are fitted."""
+        p = self.params.forecast
+        fit = forecast.holt_winters if self.forecaster == "holt_winters" else demand.moving_average_forecast
+        return renew.renew_forecasts(self.filled_series, path, lambda series: fit(series, p), self.forecaster, p)
 
     def forecast_table(self) -> DataFrame:
         return self.forecasts

@@ -42,18 +42,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[key]
 
 
-def materialize(df, name: str = "stage", written: list[str] | None = None):
+def materialize(df, name: str = "stage", written: list[str] | None = None, by: tuple[str, ...] = ()):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: one job, lineage cut, survives the loss of any executor. The folder is
-    added to ``written``, for `delete_stages`."""
+    added to ``written``, for `delete_stages`. ``by``: columns to partition the
+    files by (few values), so that readers of one value skip the others."""
     import uuid
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/skuflow-stages/{uuid.uuid4().hex[:12]}-{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     if written is not None:
         written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    return out.select(*df.columns) if by else out
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
 def delete_stages(spark: SparkSession, written: list[str]) -> None:
