@@ -13,7 +13,7 @@ is, when their sets differ in at most ``differences(|A| + |B|)`` shingles.
    of D + 1 words of 64 bits. A shingle that only one of two sets holds changes
    one bit at most, so the Hamming distance of two sketches never exceeds the
    number of differing shingles, and two sets that link agree in one whole word
-   at least (pigeonhole). Classes meet in buckets of (band, word, value).
+   at least (pigeonhole). Classes meet in buckets of (band, place of the word, word).
 3. In every bucket each class is paired with the smallest resident (a star, never
    all pairs). Pairs whose sketches differ in too many bits are out; the others
    are verified on their full sets. Connected components of the links.
@@ -45,7 +45,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,10 +148,10 @@ def _set_maker(words: int):
 def sets_of(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(c, set) of the classes named in ``members`` (c), from the text of one document of each."""
     wanted = materialize(members.select("c").distinct().join(classes.select("c", "rep", "set_key"), "c"), "parity-wanted")
-    ids = wanted.select(F.col("rep").alias("k")).distinct()
+    ids, keys = wanted.select(F.col("rep").alias("k")).distinct(), wanted.select("c", "set_key")
     few = wanted.count() <= BROADCAST_IDS
     made = texts.join(F.broadcast(ids) if few else ids, "k", "left_semi").select("text").mapInArrow(_set_maker(words), "set_key binary, set binary")
-    return made.join(wanted.select("c", "set_key"), "set_key").dropDuplicates(["c"]).select("c", "set")
+    return made.join(F.broadcast(keys) if few else keys, "set_key").dropDuplicates(["c"]).select("c", "set")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -185,10 +184,12 @@ def _judge(percent: int):
 def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b, bytes of b's set) that link by their full sets; each a with its partners in salted groups."""
     sets = materialize(sets_of(pairs.select(F.explode(F.array("a", "b")).alias("c")), classes, texts, words), "parity-sets")
-    groups = pairs.groupBy("a").agg(F.ceil(F.sum("bytes") / GROUP_BYTES).cast("int").alias("salts"))
-    partner = (pairs.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
-               .join(sets.withColumnRenamed("c", "b"), "b").select("a", "b", "set", "salt"))
-    center = (groups.join(sets.withColumnRenamed("c", "a"), "a")
+    groups = materialize(pairs.groupBy("a").agg(F.ceil(F.sum("bytes") / GROUP_BYTES).cast("int").alias("salts")), "parity-groups")
+    salted = materialize(pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")), "parity-salted")
+    if salted.count() <= BROADCAST_IDS:                 # then the sets move once only, to their group
+        salted, groups = F.broadcast(salted), F.broadcast(groups)
+    partner = sets.withColumnRenamed("c", "b").join(salted, "b").select("a", "b", "set", "salt")
+    center = (sets.withColumnRenamed("c", "a").join(groups, "a")
               .select("a", F.lit(None).cast("long").alias("b"), "set", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
     laid = center.unionByName(partner).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return laid.select("a", "b", "set").mapInArrow(_judge(percent), "a long, b long")
@@ -197,55 +198,114 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, p
 class Cell:
     """Members of an open bucket, one block against another (or itself)."""
 
-    def __init__(self, pdf: pd.DataFrame, percent: int):
-        pdf = pdf.sort_values("c").reset_index(drop=True)
-        first = pdf.iloc[0]
-        self.key = {c: int(first[c]) for c in ("bucket", "i", "j")}
-        self.percent, self.pos, self.center = percent, int(first["pos"]), int(first["center"])
-        self.c, self.label, self.n, self.resident, self.part = (pdf[x].to_numpy().copy() for x in ("c", "label", "n", "resident", "part"))
-        self.words = np.stack(pdf["words"].to_list()).view(np.uint64)
-        self.sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]] if "set" in pdf else None
-        self.left, self.right = np.flatnonzero(self.part == self.key["i"]), np.flatnonzero(self.part == self.key["j"])
+    def __init__(self, key: tuple, x: dict[str, np.ndarray], sets: list | None, percent: int):
+        _, at, crowd = np.unique(x["label"], return_inverse=True, return_counts=True)
+        order = np.lexsort((x["c"], at, crowd[at]))     # the largest component's members last
+        self.spot, self.word, self.i, self.j = key
+        self.percent, self.pos, self.center, self.sets = percent, self.spot & 0xFFFFFFFF, x["center"][0], sets and [sets[o] for o in order]
+        self.c, self.label, self.n, self.resident, self.part, self.words = (x[k][order] for k in ("c", "label", "n", "resident", "part", "words"))
+        self.left, self.right = np.flatnonzero(self.part == self.i), np.flatnonzero(self.part == self.j)
+        if self.i == self.j:                            # the last component's members need no turn of their own
+            self.left = self.left[self.label[self.left] != self.label[-1]]
 
     def partners(self, x: int) -> np.ndarray:
         """Right members that member ``x`` may link with: other component, one of the two a resident, sizes
         and sketches allow it, not judged in the star, and this word is the first in which the two agree."""
-        r = self.right[self.right > x] if self.key["i"] == self.key["j"] else self.right
         if self.c[x] == self.center:
-            return r[:0]
+            return self.right[:0]
+        r = self.right[np.searchsorted(self.right, x, side="right"):] if self.i == self.j else self.right
         n, own = self.n[r], self.n[x]
         r = r[(self.label[r] != self.label[x]) & (self.resident[r] | self.resident[x]) & (self.c[r] != self.center)
               & (100 * np.minimum(n, own) >= self.percent * np.maximum(n, own))]
+        for at in range(0, self.pos, 4):                # most pairs agree in one of the first words already
+            if not len(r):
+                break
+            r = r[~(self.words[r, at:min(at + 4, self.pos)] == self.words[x, at:min(at + 4, self.pos)]).any(axis=1)]
         if len(r):
-            apart = np.bitwise_count(self.words[r] ^ self.words[x])
-            near = apart.sum(axis=1) <= (self.n[r] + own) * (100 - self.percent) // (100 + self.percent)
-            r = r[near & ((apart == 0).argmax(axis=1) == self.pos)]
+            apart = np.bitwise_count(self.words[r] ^ self.words[x]).sum(axis=1, dtype=np.int64)
+            r = r[apart <= (self.n[r] + own) * (100 - self.percent) // (100 + self.percent)]
         return r
 
-
-def _flag(percent: int):
-    """The members of a cell that have an open pair there."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        cell, used = Cell(pdf, percent), np.zeros(len(pdf), bool)
-        for x in cell.left:
-            y = cell.partners(x)
+    def open_members(self) -> np.ndarray:
+        """The members that have an open pair here."""
+        used = np.zeros(len(self.c), bool)
+        for x in self.left:
+            y = self.partners(x)
             if len(y):
                 used[x] = used[y] = True
-        return pd.DataFrame({**cell.key, "c": cell.c[used]})
+        return self.c[used]
+
+    def joins(self) -> list[tuple[int, int]]:
+        """Judge the open pairs on full sets; members that link become one component at once, so only
+        links that join two components come out (fewer than members)."""
+        out = []
+        for x in self.left:
+            for y in self.partners(x):
+                if self.label[y] != self.label[x] and linked(self.sets[x], self.sets[y], self.percent):
+                    out.append((self.c[x], self.c[y]))
+                    self.label[self.label == self.label[y]] = self.label[x]
+        return out
+
+
+_CELL = ["spot", "word", "i", "j"]
+_MEMBER = ["center", "c", "label", "n", "resident", "part"]
+
+
+def _cells(batches, percent: int):
+    """Rows sorted by cell -> the cells (`None` after each batch); a cell may go on in the next batch."""
+    held: list[tuple[dict, list | None]] = []
+    key = None
+
+    def cell():
+        x = {k: np.concatenate([h[0][k] for h in held]) for k in held[0][0]}
+        return Cell(key, x, [s for h in held for s in h[1]] if held[0][1] is not None else None, percent)
+    for batch in batches:
+        cols = {name: batch.column(name) for name in batch.schema.names}
+        keys = np.stack([cols[k].to_numpy(zero_copy_only=False).astype(np.int64) for k in _CELL])
+        plain = {k: cols[k].to_numpy(zero_copy_only=False) for k in _MEMBER}
+        ends, flat = cols["words"].offsets.to_numpy(), cols["words"].values.to_numpy(zero_copy_only=False).view(np.uint64)
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi == lo:
+                continue
+            own = tuple(keys[:, lo].tolist())
+            if held and own != key:
+                yield cell()
+                held = []
+            key = own
+            x = {k: v[lo:hi] for k, v in plain.items()}
+            x["words"] = flat[ends[lo]:ends[hi]].reshape(hi - lo, -1)
+            held.append((x, [np.frombuffer(v.as_py(), np.uint64) for v in cols["set"][lo:hi]] if "set" in cols else None))
+        held = [({k: v.copy() for k, v in x.items()}, sets) for x, sets in held]
+        yield None
+    if held:
+        yield cell()
+
+
+def _flag(percent: int):
+    """The members of each cell that have an open pair there."""
+    def run(batches):
+        import pyarrow as pa
+
+        def rows(out):
+            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(5)], names=[*_CELL, "c"])
+        out = []
+        for cell in _cells(batches, percent):
+            if cell is not None:
+                out += [(cell.spot, cell.word, cell.i, cell.j, c) for c in cell.open_members().tolist()]
+            elif out:
+                yield rows(out)
+                out = []
+        yield rows(out)
     return run
 
 
 def _settle(percent: int):
-    """Judge the open pairs of a cell on full sets; members that link become one component at once,
-    so only links that join two components come out (fewer than members)."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        cell, out = Cell(pdf, percent), []
-        for x in cell.left:
-            for y in cell.partners(x):
-                if cell.label[y] != cell.label[x] and linked(cell.sets[x], cell.sets[y], percent):
-                    out.append((cell.c[x], cell.c[y]))
-                    cell.label[cell.label == cell.label[y]] = cell.label[x]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    """The links that join components in each cell."""
+    def run(batches):
+        import pyarrow as pa
+        out = [link for cell in _cells(batches, percent) if cell is not None for link in cell.joins()]
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(2)], names=["a", "b"])
     return run
 
 
@@ -267,11 +327,14 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, block
     laid = classes.select("c", "n", F.explode(F.array(
         F.struct(F.lit(True).alias("resident"), F.col("band"), F.col("resident").alias("words")),
         F.struct(F.lit(False).alias("resident"), (F.col("band") + 1).alias("band"), F.col("guest").alias("words")))).alias("s")).select("c", "n", "s.*")
-    entries = laid.select("c", "n", "resident", "band", F.posexplode("words").alias("pos", "word")).select(
-        F.xxhash64("band", "pos", "word").alias("bucket"), "c", "n", "resident", "band", "pos")
-    shared = (entries.groupBy("bucket").agg(F.min(F.when(F.col("resident"), F.col("c"))).alias("center"), F.count(F.lit(1)).alias("size"))
-              .where("size > 1 and center is not null").select("bucket", "center"))
-    met = materialize(entries.join(shared, "bucket"), "parity-met")
+    spot = F.shiftleft(F.col("band").cast("long"), 32) + F.col("pos")
+    entries = laid.select("c", "resident", "band", F.posexplode("words").alias("pos", "word")).select(
+        spot.alias("spot"), "word", (2 * F.col("c") + F.col("resident").cast("int")).alias("who"))
+    c, resident = F.shiftright("who", 1), F.col("who") % 2 == 1
+    shared = (entries.groupBy("spot", "word").agg(F.min(F.when(resident, c)).alias("center"), F.count(F.lit(1)).alias("size"))
+              .where("size > 1 and center is not null").select("spot", "word", "center"))
+    met = materialize(entries.join(shared, ["spot", "word"]).select("spot", "word", "center", c.alias("c"), resident.alias("resident"))
+                      .join(classes.select("c", "n"), "c").withColumn("band", F.shiftright("spot", 32).cast("int")), "parity-met")
 
     def side(p: str) -> DataFrame:
         return laid.select(F.col("c").alias(p), "band", F.col("n").alias(f"n_{p}"), F.col("words").alias(f"words_{p}"))
@@ -286,17 +349,19 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, block
 
     placed = (met.join(labels.select(F.col("node").alias("c"), F.col("label")), "c", "left")
               .withColumn("label", F.coalesce("label", "c")))
-    open_buckets = (placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("held"))
-                    .where("lo < hi and size > 2").select("bucket", F.ceil(8 * F.col("held") / block_bytes).cast("int").alias("parts")))
-    loose = (placed.join(open_buckets, "bucket").join(laid.select("c", "band", "words"), ["c", "band"])
-             .withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("bucket", "center", "pos", "c", "label", "n", "resident", "words", "part",
-                     F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")))
-    cell = ["bucket", "i", "j"]
-    open_members = materialize(loose.groupBy(*cell).applyInPandas(_flag(percent), "bucket long, i int, j int, c long"), "parity-open")
-    judged = loose.join(open_members, [*cell, "c"]).join(sets_of(open_members, classes, texts, words), "c")
-    more = materialize(judged.groupBy(*cell).applyInPandas(_settle(percent), "a long, b long"), "parity-links")
+    open_buckets = (placed.groupBy("spot", "word").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("held"))
+                    .where("lo < hi and size > 2").select("spot", "word", F.ceil(8 * F.col("held") / block_bytes).alias("parts")))
+    loose = (placed.join(open_buckets, ["spot", "word"]).join(laid.select("c", "band", "words"), ["c", "band"])
+             .withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .select("spot", "word", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), *_MEMBER, "words"))
+
+    def in_cells(members: DataFrame) -> DataFrame:
+        return members.repartition(*_CELL).sortWithinPartitions(*_CELL)
+
+    open_members = materialize(in_cells(loose).mapInArrow(_flag(percent), "spot long, word long, i long, j long, c long"), "parity-open")
+    judged = loose.join(open_members, [*_CELL, "c"]).join(sets_of(open_members, classes, texts, words), "c")
+    more = materialize(in_cells(judged).mapInArrow(_settle(percent), "a long, b long"), "parity-links")
     if not more.isEmpty():
         links = links.unionAll(more)
         labels = components(links)
