@@ -167,3 +167,40 @@ def write_items_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
     fields = [key.cast("string"), number, F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), date, price, F.lit("1.2500")]
     extra = F.when(key % CSV_COLUMNS_MOD == 0, ",extra").otherwise("")
     _read(spark, sf_dir, "lineitem").select(F.concat(F.concat_ws(",", *fields), extra).alias("value")).write.text(path)
+
+
+# Every-column variant: fixed values of the defects, by the row's key plus the column's place.
+ALL_NULL_TEXT, ALL_BLANK_TEXT, ALL_LOUD_TEXT = 17, 13, 5
+ALL_EMPTY_TS, ALL_NO_TS, ALL_NO_DAY_TS, ALL_GAP_TS, ALL_NULL_TS = 7, 11, 23, 29, 31
+ALL_RANGE_MOD, ALL_NEGATIVE_REM, ALL_ZERO_REM = 5, 2, 3
+
+
+def dirty_every_column(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The nine tables with defects in every key, timestamp and range column (C2-C4): keys in capitals
+    between blanks, blank or missing; times empty, no date at all, a day that does not exist, an hour that
+    daylight saving skips; measurements below and at their floor."""
+    from skuflow.operators.clean import KEY_COLUMNS, RANGE_RULES
+    from skuflow.sources.schemas import TIMESTAMP_COLUMNS
+    number = F.regexp_extract("_key", r"(\d+)$", 1).cast("long")
+    row_key = {"orders": F.col("order_id"), "order_items": F.col("order_id") + F.col("order_item_id"), "products": F.col("product_id"),
+               "order_reviews": F.col("review_id"), "category_translation": F.col("product_category_name")}
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    out = {}
+    for table, df in raw.items():
+        keyed = df.withColumn("_key", row_key.get(table, F.col(df.columns[0])).cast("string")).withColumn("_k", number)
+        place, made = 0, {}
+        for c in KEY_COLUMNS.get(table, []):
+            k, place = F.col("_k") + place, place + 1
+            made[c] = (F.when(k % ALL_NULL_TEXT == 0, F.lit(None)).when(k % ALL_BLANK_TEXT == 0, "   ")
+                       .when(k % ALL_LOUD_TEXT == 0, F.concat(F.lit("  "), F.upper(c), F.lit(" "))).otherwise(F.col(c)))
+        for c in TIMESTAMP_COLUMNS.get(table, []):
+            k, place = F.col("_k") + place, place + 1
+            said = F.concat(F.lit("2016-"), two(k % 12 + 1), F.lit("-"), two(k % 28 + 1), F.lit(" "), two(k % 24), F.lit(":"), two(k % 60), F.lit(":07"))
+            made[c] = (F.when(k % ALL_EMPTY_TS == 0, "").when(k % ALL_NO_TS == 0, "not a date").when(k % ALL_NO_DAY_TS == 0, "2020-02-30 00:00:00")
+                       .when(k % ALL_GAP_TS == 0, "2017-03-26 02:30:00").when(k % ALL_NULL_TS == 0, F.lit(None)).otherwise(said))
+        for c, _, _ in RANGE_RULES.get(table, []):
+            k, place = F.col("_k") + place, place + 1
+            kind = df.schema[c].dataType
+            made[c] = (F.when(k % ALL_RANGE_MOD == ALL_NEGATIVE_REM, -F.col(c)).when(k % ALL_RANGE_MOD == ALL_ZERO_REM, F.lit(0)).otherwise(F.col(c))).cast(kind)
+        out[table] = keyed.withColumns(made).select(*df.columns)
+    return out
