@@ -74,15 +74,23 @@ def first_day(month: str) -> Column:
     return F.to_date(F.concat(F.col(month), F.lit("-01")))
 
 
-def _fill(series: DataFrame, keys: list[str]) -> DataFrame:
+def as_of_month(monthly: DataFrame, p: ForecastParams) -> Column | None:
+    """The month all series run up to, if one is asked for."""
+    if p.as_of == "last":
+        return F.to_date(F.concat(monthly.agg(F.max("order_month")).scalar(), F.lit("-01")))
+    return None if p.as_of is None else F.to_date(F.lit(p.as_of + "-01"))
+
+
+def _fill(series: DataFrame, keys: list[str], as_of: Column | None = None) -> DataFrame:
     """Rows (keys, category, month, units) -> every month between the first and last of a
-    series, absent ones with 0 units; ``t`` counts months from the first, ``n`` all of them.
-    Each row is followed by the empty months up to the next one, so nothing is joined back."""
+    series (or ``as_of``, if that is later), absent ones with 0 units; ``t`` counts months from
+    the first, ``n`` all of them. Each row is followed by the empty months up to the next one
+    or the end, so nothing is joined back."""
     w = Window.partitionBy(*keys)
     following = F.lead("month").over(w.orderBy("month"))
+    end = F.max("month").over(w) if as_of is None else F.greatest(F.max("month").over(w), as_of)
     rows = series.select(*keys, F.max("category").over(w).alias("category"), "month", "units", F.min("month").over(w).alias("m0"),
-                         F.max("month").over(w).alias("m1"),
-                         F.coalesce(F.add_months(following, -1), F.col("month")).alias("until"))
+                         end.alias("m1"), F.coalesce(F.add_months(following, -1), end).alias("until"))
     each = rows.withColumn("at", F.explode(F.sequence("month", "until", F.expr("INTERVAL 1 MONTH"))))
     return each.select(*keys, "category", F.col("at").alias("month"),
                        F.when(F.col("at") == F.col("month"), F.col("units")).otherwise(F.lit(0)).cast("long").alias("units"),
@@ -96,16 +104,16 @@ def sku_filled(monthly: DataFrame, p: ForecastParams = ForecastParams()) -> Data
         "product_id", "category", first_day("order_month").alias("month"), F.col("u").alias("units"),
         F.count(F.lit(1)).over(w).alias("active"), F.sum("u").over(w).alias("total"))
     able = rows.where((F.col("active") >= p.min_active_months) & (F.col("total") >= p.min_total_units))
-    return _fill(able, ["product_id"]).select(
+    return _fill(able, ["product_id"], as_of_month(monthly, p)).select(
         F.lit("sku").alias("grain"), F.col("product_id").cast("string").alias("grain_key"), "category", "month", "units", "t", "n")
 
 
-def category_filled(monthly: DataFrame) -> DataFrame:
+def category_filled(monthly: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:
     """M4 at category grain (NULL categories drop out): summed by (category, month) first, so
     the second exchange moves one row per category and month."""
     per = monthly.where(F.col("category").isNotNull()).groupBy("category", "order_month").agg(F.sum("units_sold").alias("units"))
     rows = per.select(F.col("category").alias("grain_key"), "category", first_day("order_month").alias("month"), "units")
-    return _fill(rows, ["grain_key"]).select(F.lit("category").alias("grain"), "grain_key", "category", "month", "units", "t", "n")
+    return _fill(rows, ["grain_key"], as_of_month(monthly, p)).select(F.lit("category").alias("grain"), "grain_key", "category", "month", "units", "t", "n")
 
 
 def gap_fill(series: DataFrame) -> DataFrame:

@@ -141,47 +141,42 @@ def _fit(Y: np.ndarray, cuts: list[np.ndarray], m: int, seasonal: bool, horizon:
     grid, R, Phi, rtr, rsum = _cached_responses(Tm, m, seasonal, fixed)
     refine = refine and fixed is None
     G, k = len(grid), R.shape[2]
-    R = R[:, :Tm]
     w = tuple(grid[:, i][None, :] for i in range(3))   # (1, G)
     ns = Phi.shape[2]
     out = [(np.zeros((P, horizon)), np.zeros(P)) for _ in cuts]
-    steps = np.arange(Tm)
+    order = np.argsort(cuts[0], kind="stable")           # series of one length share their normal equations
     for c0 in range(0, P, CHUNK):
-        y = Y[c0:c0 + CHUNK]
-        p = len(y)
-        cus = [c[c0:c0 + CHUNK] for c in cuts]
+        rows = order[c0:c0 + CHUNK]
+        y, p = Y[rows], len(rows)
+        cus = [c[rows] for c in cuts]
         st = np.zeros((ns, p, G))
-        E = np.zeros((p, G, Tm))
+        E = np.zeros((Tm, p, G))
         snaps = [np.zeros((ns, p, G)) for _ in cuts]
         for t in range(Tm):
-            E[:, :, t] = y[:, t][:, None] - _step(st, y[:, t][:, None], t, w, m, seasonal)
+            E[t] = y[:, t][:, None] - _step(st, y[:, t][:, None], t, w, m, seasonal)
             for cu, snap in zip(cus, snaps):
                 done = cu == t + 1
                 if done.any():
                     snap[:, done] = st[:, done]
-        idx = np.arange(p)
         for (fc, sd), cu, snap in zip(out, cus, snaps):
-            Ec = E * (steps[None, None, :] < cu[:, None, None])
-            rte = np.einsum("gtk,pgt->pgk", R, Ec)
-            A = np.transpose(rtr[:, cu], (1, 0, 2, 3))                    # (p, G, k, k)
-            ridge = 1e-9 * (np.trace(A, axis1=2, axis2=3)[..., None, None] / k + 1.0) * np.eye(k)
-            x0 = np.linalg.solve(A + ridge, rte[..., None])[..., 0]      # (p, G, k)
-            ee = (Ec * Ec).sum(-1)
-            sse = ee - 2 * (x0 * rte).sum(-1) + np.einsum("pgk,pgkj,pgj->pg", x0, A, x0)
-            best = np.argmin(sse, axis=1)
-            xb = x0[idx, best]                                            # (p, k)
-            state = snap[:, idx, best].T + np.einsum("psk,pk->ps", Phi[best, cu], xb)
-            for h in range(1, horizon + 1):
-                f = state[:, 0] + h * state[:, 1]
-                if seasonal:
-                    f = f + state[idx, 2 + (cu + h - 1) % m]
-                fc[c0 + idx, h - 1] = f
-            n = cu.astype(float)
-            mean_e = (Ec[idx, best].sum(-1) - np.einsum("pk,pk->p", rsum[best, cu], xb)) / n
-            var = sse[idx, best] / n - mean_e ** 2
-            sd[c0 + idx] = np.sqrt(np.maximum(var, 0.0))
+            best, low, f, s = np.zeros(p, int), np.zeros(p), np.zeros((p, horizon)), np.zeros(p)
+            for c in np.unique(cu):
+                r = np.flatnonzero(cu == c)
+                e = np.ascontiguousarray(E[:c, r].transpose(2, 1, 0))     # (G, r, c)
+                rte, A = e @ R[:, :c], rtr[:, c]                          # (G, r, k), (G, k, k)
+                ridge = 1e-9 * (np.trace(A, axis1=1, axis2=2)[:, None, None] / k + 1.0) * np.eye(k)
+                x0 = np.linalg.solve(A + ridge, rte.transpose(0, 2, 1)).transpose(0, 2, 1)
+                sse = (e * e).sum(-1) - 2 * (x0 * rte).sum(-1) + ((x0 @ A) * x0).sum(-1)
+                b, j = np.argmin(sse, axis=0), np.arange(len(r))
+                xb = x0[b, j]                                             # (r, k)
+                state = snap[:, r, b].T + np.einsum("psk,pk->ps", Phi[b, c], xb)
+                for h in range(1, horizon + 1):
+                    f[r, h - 1] = state[:, 0] + h * state[:, 1] + (state[:, 2 + (c + h - 1) % m] if seasonal else 0.0)
+                mean_e = (e[b, j].sum(-1) - (rsum[b, c] * xb).sum(-1)) / c
+                best[r], low[r], s[r] = b, sse[b, j], np.sqrt(np.maximum(sse[b, j] / c - mean_e ** 2, 0.0))
             if refine:
-                _refine(y, cu, grid[best], sse[idx, best], fc[c0:c0 + p], sd[c0:c0 + p], m, seasonal, horizon)
+                _refine(y, cu, grid[best], low, f, s, m, seasonal, horizon)
+            fc[rows], sd[rows] = f, s
     return out
 
 
@@ -227,47 +222,58 @@ def _neighbours(w: np.ndarray, scale: np.ndarray, seasonal: bool) -> np.ndarray:
     return np.stack([a, b, g], axis=-1)
 
 
+_LOCAL: dict[tuple, tuple[int, dict, np.ndarray]] = {}
+LOCAL_KEPT = 6000
+
+
+def _local_responses(weights: np.ndarray, horizon: int, m: int, seasonal: bool) -> np.ndarray:
+    """Prediction responses (U, horizon, k) of distinct weights, kept per Python worker: the walks of all
+    series start at grid points and step on one lattice, so most of their weights have been met before."""
+    held, place, R = _LOCAL.get((m, seasonal), (0, {}, None))
+    keys = [tuple(w) for w in weights.tolist()]
+    if held < horizon or len(place) + len(keys) > LOCAL_KEPT:
+        held, place, R = max(held, horizon), {}, np.empty((0, max(held, horizon), _basis(m, seasonal).shape[1]))
+    new = [k for k in keys if k not in place]
+    if new:
+        x = _basis(m, seasonal)
+        st = np.broadcast_to(x[:, None, :], (x.shape[0], len(new), x.shape[1])).copy()
+        w = tuple(np.array(new)[:, i][:, None] for i in range(3))
+        R = np.concatenate([R, np.stack([_step(st, 0.0, t, w, m, seasonal).copy() for t in range(held)], axis=1)])
+        place |= {k: i for i, k in enumerate(new, len(place))}
+    _LOCAL[(m, seasonal)] = held, place, R
+    return R[[place[k] for k in keys], :horizon]
+
+
 def _fit_local(y: np.ndarray, cu: np.ndarray, W: np.ndarray, m: int, seasonal: bool, horizon: int):
     """Fit each row of ``y`` on its first ``cu`` values for each of its own
     weight candidates ``W`` (p, L, 3); returns the best candidate's forecast
     (p, horizon), residual sigma (p,), SSE (p,) and place (p,)."""
-    p, Tm = y.shape
-    x = _basis(m, seasonal)
-    ns, k = x.shape
-    a, b, g = W[..., 0], W[..., 1], W[..., 2]
-    wh = (a[..., None], b[..., None], g[..., None])
-    wd = (a, b, g)
-    hs = np.broadcast_to(x[:, None, None, :], (ns, p, W.shape[1], k)).copy()
-    ds = np.zeros((ns, p, W.shape[1]))
-    A = np.zeros((p, W.shape[1], k, k))
-    rs = np.zeros((p, W.shape[1], k))
-    rte = np.zeros((p, W.shape[1], k))
-    ee = np.zeros((p, W.shape[1]))
-    se = np.zeros((p, W.shape[1]))
-    phi = np.zeros_like(hs)
-    dsnap = np.zeros_like(ds)
-    for t in range(int(cu.max())):
-        pr_h = _step(hs, 0.0, t, wh, m, seasonal)
-        pr_d = _step(ds, y[:, t][:, None], t, wd, m, seasonal)
-        live = (t < cu)[:, None]
-        e = np.where(live, y[:, t][:, None] - pr_d, 0.0)
-        R = np.where(live[..., None], pr_h, 0.0)
-        A += R[..., :, None] * R[..., None, :]
-        rs += R
-        rte += R * e[..., None]
-        ee += e * e
-        se += e
-        done = cu == t + 1
-        if done.any():
-            phi[:, done] = hs[:, done]
-            dsnap[:, done] = ds[:, done]
+    p, L, T = len(y), W.shape[1], int(cu.max())
+    W = np.round(W, 9)
+    distinct, at = np.unique(W.reshape(-1, 3), axis=0, return_inverse=True)
+    live = np.arange(T) < cu[:, None]                                     # (p, T)
+    R = _local_responses(distinct, T, m, seasonal)[at.ravel()] * np.repeat(live, L, axis=0)[..., None]    # (p L, T, k)
+    x, w = _basis(m, seasonal), tuple(W[..., i] for i in range(3))
+    k = x.shape[1]
+    ds, E = np.zeros((len(x), p, L)), np.empty((p, L, T))
+    for t in range(T):
+        E[..., t] = y[:, t][:, None] - _step(ds, y[:, t][:, None], t, w, m, seasonal)
+    E *= live[:, None, :]
+    Rt = R.transpose(0, 2, 1)
+    A = np.matmul(Rt, R).reshape(p, L, k, k)
+    rte = np.matmul(Rt, E.reshape(p * L, T, 1)).reshape(p, L, k)
     ridge = 1e-9 * (np.trace(A, axis1=2, axis2=3)[..., None, None] / k + 1.0) * np.eye(k)
     x0 = np.linalg.solve(A + ridge, rte[..., None])[..., 0]
-    sse = ee - 2 * (x0 * rte).sum(-1) + np.einsum("plk,plkj,plj->pl", x0, A, x0)
-    best = np.argmin(sse, axis=1)
-    idx = np.arange(p)
+    sse = (E * E).sum(-1) - 2 * (x0 * rte).sum(-1) + np.einsum("plk,plkj,plj->pl", x0, A, x0)
+    best, idx = np.argmin(sse, axis=1), np.arange(p)
     xb = x0[idx, best]
-    state = dsnap[:, idx, best].T + np.einsum("spk,pk->ps", phi[:, idx, best], xb)
+    # the best candidate once more from its own start values, to the state after its last month
+    st, state, w = x @ xb.T, np.empty((p, len(x))), tuple(W[idx, best, i] for i in range(3))
+    for t in range(T):
+        _step(st, y[:, t], t, w, m, seasonal)
+        done = cu == t + 1
+        if done.any():
+            state[done] = st[:, done].T
     fc = np.zeros((p, horizon))
     for h in range(1, horizon + 1):
         f = state[:, 0] + h * state[:, 1]
@@ -275,7 +281,7 @@ def _fit_local(y: np.ndarray, cu: np.ndarray, W: np.ndarray, m: int, seasonal: b
             f = f + state[idx, 2 + (cu + h - 1) % m]
         fc[:, h - 1] = f
     n = cu.astype(float)
-    mean_e = (se[idx, best] - np.einsum("pk,pk->p", rs[idx, best], xb)) / n
+    mean_e = (E[idx, best].sum(-1) - np.einsum("pk,pk->p", R.reshape(p, L, T, k)[idx, best].sum(1), xb)) / n
     var = sse[idx, best] / n - mean_e ** 2
     return fc, np.sqrt(np.maximum(var, 0.0)), sse[idx, best], best
 

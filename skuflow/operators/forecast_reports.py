@@ -171,10 +171,15 @@ def accuracy_by_volume(units: DataFrame, metrics: DataFrame, bins: int = VOLUME_
         F.round("m", 2).cast("decimal(18,2)").alias("median_mape"))
 
 
-def category_bias(monthly: DataFrame, forecasts: DataFrame) -> DataFrame:
+def category_bias(monthly: DataFrame, forecasts: DataFrame, forecast_skus_only: bool = False) -> DataFrame:
     """Summed SKU forecasts vs units of the last three calendar months,
-    per category (inner on both)."""
+    per category (inner on both). The actuals are those of all SKUs, so the bias leans
+    low; ``forecast_skus_only`` leaves out SKUs without a forecast."""
     last = monthly.agg(F.max("order_month")).scalar()
+    if forecast_skus_only:
+        skus = forecasts.where(F.col("grain") == "sku").select(
+            F.col("grain_key").try_cast(monthly.schema["product_id"].dataType).alias("product_id")).distinct()
+        monthly = monthly.join(skus, "product_id", "left_semi")
     cutoff = F.date_format(F.add_months(F.to_date(F.concat(last, F.lit("-01"))), -2), "yyyy-MM")
     recent = monthly.where(F.col("order_month") >= cutoff).groupBy("category").agg(
         F.sum("units_sold").cast("long").alias("recent_actual"))

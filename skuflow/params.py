@@ -37,6 +37,9 @@ class ForecastParams:
     seasonal_min_len: int = 24
     season_length: int = 12
     ma_window: int = 3
+    # Month up to which every series runs, with zeros after its last sale: "yyyy-MM", "last" (the
+    # data's last month), or None: each series ends with its own last sale. Later sales stay.
+    as_of: str | None = None
     # (alpha, beta, gamma) to use as they are instead of searching; None searches.
     fixed_weights: tuple[float, float, float] | None = None
 

@@ -263,7 +263,7 @@ class Pipeline:
         """M4 for both grains (eligible SKUs, M3, and all categories), materialised:
         every forecaster, backtest and chart-data view reads it."""
         sku = demand.sku_filled(self.monthly_sku, self.params.forecast)
-        return self._keep(sku.unionByName(demand.category_filled(self.monthly_sku)), "filled_series", ("grain",))
+        return self._keep(sku.unionByName(demand.category_filled(self.monthly_sku, self.params.forecast)), "filled_series", ("grain",))
 
     @cached_property
     def sku_series_filled(self) -> DataFrame:
@@ -412,8 +412,11 @@ class Pipeline:
     def accuracy_by_volume(self) -> DataFrame:
         return forecast_reports.accuracy_by_volume(self.sku_units, self.sku_metrics)
 
-    def category_bias(self) -> DataFrame:
-        return forecast_reports.category_bias(self.monthly_sku, self.forecasts)
+    def category_bias(self, forecast_skus_only: bool = False) -> DataFrame:
+        return forecast_reports.category_bias(self.monthly_sku, self.forecasts, forecast_skus_only)
+
+    def category_bias_of_forecast_skus(self) -> DataFrame:
+        return self.category_bias(forecast_skus_only=True)
 
     # ---- cleaned tables (C1-C4) --------------------------------------------------
     def clean_orders(self) -> DataFrame:
