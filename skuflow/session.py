@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 
 _LOCAL_FALLBACK: dict[int, str] = {}
+_STAGES: list[str] = []             # stage folders that no pipeline owns
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -45,15 +46,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df, name: str = "stage", written: list[str] | None = None, by: tuple[str, ...] = ()):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: one job, lineage cut, survives the loss of any executor. The folder is
-    added to ``written``, for `delete_stages`. ``by``: columns to partition the
+    added to ``written``, for `delete_stages`, or to those that `release_stages`
+    deletes. ``by``: columns to partition the
     files by (few values), so that readers of one value skip the others."""
     import uuid
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/skuflow-stages/{uuid.uuid4().hex[:12]}-{name}"
+    (_STAGES if written is None else written).append(path)
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
-    if written is not None:
-        written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     return out.select(*df.columns) if by else out
 
@@ -72,6 +73,12 @@ def delete_stages(spark: SparkSession, written: list[str]) -> None:
     written.clear()
 
 
+def release_stages(spark: SparkSession) -> None:
+    """Delete every stage folder that this process has written and no pipeline owns (those of single
+    operators, of the training-data queries and of the test-data adapter). DataFrames that read them end with it."""
+    delete_stages(spark, _STAGES)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "16g", event_log_dir: str | None = None) -> SparkSession:
     builder = (

@@ -97,3 +97,76 @@ def test_search_is_never_worse_than_a_dense_grid_of_weights():
     _, _, sse, _ = forecast._fit_local(Y, cut, np.broadcast_to(dense, (len(Y), *dense.shape)).copy(), 12, False, 3)
     _, best_sd, _, _ = forecast._fit_local(Y, cut, np.broadcast_to(dense, (len(Y), *dense.shape)).copy(), 12, False, 3)
     assert (sd <= best_sd * 1.01).all() and np.isfinite(sse).all()
+
+
+def test_series_run_up_to_a_month(spark):
+    rows = [(1, "c", f"2020-{m:02d}", 5) for m in range(1, 8)] + [(2, "c", f"2020-{m:02d}", 4) for m in range(1, 11) if m != 5]
+    monthly = spark.createDataFrame(rows, "product_id long, category string, order_month string, units_sold long")
+
+    def lengths(p):
+        out = {r["grain_key"]: (r["n"], r["u"], r["k"]) for r in demand.sku_filled(monthly, p).groupBy("grain_key").agg(
+            F.max("n").alias("n"), F.sum("units").alias("u"), F.count(F.lit(1)).alias("k")).collect()}
+        assert all(n == k for n, _, k in out.values())
+        return {key: (n, u) for key, (n, u, _) in out.items()}
+    assert lengths(ForecastParams()) == {"1": (7, 35), "2": (10, 36)}
+    assert lengths(ForecastParams(as_of="last")) == {"1": (10, 35), "2": (10, 36)}
+    assert lengths(ForecastParams(as_of="2020-12")) == {"1": (12, 35), "2": (12, 36)}
+    assert lengths(ForecastParams(as_of="2020-08")) == {"1": (8, 35), "2": (10, 36)}      # later sales stay
+    filled = demand.sku_filled(monthly, ForecastParams(as_of="last")).where("grain_key = '1'").orderBy("t").collect()
+    assert [r["units"] for r in filled] == [5] * 7 + [0] * 3 and filled[-1]["month"] == dt.date(2020, 10, 1)
+    months = demand.category_filled(monthly, ForecastParams(as_of="2021-01")).collect()
+    assert len(months) == 13 and sum(r["units"] for r in months) == 71
+
+
+def test_bias_against_forecast_skus_only(spark):
+    from skuflow.operators.forecast_reports import category_bias
+    monthly = spark.createDataFrame([(1, "c", "2020-05", 10), (2, "c", "2020-05", 30), (1, "c", "2020-01", 99)],
+                                    "product_id long, category string, order_month string, units_sold long")
+    forecasts = spark.createDataFrame([("sku", "1", "c", 12.0), ("category", "c", "c", 50.0)], "grain string, grain_key string, category string, predicted_units double")
+    assert category_bias(monthly, forecasts).first()["recent_actual"] == 40
+    only = category_bias(monthly, forecasts, forecast_skus_only=True).first()
+    assert only["recent_actual"] == 10 and float(only["bias_pct"]) == 20.0 and only["bias_flag"] == "over"
+
+
+def _direct_sse(y, w, m, seasonal):
+    """Least SSE over start values, from plain recursions of each unit start value."""
+    x = forecast._basis(m, seasonal)
+    a, b, g = w
+
+    def run(state, data):
+        lvl, trd, ring, out = state[0], state[1], list(state[2:]), []
+        for t, v in enumerate(data):
+            pred = lvl + trd + (ring[t % m] if seasonal else 0.0)
+            out.append(pred)
+            e = v - pred
+            if seasonal:
+                ring[t % m] += g * e
+            new = lvl + trd + a * e
+            trd = (1 - b) * trd + b * (new - lvl)
+            lvl = new
+        return np.array(out)
+    R = np.stack([run(x[:, j], np.zeros(len(y))) for j in range(x.shape[1])], axis=1)
+    e = y - run(np.zeros(len(x)), y)
+    return float(((e - R @ np.linalg.lstsq(R, e, rcond=None)[0]) ** 2).sum())
+
+
+def test_walk_uses_each_weights_own_least_squares():
+    rng = np.random.default_rng(2)
+    for seasonal in (False, True):
+        n = np.array([30, 41, 41, 36])
+        Y = np.zeros((4, 41))
+        for i, c in enumerate(n):
+            Y[i, :c] = rng.poisson(8 + 4 * np.sin(np.arange(c) / 12 * 2 * np.pi))
+        W = np.round(rng.uniform(0.05, 0.45, (4, 5, 3)), 3) * (1.0, 0.5, 1.0 if seasonal else 0.0)
+        W[2] = W[1]                                             # shared weights
+        _, sd, sse, best = forecast._fit_local(Y, n, W, 12, seasonal, 3)
+        for i, c in enumerate(n):
+            direct = [_direct_sse(Y[i, :c], w, 12, seasonal) for w in W[i]]
+            assert np.isclose(sse[i], min(direct), rtol=1e-6) and np.isclose(direct[best[i]], min(direct), rtol=1e-9)
+            assert sd[i] ** 2 * c <= sse[i] + 1e-9
+    # the grid's fit of several lengths in one call equals one call each
+    cuts = np.array([30, 41, 41, 36])
+    (f, s), = forecast._fit(Y, [cuts], 12, True, 3)
+    for i, c in enumerate(cuts):
+        (f1, s1), = forecast._fit(Y[i:i + 1, :c], [cuts[i:i + 1]], 12, True, 3)
+        assert np.allclose(f[i], f1[0]) and np.isclose(s[i], s1[0])
