@@ -340,3 +340,26 @@ def test_search_empty_tables(spark):
     assert lexical.search(index, items).collect() == []
     index = lexical.materialize(lexical.build_index(some), "test-index")
     assert lexical.search(index, frame(spark, [], "item_id long, text string")).collect() == []
+
+
+# -- 3 cutting texts ---------------------------------------------------------------------------------------------
+
+
+def test_chunks_lose_nothing_and_agree_with_the_pattern():
+    from skuflow.llm.pieces import CHUNK, SPACE, chunks_of
+    rng = random.Random(6)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab  \n\t.é▁ 日") for _ in range(rng.randint(0, 12)))
+        chunks = chunks_of(text)
+        assert "".join(chunks) == (SPACE + text.replace(" ", SPACE) if text else "")
+        assert chunks == (CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else [])
+
+
+def test_planes_and_ragged_round_trip():
+    from skuflow.llm.pieces import _from_planes, _planes, _ragged
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 1 << 31, 1000)
+    assert (_from_planes(_planes(x)) == x).all() and len(_from_planes(_planes(x[:0]))) == 0
+    starts, sizes = rng.integers(0, 100, 20), rng.integers(0, 5, 20)
+    assert _ragged(starts, sizes).tolist() == [s + i for s, n in zip(starts, sizes) for i in range(n)]
+    assert len(_ragged(starts[:0], sizes[:0])) == 0
