@@ -13,22 +13,23 @@ under these scores, not the sequence of merges.
    table): U+2581 only begins a word, and line ends and every pair of
    neighbours that no piece holds separate. A task cuts each text once, in
    groups of ``GROUP_CHARS``: the group's distinct words go to their buckets,
-   its texts stay behind as numbers into them.
+   its texts stay behind as numbers into them, with a digest of each text.
 2. The distinct words of a bucket are exploded into substrings (bounded at
    each place by the longest piece that starts there), equi-joined with the
    piece table (its size is the model file's, so it is broadcast), grouped by
    word again, and folded by end position with Spark's `aggregate`: the state
    keeps the best scores of the last positions and the chosen edge of each
-   one; a second fold walks back. The pieces of every word must spell it.
+   one; a second fold walks back.
 3. Each group gets the ids of its words back, in the order it sent them, and
-   writes its texts' ids.
+   writes its texts' ids. Every text is decoded again from the ids that are
+   returned and held against its digest (`round_trip`).
 
 Decoding joins the pieces of the ids, turns runs of byte pieces into
 characters (damaged runs into U+FFFD) and drops the leading space.
 
 Defined cases: null or empty text: no ids, decoded as empty. A text that
-itself holds U+2581 decodes with a space there, as in the library. Very long
-words keep a bounded state; repeated rows stay separate. Empty table: none.
+itself holds U+2581 decodes with a space there, as in the library. The fold
+of a word keeps all its positions; repeated rows stay separate. Empty table: none.
 
 Scale: texts are read and cut once and never move; what moves are packed word
 sets and word numbers (a packed row holds one word at least, so there are never
@@ -55,7 +56,8 @@ SPACE = "▁"
 LONG = 64
 UNKNOWN_PENALTY = 10.0
 BUCKET_BYTES = 4 << 20   # of stored input for each bucket of words
-GROUP_CHARS = 4 << 20    # of text; a group's distinct words and the numbers of its texts are in memory at once
+GROUP_CHARS = 4 << 20    # of text; a group's texts, words and numbers are in memory at once
+SLICE = 1 << 20          # characters that are cut at a time
 
 
 class Pieces:
@@ -77,17 +79,38 @@ class Pieces:
         if any(SPACE in p.lstrip(SPACE) for p, _, _ in self.rows) or any("\n" in p or " " in p for p, _, _ in self.rows):
             raise ValueError("a piece crosses the places where texts are cut")
         self.longest = max(len(p) for p, _, _ in self.rows)
-        self.whole = frozenset(p for p, _, _ in self.rows)
         self.unknown = min(s for _, s, _ in self.rows) - UNKNOWN_PENALTY
-        self.pairs = frozenset(p[i:i + 2] for p, _, _ in self.rows for i in range(len(p) - 1))
-        self.heads = frozenset(p[:i] for p, _, _ in self.rows for i in range(1, len(p) + 1))
+        self.spelt = [bytes([self.bytes[i]]) if i in self.bytes else name.encode() for i, name in enumerate(self.names)]
+        self.trie = Trie([p for p, _, _ in self.rows])
+
+
+class Trie:
+    """The pieces as numbers: letters (characters that a piece holds beside another), pairs of neighbours and the tree
+    of beginnings, whose nodes are numbered by letter for one character and from there on for more."""
+
+    def __init__(self, pieces: list[str]):
+        whole = {p for p in pieces if len(p) > 1}
+        letters = sorted({c for p in whole for c in p})
+        node, base = {c: i for i, c in enumerate(letters, 1)}, len(letters) + 1
+        pairs = {p[i:i + 2] for p in whole for i in range(len(p) - 1)}
+        heads = sorted({p[:i] for p in whole for i in range(2, len(p) + 1)}, key=lambda h: (len(h), h))
+        tree = []
+        for h in heads:
+            tree.append((node[h[:-1]] * base + node[h[-1]], len(node) + 1, h in whole))
+            node[h] = len(node) + 1
+        tree.sort()
+        self.letters = np.array([ord(c) for c in letters], np.int64)
+        self.pairs = np.array([node[p[0]] * base + node[p[1]] for p in sorted(pairs)], np.int64)
+        self.keys, self.nodes = np.array([t[0] for t in tree], np.int64), np.array([t[1] for t in tree], np.int64)
+        self.whole = np.array([t[2] for t in tree], bool)
 
 
 CHUNK = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
 
 def chunks_of(text: str) -> list[str]:
-    """Chunks of a text: spaces and what follows them, spaces alone, and line ends."""
+    """Chunks of a text: spaces and what follows them, spaces alone, and line ends. With `cut_chunk` the plain form
+    of the cut that `Cutter` makes for many texts at once, since no pair of neighbours in a piece lies over two chunks."""
     if not text:
         return []
     if SPACE in text or "  " in text or text[0] == " ":
@@ -102,20 +125,6 @@ def cut_chunk(chunk: str, pairs: frozenset) -> list[str]:
     return [chunk[a:b] for a, b in zip([0, *at], [*at, len(chunk)])] if at else [chunk]
 
 
-def bounds(word: str, heads: frozenset, whole: frozenset, longest: int) -> str:
-    """For each place of a word, the length of the longest piece that starts there (at least
-    one character), as characters: "a" for 1, "b" for 2, ..."""
-    n, out = len(word), []
-    for i in range(n):
-        m, most = 2, 1
-        while m <= longest and i + m <= n and word[i:i + m] in heads:
-            if word[i:i + m] in whole:
-                most = m
-            m += 1
-        out.append(chr(96 + most))
-    return "".join(out)
-
-
 def _press(obj) -> bytes:
     import zstandard
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(obj, protocol=5))
@@ -141,46 +150,121 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _strings(sizes: np.ndarray, data: bytes):
+    """An Arrow array of the strings that lie in ``data``, one after the other."""
+    import pyarrow as pa
+    ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(data))
+
+
+def _laid_out(strings) -> tuple[np.ndarray, memoryview]:
+    """Where each string of an Arrow array (with 64-bit offsets) begins and the last one ends, and the bytes."""
+    _, ends, data = strings.buffers()
+    return np.frombuffer(ends, np.int64)[strings.offset:strings.offset + len(strings) + 1], memoryview(data or b"")
+
+
+def _digest(text: bytes) -> bytes:
+    import xxhash
+    return xxhash.xxh3_128_digest(text)
+
+
+class Cutter:
+    """Cuts texts where no piece lies over two neighbours, and bounds the pieces of words."""
+
+    def __init__(self, trie: Trie):
+        self.base = len(trie.letters) + 1
+        self.number = np.zeros(0x110000, np.int32)
+        self.number[trie.letters] = np.arange(1, self.base)
+        self.joined = np.zeros(self.base * self.base, bool)
+        self.joined[trie.pairs] = True
+        self.trie = trie
+
+    def letters(self, text: str) -> np.ndarray:
+        return self.number[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+
+    def words(self, texts: list[str]) -> tuple:
+        """All words of ``texts`` in order, as an Arrow array, and how many each text has."""
+        joined = "".join([SPACE + t.replace(" ", SPACE) for t in texts if t])
+        sizes = np.array([len(t) + bool(t) for t in texts], np.int64)
+        first = (np.cumsum(sizes) - sizes)[sizes > 0]
+        new = np.ones(len(joined), bool)
+        for a in range(0, len(joined), SLICE):
+            n = self.letters(joined[max(a - 1, 0):a + SLICE])
+            new[max(a, 1):a + SLICE] = ~self.joined[n[:-1] * self.base + n[1:]]
+        new[first] = True
+        data = np.frombuffer(joined.encode(), np.uint8)
+        begins = np.zeros(len(data), bool)
+        begins[(data & 0xC0) != 0x80] = new       # at a character's first byte
+        begins = np.flatnonzero(begins)
+        counts = np.zeros(len(texts), np.int64)
+        counts[sizes > 0] = np.add.reduceat(new, first, dtype=np.int64) if len(first) else 0
+        return _strings(np.diff(begins, append=len(data)), data), counts
+
+    def bounds(self, words: list[str]) -> list[str]:
+        """For each place of each word, the length of the longest piece that starts there (at least one
+        character), as characters: "a" for 1, "b" for 2, ..."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        n, trie = self.letters("".join(words)), self.trie
+        end, reach = np.repeat(np.cumsum(sizes), sizes), np.full(len(n), 97, "<u4")
+        at, node, m = np.arange(len(n)), n.astype(np.int64), 1
+        while len(at):
+            live = (node > 0) & (at + m < end[at])
+            at, node = at[live], node[live]
+            key = node * self.base + n[at + m]
+            to = np.minimum(np.searchsorted(trie.keys, key), len(trie.keys) - 1)
+            live = trie.keys[to] == key
+            at, to, m = at[live], to[live], m + 1
+            node = trie.nodes[to]
+            reach[at[trie.whole[to]]] = 96 + m
+        reach, ends = reach.tobytes().decode("utf-32-le"), np.cumsum(sizes).tolist()
+        return [reach[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Group:
-    """Texts of one task as numbers into their distinct chunks."""
+    """Texts of one task as numbers into their distinct words."""
 
     def __init__(self):
-        class Known(dict):
-            def __missing__(self, chunk):
-                self[chunk] = at = len(self)
-                return at
-        self.known, self.ids, self.numbers, self.spelt, self.held = Known(), [], [], [], 0
+        self.ids, self.texts, self.held = [], [], 0
 
     def add(self, doc_id, text: str) -> None:
-        chunks = chunks_of(text)
         self.ids.append(doc_id)
-        self.numbers.append(np.fromiter(map(self.known.__getitem__, chunks), np.int32, len(chunks)))
-        self.spelt.append(sum(map(len, chunks)) == len(text) + bool(text))     # matches never overlap, so nothing is lost
+        self.texts.append(text)
         self.held += len(text)
 
-    def packed(self, pairs: frozenset, buckets: int) -> tuple[dict[int, bytes], bytes]:
-        """Words by bucket, and the texts: their chunks' words are numbered in the order of buckets and words."""
+    def packed(self, cutter: Cutter, buckets: int) -> tuple[dict[int, bytes], bytes]:
+        """Words by bucket, and the texts: numbers of words in the order of buckets and words, and what they decode to."""
+        import pyarrow.compute as pc
         import xxhash
-        cuts = [cut_chunk(c, pairs) for c in self.known]
-        by: dict[int, list[str]] = {}
-        for w in sorted({w for ws in cuts for w in ws}):
-            by.setdefault(xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % buckets, []).append(w)
-        number = {w: i for i, w in enumerate(w for b in sorted(by) for w in by[b])}
-        sizes = np.array([len(ws) for ws in cuts], np.int32)
-        flat = np.array([number[w] for ws in cuts for w in ws], np.int32)
-        numbers = np.concatenate(self.numbers) if self.numbers else np.zeros(0, np.int32)
-        texts = (self.ids, np.array([len(x) for x in self.numbers], np.int64), _planes(numbers), self.spelt, _planes(sizes), _planes(flat))
-        return {b: _press(ws) for b, ws in by.items()}, _press(texts)
-
-
-def _cutter(pairs: frozenset, buckets: int):
+        words, counts = cutter.words(self.texts)
+        coded = words.dictionary_encode()
+        numbers, words = coded.indices.to_numpy(), coded.dictionary
+        bucket = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in words.cast("large_binary").to_pylist()], np.int64)
+        order = pc.sort_indices(words).to_numpy()
+        order = order[np.argsort(bucket[order], kind="stable")]
+        words, bucket = words.take(order), bucket[order]
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order))
+        (ends, data), by = _laid_out(words), {}
+        for b, lo, hi in _runs(bucket):
+            by[b] = _press((np.diff(ends[lo:hi + 1]).astype("<u4").tobytes(), bytes(data[ends[lo]:ends[hi]])))
+        digests = b"".join([_digest(t.replace(SPACE, " ").encode()) for t in self.texts])
+        return by, _press((self.ids, counts, _planes(number[numbers]), digests))
+
+
+def _runs(keys: np.ndarray) -> list[tuple[int, int, int]]:
+    """(key, from, to) of each run of equal keys."""
+    cuts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1, append=keys[-1] + 1)) if len(keys) else np.zeros(1, int)
+    return [(int(keys[a]), int(a), int(b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def _cutter(trie: Trie, buckets: int):
     """Texts -> packed words (dest: their bucket) and packed texts (dest: below 0, one for each group)."""
     def run(batches):
         import pyarrow as pa
-        group, part, serial = Group(), TaskContext.get().partitionId(), 0
+        cutter, group, part, serial = Cutter(trie), Group(), TaskContext.get().partitionId(), 0
 
         def rows():
-            words, texts = group.packed(pairs, buckets)
+            words, texts = group.packed(cutter, buckets)
             dest = -1 - (part << 32 | serial)
             return pa.RecordBatch.from_arrays(
                 [pa.array([*words, dest], pa.int64()), pa.array([dest] * (len(words) + 1), pa.int64()), pa.array([*words.values(), texts], pa.binary())],
@@ -196,20 +280,30 @@ def _cutter(pairs: frozenset, buckets: int):
     return run
 
 
-def _distinct(heads: frozenset, whole: frozenset, longest: int):
+def _sets(rows) -> tuple:
+    """Packed sets of words of one bucket -> all their words, how many each set has, and the distinct ones in order."""
+    import pyarrow.compute as pc
+    sets = [_expand(b) for b in rows.column("blob").to_pylist()]
+    sizes = [np.frombuffer(n, "<u4") for n, _ in sets]
+    words = _strings(np.concatenate(sizes), b"".join([data for _, data in sets]))
+    known = pc.unique(words)
+    return words, [len(n) for n in sizes], known.take(pc.sort_indices(known))
+
+
+def _distinct(trie: Trie):
     """The distinct words of a bucket (nothing for packed texts), numbered by bucket and place."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        words, bucket = _bucket_words(pdf), int(pdf["dest"].iloc[0])
-        return pd.DataFrame({"wid": [bucket << 32 | i for i in range(len(words))], "word": words,
-                             "reach": [bounds(w, heads, whole, longest) for w in words]}, dtype=object)
+    def run(rows):
+        import pyarrow as pa
+        if not _is_bucket(rows):
+            return pa.schema([("wid", pa.int64()), ("word", pa.string()), ("reach", pa.string())]).empty_table()
+        words, bucket = _sets(rows)[2], rows.column("dest")[0].as_py()
+        return pa.table({"wid": (bucket << 32) + np.arange(len(words)), "word": words.cast("string"),
+                         "reach": pa.array(Cutter(trie).bounds(words.to_pylist()), pa.string())})
     return run
 
 
-def _bucket_words(sets: pd.DataFrame) -> list[str]:
-    """The distinct words of a bucket in order; none for packed texts."""
-    if not len(sets) or sets["dest"].iloc[0] < 0:
-        return []
-    return sorted(set().union(*map(_expand, sets["blob"])))
+def _is_bucket(rows) -> bool:
+    return len(rows) > 0 and rows.column("dest")[0].as_py() >= 0
 
 
 def lattice(words: DataFrame, table_rows: DataFrame, longest: int, unknown: float) -> DataFrame:
@@ -258,58 +352,76 @@ def best_path(edges: Column, longest: int) -> Column:
     return F.reverse(walk)
 
 
-def _give_back(names: list[str], byte_ids: list[int]):
-    """For each group, the ids of its words of a bucket, in the order of its words, and which words their pieces
-    do not spell. An unknown character is written as its bytes."""
-    def run(sets: pd.DataFrame, coded: pd.DataFrame) -> pd.DataFrame:
-        words, place, flat, wrong = _bucket_words(sets), {}, [], []
-        for i, (wid, ids) in enumerate(zip(coded["wid"].tolist(), coded["ids"])):
-            word, ids = words[wid & 0xFFFFFFFF], ids.tolist()
-            place[word] = i
-            wrong.append("".join([names[x] if x >= 0 else chr(-1 - x) for x in ids]) != word)
-            flat.append([y for x in ids for y in ([x] if x >= 0 else [byte_ids[b] for b in chr(-1 - x).encode()])] if min(ids) < 0 else ids)
-        sizes = np.array([len(x) for x in flat], np.int64)
-        ids, starts, wrong = np.array([y for x in flat for y in x], np.int64), np.cumsum(sizes) - sizes, np.array(wrong, bool)
-        out = []
-        if len(coded):
-            for home, blob in zip(sets["home"], sets["blob"]):
-                at = np.fromiter(map(place.__getitem__, _expand(blob)), np.int64)
-                out.append((int(home), int(sets["dest"].iloc[0]), _press((_planes(sizes[at]), _planes(ids[_ragged(starts[at], sizes[at])]), np.flatnonzero(wrong[at]).tolist()))))
-        return pd.DataFrame(out, columns=["dest", "bucket", "coded"])
+def _give_back(byte_ids: list[int]):
+    """For each group, the ids of its words of a bucket, in the order of its words. An unknown character is written
+    as its bytes."""
+    def run(rows, coded):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if not _is_bucket(rows):
+            return pa.schema([("dest", pa.int64()), ("bucket", pa.int64()), ("coded", pa.binary())]).empty_table()
+        words, counts, known = _sets(rows)
+        coded = coded.sort_by("wid").combine_chunks()       # one row for each of the words known, in their order
+        if len(coded) != len(known):
+            raise ValueError("a word has no path")
+        paths = coded.column("ids").combine_chunks()
+        ids, starts = _written(paths.flatten().to_numpy(), np.diff(paths.offsets.to_numpy()), byte_ids)
+        sizes, at = np.diff(starts), pc.index_in(words, value_set=known).to_numpy()
+        out, lo = [], 0
+        for n in counts:
+            own = at[lo:lo + n]
+            out.append(_press((_planes(sizes[own]), _planes(ids[_ragged(starts[own], sizes[own])]))))
+            lo += n
+        return pa.table({"dest": rows.column("home"), "bucket": rows.column("dest"), "coded": pa.array(out, pa.binary())})
     return run
 
 
-def _write(texts: pd.DataFrame, coded: pd.DataFrame) -> pd.DataFrame:
-    """A group's texts and the ids of its words -> its texts' ids."""
-    if texts["dest"].iloc[0] >= 0:
-        return pd.DataFrame([], columns=["doc_id", "n_pieces", "ids", "round_trip"], dtype=object)
-    sizes, ids, wrong, before = [], [], [], 0
-    for blob in coded.sort_values("bucket")["coded"]:
-        n, x, bad = _expand(blob)
-        sizes.append(_from_planes(n)), ids.append(_from_planes(x))
-        wrong += [before + b for b in bad]
-        before += len(sizes[-1])
-    none = np.zeros(0, np.int32)
-    sizes, ids = np.concatenate([none, *sizes]).astype(np.int64), np.concatenate([none, *ids])
-    starts = np.cumsum(sizes) - sizes
-    doc_ids, lengths, numbers, spelt, chunk_sizes, chunk_words = _expand(texts["blob"].iloc[0])
-    # what each chunk is in ids
-    chunk_sizes, chunk_words = _from_planes(chunk_sizes).astype(np.int64), _from_planes(chunk_words)
-    chunk_ids = ids[_ragged(starts[chunk_words], sizes[chunk_words])]
-    first = np.cumsum(chunk_sizes) - chunk_sizes
-    through = np.concatenate(([0], np.cumsum(sizes[chunk_words])))
-    long = through[first + chunk_sizes] - through[first]
-    faulty = np.zeros(len(chunk_sizes), bool)
-    if wrong:
-        faulty = np.add.reduceat(np.isin(chunk_words, wrong), first) > 0
-    numbers, ends, rows = _from_planes(numbers), np.cumsum(lengths), []
-    for doc_id, lo, hi, kept in zip(doc_ids, ends - lengths, ends, spelt):
-        own = numbers[lo:hi]
-        x = chunk_ids[_ragged(through[first[own]], long[own])]
-        rows.append((len(x), x, bool(kept and not faulty[own].any())))
-    out = pd.DataFrame(rows, columns=["n_pieces", "ids", "round_trip"])
-    out.insert(0, "doc_id", pd.array(doc_ids, dtype="Int64"))
-    return out
+def _written(ids: np.ndarray, sizes: np.ndarray, byte_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Paths (their ids and lengths) with unknown characters as their bytes, and where each path begins and the last ends."""
+    width = np.ones(len(ids), np.int64)
+    odd = np.flatnonzero(ids < 0)
+    spelt = [chr(-1 - x).encode() for x in ids[odd].tolist()]
+    width[odd] = [len(b) for b in spelt]
+    through = np.concatenate(([0], np.cumsum(width)))
+    out = np.repeat(ids, width)
+    out[_ragged(through[odd], width[odd])] = [byte_ids[b] for b in b"".join(spelt)]
+    return out, through[np.concatenate(([0], np.cumsum(sizes)))]
+
+
+def _write(names: list[bytes]):
+    """A group's texts and the ids of its words -> its texts' ids, which are decoded again and held against the texts."""
+    def run(texts, coded):
+        import pyarrow as pa
+        if not len(texts) or _is_bucket(texts):
+            return pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())]).empty_table()
+        none = np.zeros(0, np.int32)
+        back = [_expand(b) for b in coded.sort_by("bucket").column("coded").to_pylist()]
+        sizes = np.concatenate([none, *[_from_planes(n) for n, _ in back]]).astype(np.int64)
+        ids = np.concatenate([none, *[_from_planes(x) for _, x in back]])
+        doc_ids, counts, numbers, digests = _expand(texts.column("blob")[0].as_py())
+        numbers, starts = _from_planes(numbers), np.cumsum(sizes) - sizes
+        long = sizes[numbers]
+        through = np.concatenate(([0], np.cumsum(long)))[np.concatenate(([0], np.cumsum(counts)))]
+        ids = ids[_ragged(starts[numbers], long)]
+        kept = [same_text(t, digests[16 * i:16 * i + 16]) for i, t in enumerate(spelled(ids, through, names))]
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "n_pieces": pa.array(np.diff(through)),
+                         "ids": pa.ListArray.from_arrays(pa.array(through, pa.int32()), pa.array(ids, pa.int32())), "round_trip": pa.array(kept, pa.bool_())})
+    return run
+
+
+def spelled(ids: np.ndarray, ends: np.ndarray, names: list[bytes]):
+    """The bytes that the ids of each text (from ``ends[i]`` to ``ends[i + 1]``) stand for, without the leading space."""
+    import pyarrow as pa
+    at, data = _laid_out(pa.array(names, pa.large_binary()).take(pa.array(ids)))
+    lead = SPACE.encode()
+    for lo, hi in zip(at[ends[:-1]].tolist(), at[ends[1:]].tolist()):
+        text = bytes(data[lo:hi]).replace(lead, b" ")
+        yield text[1:] if text[:1] == b" " else text
+
+
+def same_text(spelt: bytes, digest: bytes) -> bool:
+    """Whether the bytes of a text's ids decode to the text with this digest; damaged runs decode to U+FFFD."""
+    return _digest(spelt) == digest or _digest(spelt.decode("utf-8", "replace").encode()) == digest
 
 
 def decode_ids(ids: list[int], names: list[str], bytes_of: dict[int, int], special: frozenset | None = None) -> str:
@@ -332,21 +444,19 @@ def decode_ids(ids: list[int], names: list[str], bytes_of: dict[int, int], speci
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """``docs`` (doc_id, text) -> one row per row: doc_id, n_pieces, ids, round_trip
-    (the ids' pieces spell the text again: every text is its words, every word its pieces)."""
+    """``docs`` (doc_id, text) -> one row per row: doc_id, n_pieces, ids, round_trip (the ids decode to the text again)."""
     spark, pieces, buckets = docs.sparkSession, Pieces(model_path), partitions_for(docs, BUCKET_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     if re.search(r"^[\s:+|-]*(?!Project|Filter|Relation)\w", rows._jdf.queryExecution().optimizedPlan().toString(), re.M):
         rows = materialize(rows, "pieces-texts")
-    sent = rows.mapInArrow(_cutter(pieces.pairs, buckets), "dest long, home long, blob binary")
-    words = (sent.groupBy("dest").applyInPandas(_distinct(pieces.heads, pieces.whole, pieces.longest), "wid long, word string, reach string")
-             .repartition(buckets, "wid"))
+    sent = rows.mapInArrow(_cutter(pieces.trie, buckets), "dest long, home long, blob binary")
+    words = sent.groupBy("dest").applyInArrow(_distinct(pieces.trie), "wid long, word string, reach string").repartition(buckets, "wid")
     table_rows = spark.createDataFrame(pieces.rows, "piece string, score double, id int")
     edges = lattice(words, table_rows, pieces.longest, pieces.unknown)
     coded = edges.groupBy("wid").agg(F.collect_list(F.struct("end", (-F.col("len")).alias("less"), "score", "id")).alias("edges")).select(
         "wid", F.shiftright("wid", 32).alias("bucket"), best_path(F.col("edges"), pieces.longest).alias("ids"))
-    back = sent.groupBy("dest").cogroup(coded.groupBy("bucket")).applyInPandas(_give_back(pieces.names, pieces.byte_ids), "dest long, bucket long, coded binary")
-    return sent.groupBy("dest").cogroup(back.groupBy("dest")).applyInPandas(_write, "doc_id long, n_pieces long, ids array<int>, round_trip boolean")
+    back = sent.groupBy("dest").cogroup(coded.groupBy("bucket")).applyInArrow(_give_back(pieces.byte_ids), "dest long, bucket long, coded binary")
+    return sent.groupBy("dest").cogroup(back.groupBy("dest")).applyInArrow(_write(pieces.spelt), "doc_id long, n_pieces long, ids array<int>, round_trip boolean")
 
 
 def decode(coded: DataFrame, model_path: str) -> DataFrame:
