@@ -29,7 +29,8 @@ characters (damaged runs into U+FFFD) and drops the leading space.
 
 Defined cases: null or empty text: no ids, decoded as empty. A text that
 itself holds U+2581 decodes with a space there, as in the library. The fold
-of a word keeps all its positions; repeated rows stay separate. Empty table: none.
+of a word keeps all its positions, so a word of 20,000 characters takes 14 s;
+repeated rows stay separate. Empty table: none.
 
 Scale: texts are read and cut once and never move; what moves are packed word
 sets and word numbers (a packed row holds one word at least, so there are never
@@ -308,48 +309,45 @@ def _is_bucket(rows) -> bool:
 
 def lattice(words: DataFrame, table_rows: DataFrame, longest: int, unknown: float) -> DataFrame:
     """``words`` (wid, word, reach) -> the edges: wid, end, len, score, id (an unknown character has id ``-1 - code point``)."""
-    n = F.length("reach")
-    chunks = words.withColumn("at", F.explode(F.sequence(F.lit(0), n - 1, F.lit(LONG))))
+    chunks = words.select("wid", "word", "reach", F.explode(F.sequence(F.lit(0), F.length("reach") - 1, F.lit(LONG))).alias("at"))
     chunks = chunks.select("wid", "at", F.substring("reach", F.col("at") + 1, F.lit(LONG)).alias("reach"),
                            F.substring("word", F.col("at") + 1, F.lit(LONG + longest - 1)).alias("part"))
-    spans = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.length("reach")),
-        lambda i: F.transform(F.sequence(F.lit(1), F.ascii(F.substring("reach", i, F.lit(1))) - 96),
-                              lambda m: F.struct((F.col("at") + i + m - 1).alias("end"), m.alias("len"),
-                                                 F.substring("part", i, m).alias("piece")))))
-    rows = chunks.select("wid", F.explode(spans).alias("s")).select("wid", "s.end", "s.len", "s.piece")
+    places = chunks.select("wid", "at", "reach", "part", F.explode(F.sequence(F.lit(1), F.length("reach"))).alias("i"))
+    places = places.select("wid", (F.col("at") + F.col("i") - 1).alias("at"), F.substring("part", F.col("i"), F.lit(longest)).alias("part"),
+                           (F.ascii(F.substring("reach", F.col("i"), F.lit(1))) - 96).alias("most"))
+    spans = places.select("wid", "at", "part", F.explode(F.sequence(F.lit(1), "most")).alias("len"))
+    rows = spans.select("wid", (F.col("at") + F.col("len")).alias("end"), "len", F.substring("part", F.lit(1), F.col("len")).alias("piece"))
     # the piece table is as large as the model file's vocabulary
     met = rows.join(F.broadcast(table_rows), "piece", "left").where(F.col("id").isNotNull() | (F.col("len") == 1))
     return met.select("wid", "end", "len", F.coalesce("score", F.lit(unknown)).alias("score"),
                       F.coalesce("id", -1 - F.ascii("piece")).alias("id"))
 
 
-def best_path(edges: Column, longest: int) -> Column:
+def best_path(edges: Column) -> Column:
     """Ids of the best path through ``edges``, an array of (end, less, score, id), less being
     minus the length, in which every position ends an edge; sorted here, longer edges first."""
-    pick = "struct<len:int,id:int>"
-    ordered = F.sort_array(edges)
-    # end: position being filled; score, pick: its best so far; near: scores of the positions before it, nearest first
-    state = F.struct(F.lit(0).alias("end"), F.lit(0.0).alias("score"), F.struct(F.lit(0).alias("len"), F.lit(0).alias("id")).cast(pick).alias("pick"),
-                     F.array().cast("array<double>").alias("near"), F.array().cast(f"array<{pick}>").alias("picks"))
+    node = "struct<score:double,len:int,id:int>"
+    # end, best: the position being filled and its best edge so far; done: the positions before it, nearest first
+    state = F.struct(F.lit(0).alias("end"), F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("len"), F.lit(0).alias("id")).cast(node).alias("best"),
+                     F.array().cast(f"array<{node}>").alias("done"))
+
+    def reached(before, e):
+        return F.struct((before + e["score"]).alias("score"), (-e["less"]).alias("len"), e["id"].alias("id"))
 
     def step(a, e):
-        chosen = F.struct((-e["less"]).alias("len"), e["id"].alias("id")).cast(pick)
-        # the first edge to a new end: the score of the end before it joins ``near``
-        before = F.when(e["less"] == -1, a["score"]).otherwise(F.element_at(a["near"], -e["less"] - 1))
-        onward = F.struct(e["end"].alias("end"), (before + e["score"]).alias("score"), chosen.alias("pick"),
-                          F.slice(F.concat(F.array(a["score"]), a["near"]), 1, longest).alias("near"),
-                          F.concat(a["picks"], F.array(a["pick"])).alias("picks"))
-        score = F.element_at(a["near"], -e["less"]) + e["score"]
-        better = F.struct(a["end"].alias("end"), score.alias("score"), chosen.alias("pick"), a["near"].alias("near"), a["picks"].alias("picks"))
-        return F.when(e["end"] > a["end"], onward).when(score > a["score"], better).otherwise(a)
-
-    chosen = F.aggregate(ordered, state, step, lambda a: F.concat(F.slice(a["picks"], 2, F.size(a["picks"])), F.array(a["pick"])))
+        # the first edge to a new end: the end before it joins ``done``
+        before = F.when(e["less"] == -1, a["best"]["score"]).otherwise(F.get(a["done"], -e["less"] - 2)["score"])
+        onward = F.struct(e["end"].alias("end"), reached(before, e).alias("best"), F.array_prepend(a["done"], a["best"]).alias("done"))
+        near = F.get(a["done"], -e["less"] - 1)["score"]
+        better = F.struct(a["end"].alias("end"), reached(near, e).alias("best"), a["done"].alias("done"))
+        return F.when(e["end"] > a["end"], onward).when(near + e["score"] > a["best"]["score"], better).otherwise(a)
+
+    # all positions, the last one first; the start, of length 0, is the last to be walked over
+    nodes = F.aggregate(F.sort_array(edges), state, step, lambda a: F.array_prepend(a["done"], a["best"]))
     back = F.struct(F.lit(0).alias("skip"), F.array().cast("array<int>").alias("ids"))
-    walk = F.aggregate(F.reverse(chosen), back, lambda a, p: F.when(
-        a["skip"] > 0, F.struct((a["skip"] - 1).alias("skip"), a["ids"].alias("ids"))).otherwise(
-        F.struct((p["len"] - 1).alias("skip"), F.concat(a["ids"], F.array(p["id"])).alias("ids"))), lambda a: a["ids"])
-    return F.reverse(walk)
+    return F.aggregate(nodes, back, lambda a, p: F.when(
+        a["skip"] > 0, F.struct((a["skip"] - 1).alias("skip"), a["ids"].alias("ids"))).when(p["len"] == 0, a).otherwise(
+        F.struct((p["len"] - 1).alias("skip"), F.array_prepend(a["ids"], p["id"]).alias("ids"))), lambda a: a["ids"])
 
 
 def _give_back(byte_ids: list[int]):
@@ -454,7 +452,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     table_rows = spark.createDataFrame(pieces.rows, "piece string, score double, id int")
     edges = lattice(words, table_rows, pieces.longest, pieces.unknown)
     coded = edges.groupBy("wid").agg(F.collect_list(F.struct("end", (-F.col("len")).alias("less"), "score", "id")).alias("edges")).select(
-        "wid", F.shiftright("wid", 32).alias("bucket"), best_path(F.col("edges"), pieces.longest).alias("ids"))
+        "wid", F.shiftright("wid", 32).alias("bucket"), best_path(F.col("edges")).alias("ids"))
     back = sent.groupBy("dest").cogroup(coded.groupBy("bucket")).applyInArrow(_give_back(pieces.byte_ids), "dest long, bucket long, coded binary")
     return sent.groupBy("dest").cogroup(back.groupBy("dest")).applyInArrow(_write(pieces.spelt), "doc_id long, n_pieces long, ids array<int>, round_trip boolean")
 
