@@ -641,7 +641,7 @@ def test_oracles_of_the_llm_queries(spark):
 
     from skuflow.llm.queries import ORACLE_SQL, QUERIES
     d, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
     for name, sql in ORACLE_SQL.items():
         got, want = QUERIES[name](spark, d), con.sql(sql)
