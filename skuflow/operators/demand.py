@@ -91,10 +91,12 @@ def _fill(series: DataFrame, keys: list[str], as_of: Column | None = None) -> Da
     end = F.max("month").over(w) if as_of is None else F.greatest(F.max("month").over(w), as_of)
     rows = series.select(*keys, F.max("category").over(w).alias("category"), "month", "units", F.min("month").over(w).alias("m0"),
                          end.alias("m1"), F.coalesce(F.add_months(following, -1), end).alias("until"))
-    each = rows.withColumn("at", F.explode(F.sequence("month", "until", F.expr("INTERVAL 1 MONTH"))))
-    return each.select(*keys, "category", F.col("at").alias("month"),
-                       F.when(F.col("at") == F.col("month"), F.col("units")).otherwise(F.lit(0)).cast("long").alias("units"),
-                       F.months_between("at", "m0").cast("int").alias("t"), (F.months_between("m1", "m0").cast("int") + 1).alias("n"))
+    # months are counted per row given, before it is followed by its empty ones
+    rows = rows.select(*keys, "category", "units", F.months_between("month", "m0").cast("int").alias("t0"),
+                       (F.months_between("m1", "m0").cast("int") + 1).alias("n"), F.sequence("month", "until", F.expr("INTERVAL 1 MONTH")).alias("run"))
+    each = rows.select("*", F.posexplode("run").alias("i", "month"))
+    return each.select(*keys, "category", "month", F.when(F.col("i") == 0, F.col("units")).otherwise(F.lit(0)).cast("long").alias("units"),
+                       (F.col("t0") + F.col("i")).alias("t"), "n")
 
 
 def sku_filled(monthly: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:

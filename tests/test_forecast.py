@@ -170,3 +170,54 @@ def test_walk_uses_each_weights_own_least_squares():
     for i, c in enumerate(cuts):
         (f1, s1), = forecast._fit(Y[i:i + 1, :c], [cuts[i:i + 1]], 12, True, 3)
         assert np.allclose(f[i], f1[0]) and np.isclose(s[i], s1[0])
+
+
+def test_one_factor_gives_the_least_error_of_every_length():
+    rng = np.random.default_rng(4)
+    for seasonal, ends in ((True, [24, 31, 40]), (False, [6, 17, 40])):
+        Y = rng.poisson(6, (3, 40)).astype(float)
+        cut = np.array(ends)
+        Z = forecast._differences(Y, 12, seasonal)
+        (best, low), = forecast._grid_search(Z, [cut - (40 - Z.shape[1])], 12, seasonal)
+        grid = forecast.weight_grid(seasonal)
+        for i, c in enumerate(ends):
+            direct = [_direct_sse(Y[i, :c], w, 12, seasonal) for w in grid]
+            assert np.isclose(low[i], min(direct), rtol=1e-6) and np.isclose(direct[best[i]], min(direct), rtol=1e-9)
+
+
+def test_walk_shares_factors_between_series(monkeypatch):
+    """All series under the same weights: one factor for all of them, whatever their lengths."""
+    made, bands = [], forecast._bands
+    monkeypatch.setattr(forecast, "_bands", lambda w, *a: made.append(len(w)) or bands(w, *a))
+    rng = np.random.default_rng(5)
+    n = rng.integers(27, 41, 200)
+    Y = np.where(np.arange(40) < n[:, None], rng.poisson(5, (200, 40)), 0).astype(float)
+    W = np.tile([[0.3, 0.1, 0.2], [0.25, 0.1, 0.2]], (200, 1, 1))
+    forecast._fit_local(Y, n, W, 12, True, 3)
+    assert sum(made) == 2
+
+
+def test_series_are_sent_to_python_as_one_row_each(spark):
+    rng = np.random.default_rng(6)
+    p = ForecastParams()
+    s = _series(spark, [int(x) for x in rng.poisson(3, 20)], "a").unionByName(_series(spark, [int(x) for x in rng.poisson(5, 40)], "b"))
+    filled = demand.gap_fill(s)
+    fits = forecast.fit_series(filled, p)
+    plan = fits._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan
+    # rows in any order, in calls of one series each, beside a series without a key
+    no_key = filled.where("grain_key = 'a'").withColumn("grain_key", F.lit(None).cast("string"))
+    again = forecast.fit_series(filled.unionByName(no_key).orderBy(F.desc("t")), p, 1)
+    key = lambda r: (r["grain_key"], r["segment"], r["month"])
+    one, two = sorted(fits.collect(), key=key), sorted(again.collect(), key=key)
+    assert one == two and len(one) == 12
+
+
+def test_a_missing_value_spoils_only_what_it_is_fitted_on():
+    rng = np.random.default_rng(7)
+    Y = rng.poisson(5, (3, 40)).astype(float)
+    whole = forecast._fit_series(Y, np.full(3, 40), ForecastParams())
+    Y[1, 38] = np.nan
+    bt, full, sd, _ = forecast._fit_series(Y, np.full(3, 40), ForecastParams())
+    assert np.allclose(bt, whole[0]) and np.allclose(full[[0, 2]], whole[1][[0, 2]])
+    assert np.isnan(full[1]).all() and np.isnan(sd[1])
