@@ -13,7 +13,8 @@ How the corpus is cut so that all occurrences of a string meet in one block:
    strings have equal minimizers. Minimizers that occur once in the corpus are
    dropped; the others' segments are dealt to blocks by minimizer. A minimizer
    with more than ``HOT`` segments is split further by the hash of the window.
-3. In a block, equal segments are one class again; the distinct ones are
+3. In a block, equal segments are one class again; of the distinct ones, the
+   stretches of windows whose hash is not the only one of its kind are
    joined (each ends in a terminator of its own), suffix-sorted to a depth of
    at least ``length`` and transformed (BWT). Common prefixes then come in
    increasing order by breadth-first backward extension of intervals: the
@@ -231,6 +232,30 @@ def repeated_rows(segments: list[bytes], length: int) -> tuple[np.ndarray, np.nd
     return group, seg, at - (ends[seg] - sizes[seg])
 
 
+def repeated_stretches(segments: list[bytes], windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first window, windows) of each run of windows whose hash occurs more than once in the
+    segments. Equal strings have equal hashes, so whatever lies outside the runs repeats nowhere."""
+    length = windows.length
+    sizes = np.array([len(x) for x in segments])
+    hashes, count = windows.spans(windows.prefix(b"".join(segments)), length), sizes - length + 1
+    first = np.cumsum(count) - count
+    within = np.arange(int(count.sum())) - np.repeat(first, count)
+    seg = np.repeat(np.arange(len(segments)), count)
+    hashes = hashes[np.repeat(np.cumsum(sizes) - sizes, count) + within]
+    # few windows share a cell with another one; only those are sorted
+    cell = (hashes >> np.uint64(64 - max(8, (4 * len(hashes)).bit_length()))).astype(np.int64)
+    maybe = np.flatnonzero(np.bincount(cell)[cell] > 1)
+    by = maybe[np.argsort(hashes[maybe])]
+    same = hashes[by][1:] == hashes[by][:-1]
+    hit = np.zeros(len(hashes), bool)
+    hit[by[1:][same]] = hit[by[:-1][same]] = True
+    at = np.flatnonzero(hit)
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (within[at[1:]] == 0)
+    head = np.flatnonzero(new)
+    return seg[at[head]], within[at[head]], np.diff(np.append(head, len(at)))
+
+
 # -- packing ------------------------------------------------------------------------------------------------------
 
 
@@ -386,7 +411,7 @@ def _segments(length: int, blocks: int):
 def _expand(length: int, block_bytes: int):
     """A block's repeated strings: runs of windows (id, tie, start, windows) that start earlier elsewhere."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, rests, gids, bodies = [], [], [], []
+        names, rests, gids, bodies, windows = [], [], [], [], Windows(length)
         for gid, blob in zip(pdf["gid"], pdf["blob"]):
             name, rest, body = _unpack(blob)
             size = rest[:, 3] + length - 1
@@ -420,12 +445,18 @@ def _expand(length: int, block_bytes: int):
         place = np.empty(len(name), np.int64)
         place[by] = np.arange(len(by))
         for rows in chunks:
-            group, seg, off = repeated_rows([bodies[i] for i in rows.tolist()], length)
+            # only what may repeat is sorted and transformed
+            part, at, count = repeated_stretches([bodies[i] for i in rows.tolist()], windows)
+            if not len(part):
+                continue
+            part = rows[part]
+            pieces = [bodies[i][a:a + c + length - 1] for i, a, c in zip(part.tolist(), at.tolist(), count.tolist())]
+            group, seg, off = repeated_rows(pieces, length)
             if not len(group):
                 continue
-            own = rows[seg]
+            own = part[seg]
             # corpus order of single windows: id, tie, then start plus offset
-            start = rest[own, 2] + off
+            start = rest[own, 2] + at[seg] + off
             order = np.lexsort((start, rest[own, 1], rest[own, 0], group))
             late_row = np.concatenate(([False], group[order][1:] == group[order][:-1]))
             own, start = own[order][late_row], start[order][late_row]

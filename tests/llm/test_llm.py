@@ -650,3 +650,30 @@ def test_oracles_of_the_llm_queries(spark):
         mine = sorted(map(str, (tuple(r[c] for c in pick) for r in got.collect())))
         theirs = sorted(map(str, want.select(*pick).fetchall()))
         assert mine == theirs, name
+
+
+def test_repeats_sorts_only_what_may_repeat(monkeypatch):
+    """Segments that share a minimizer but no window are not sorted; of the others, only the windows that repeat."""
+    from skuflow.llm import repeats
+    rng = random.Random(11)
+    word = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    long, twice = word(1000), word(150)
+    segments = [long, word(400) + twice + word(300), twice + word(80), word(500), word(90) + twice[10:130] + word(5), b"x" * 130]
+    seen = {}
+    for i, s in enumerate(segments):
+        for a in range(len(s) - 99):
+            seen.setdefault(s[a:a + 100], []).append((i, a))
+    expected = sorted(p for places in seen.values() if len(places) > 1 for p in places)
+    part, at, count = repeats.repeated_stretches(segments, repeats.Windows(100))
+    assert sorted((int(i), int(a) + j) for i, a, c in zip(part, at, count) for j in range(c)) == expected
+    assert repeats.repeated_stretches([long, long[::-1]], repeats.Windows(100))[0].size == 0
+
+    sizes, rows = [], repeats.repeated_rows
+    monkeypatch.setattr(repeats, "repeated_rows", lambda pieces, n: sizes.append(sum(map(len, pieces))) or rows(pieces, n))
+    # a block of one minimizer: five documents of which two share 150 bytes
+    texts = [word(2000) + b"1" + twice + b"2" + word(2000), twice + b"3" + word(3000), word(3000), word(2500), word(2800)]
+    rest = np.array([(k, k, 0, len(t) - 99) for k, t in enumerate(texts)], np.int64)
+    blob = repeats._pack(np.full(len(texts), 7, np.uint64), rest, b"".join(texts))
+    out = repeats._expand(100, repeats.BLOCK_BYTES)(pd.DataFrame([(0, 0, blob)], columns=["block", "gid", "blob"]))
+    assert [r.tolist() for r in repeats._unpack(out["blob"][0])[0]] == [[1, 1, 0, 51]]
+    assert sizes == [300]
