@@ -87,12 +87,16 @@ class Windows:
         m = len(p) - size
         return _mix((p[size:] - p[:m]) * self.down[:m])
 
-    def runs(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(start, windows, minimizer, places) of each run; needs at least ``length`` bytes.
+    def runs(self, raws: list[bytes]) -> tuple[np.ndarray, ...]:
+        """(text, start, windows, minimizer, places) of each run of texts of at least ``length`` bytes,
+        and the joined texts' prefix hashes with the place of each text in them.
 
         A window's minimizer is its leftmost m-gram with the least upper hash bits; ``places``
         counts the m-grams that serve a run, so a run that holds a string twice has at least 2.
         """
+        sizes = np.array([len(x) for x in raws])
+        place, count = np.cumsum(sizes) - sizes, sizes - self.length + 1
+        p = self.prefix(b"".join(raws))
         grams, step = self.spans(p, self.gram), 1
         low = (grams & np.uint64(~_PLACE & 0xFFFFFFFFFFFFFFFF)) | (np.arange(len(grams), dtype=np.uint64) & np.uint64(_PLACE))
         n = len(low) - self.wide + 1
@@ -100,11 +104,32 @@ class Windows:
             low = np.minimum(low[:-step], low[step:])
             step *= 2
         low = np.minimum(low[:n], low[self.wide - step:self.wide - step + n])
-        moved = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+        first = np.cumsum(count) - count
+        if len(raws) > 1:       # no window lies in two texts
+            low = low[np.repeat(place - first, count) + np.arange(first[-1] + count[-1])]
+        new = np.concatenate(([True], low[1:] != low[:-1]))
+        new[first] = True
+        moved = np.flatnonzero(new)
         name = grams[(low[moved] & np.uint64(_PLACE)).astype(np.int64)]
-        head = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+        new = np.concatenate(([True], name[1:] != name[:-1]))
+        new[np.searchsorted(moved, first)] = True
+        head = np.flatnonzero(new)
         start = moved[head]
-        return start, np.diff(np.append(start, n)), name[head], np.diff(np.append(head, len(moved)))
+        text = np.searchsorted(first, start, side="right") - 1
+        return text, start - first[text], np.diff(np.append(start, len(low))), name[head], np.diff(np.append(head, len(moved))), p, place
+
+
+def _together(texts, most: int = 1 << 17):
+    """Lists of texts (id, digest, bytes) that are hashed in one go: short ones share the cost of a call."""
+    some, held = [], 0
+    for one in texts:
+        if some and held + len(one[2]) > most:
+            yield some
+            some, held = [], 0
+        some.append(one)
+        held += len(one[2])
+    if some:
+        yield some
 
 
 def suffix_order(s: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
@@ -327,8 +352,8 @@ def _names(length: int, deals: int):
     """A group's minimizers, counted, packed for each deal."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         windows, found = Windows(length), []
-        for _, _, raw in _texts(pdf):
-            found.append(windows.runs(windows.prefix(raw))[2:])
+        for some in _together(_texts(pdf)):
+            found.append(windows.runs([raw for _, _, raw in some])[3:5])
         names, which = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
         counts = np.bincount(which, np.concatenate([f[1] for f in found])).astype(np.int64)
         deal, out = names % np.uint64(deals), []
@@ -373,31 +398,33 @@ def _segments(length: int, blocks: int):
         known = np.concatenate([_unpack_sorted(g[0]) for g in got])
         by = np.argsort(known)
         known, splits = known[by], np.concatenate([g[1] for g in got])[by]
-        windows, rows, bodies = Windows(length), [], []
-        for k, digest, raw in _texts(texts):
-            p = windows.prefix(raw)
-            start, count, name, _ = windows.runs(p)
+        windows, names, rows, bodies = Windows(length), [], [], []
+        for some in _together(_texts(texts)):
+            raws = [raw for _, _, raw in some]
+            text, start, count, name, _, p, place = windows.runs(raws)
             at = np.minimum(np.searchsorted(known, name), len(known) - 1)
             hit = np.flatnonzero(known[at] == name)
             if not len(hit):
                 continue
-            tie = int.from_bytes(digest[:7], "big")
             split = splits[at[hit]]
-            plain = hit[split == 1]
-            rows += [(n, k, tie, s, c) for n, s, c in zip(name[plain].tolist(), start[plain].tolist(), count[plain].tolist())]
-            bodies += [raw[s:s + c + length - 1] for s, c in zip(start[plain].tolist(), count[plain].tolist())]
             hot = hit[split > 1]
-            if len(hot):
-                whole = windows.spans(p, length)
-                for i, parts in zip(hot.tolist(), split[split > 1].tolist()):
-                    for s in range(int(start[i]), int(start[i] + count[i])):
-                        part = int(whole[s]) % parts + 1
-                        rows.append(((int(name[i]) + part * _ODD) & 0xFFFFFFFFFFFFFFFF, k, tie, s, 1))
-                        bodies.append(raw[s:s + length])
-        if not rows:
+            text, start, count, name = [np.concatenate((x[hit[split == 1]], x[hot])) for x in (text, start, count, name)]
+            if len(hot):        # each window of a hot minimizer for itself, in the part of its hash
+                many, cold = count[-len(hot):], len(count) - len(hot)
+                parts = np.repeat(split[split > 1], many).astype(np.uint64)
+                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                text, start, name = [np.concatenate((x[:cold], np.repeat(x[cold:], many))) for x in (text, start, name)]
+                start[cold:] += step
+                part = windows.spans(p, length)[place[text[cold:]] + start[cold:]] % parts + np.uint64(1)
+                name[cold:] += part * np.uint64(_ODD)
+                count = np.concatenate((count[:cold], np.ones(len(step), count.dtype)))
+            ids = np.array([(k, int.from_bytes(digest[:7], "big")) for k, digest, _ in some], np.int64)
+            names.append(name)
+            rows.append(np.column_stack((ids[text], start, count)))
+            bodies += [raws[i][a:b] for i, a, b in zip(text.tolist(), start.tolist(), (start + count + length - 1).tolist())]
+        if not names:
             return pd.DataFrame([], columns=columns)
-        names = np.array([r[0] for r in rows], np.uint64)
-        rest = np.array([r[1:] for r in rows], np.int64)
+        names, rest = np.concatenate(names), np.concatenate(rows)
         block, out = _mix(names) % np.uint64(blocks), []
         by = np.argsort(block, kind="stable")
         cut = np.flatnonzero(np.concatenate(([True], np.diff(block[by]) != 0)))
