@@ -81,32 +81,36 @@ def as_of_month(monthly: DataFrame, p: ForecastParams) -> Column | None:
     return None if p.as_of is None else F.to_date(F.lit(p.as_of + "-01"))
 
 
-def _fill(series: DataFrame, keys: list[str], as_of: Column | None = None) -> DataFrame:
+def _fill(series: DataFrame, keys: list[str], as_of: Column | None = None, p: ForecastParams | None = None) -> DataFrame:
     """Rows (keys, category, month, units) -> every month between the first and last of a
     series (or ``as_of``, if that is later), absent ones with 0 units; ``t`` counts months from
     the first, ``n`` all of them. Each row is followed by the empty months up to the next one
-    or the end, so nothing is joined back."""
-    w = Window.partitionBy(*keys)
-    following = F.lead("month").over(w.orderBy("month"))
-    end = F.max("month").over(w) if as_of is None else F.greatest(F.max("month").over(w), as_of)
+    or the end, so nothing is joined back. With ``p``, only series that clear its bars (M3).
+    One window, so one sort, has it all."""
+    by_month = Window.partitionBy(*keys).orderBy("month")
+    w = by_month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.lead("month").over(by_month)
+    able = [] if p is None else [F.count(F.lit(1)).over(w).alias("active"), F.sum("units").over(w).alias("total")]
     rows = series.select(*keys, F.max("category").over(w).alias("category"), "month", "units", F.min("month").over(w).alias("m0"),
-                         end.alias("m1"), F.coalesce(F.add_months(following, -1), end).alias("until"))
+                         F.max("month").over(w).alias("last"), following.alias("following"), *able)
+    if p is not None:
+        rows = rows.where((F.col("active") >= p.min_active_months) & (F.col("total") >= p.min_total_units))
+    end = F.col("last") if as_of is None else F.greatest("last", as_of)
+    rows = rows.withColumn("m1", end).withColumn("until", F.coalesce(F.add_months("following", -1), "m1"))
     # months are counted per row given, before it is followed by its empty ones
-    rows = rows.select(*keys, "category", "units", F.months_between("month", "m0").cast("int").alias("t0"),
-                       (F.months_between("m1", "m0").cast("int") + 1).alias("n"), F.sequence("month", "until", F.expr("INTERVAL 1 MONTH")).alias("run"))
-    each = rows.select("*", F.posexplode("run").alias("i", "month"))
-    return each.select(*keys, "category", "month", F.when(F.col("i") == 0, F.col("units")).otherwise(F.lit(0)).cast("long").alias("units"),
+    ahead = (F.year("until") - F.year("month")) * 12 + F.month("until") - F.month("month")
+    empty = ahead - F.when(F.add_months("month", ahead) > F.col("until"), 1).otherwise(0)
+    each = rows.select(*keys, "category", "units", "month", F.months_between("month", "m0").cast("int").alias("t0"),
+                       (F.months_between("m1", "m0").cast("int") + 1).alias("n"), F.explode(F.sequence(F.lit(0), empty, F.lit(1))).alias("i"))
+    return each.select(*keys, "category", F.add_months("month", F.col("i")).alias("month"),
+                       F.when(F.col("i") == 0, F.col("units")).otherwise(F.lit(0)).cast("long").alias("units"),
                        (F.col("t0") + F.col("i")).alias("t"), "n")
 
 
 def sku_filled(monthly: DataFrame, p: ForecastParams = ForecastParams()) -> DataFrame:
-    """M3 + M4 at SKU grain with one exchange: eligibility, gaps and lengths are windows by product."""
-    w = Window.partitionBy("product_id")
-    rows = sku_months(monthly).select(
-        "product_id", "category", first_day("order_month").alias("month"), F.col("u").alias("units"),
-        F.count(F.lit(1)).over(w).alias("active"), F.sum("u").over(w).alias("total"))
-    able = rows.where((F.col("active") >= p.min_active_months) & (F.col("total") >= p.min_total_units))
-    return _fill(able, ["product_id"], as_of_month(monthly, p)).select(
+    """M3 + M4 at SKU grain with one exchange: eligibility, gaps and lengths are one window by product."""
+    rows = sku_months(monthly).select("product_id", "category", first_day("order_month").alias("month"), F.col("u").alias("units"))
+    return _fill(rows, ["product_id"], as_of_month(monthly, p), p).select(
         F.lit("sku").alias("grain"), F.col("product_id").cast("string").alias("grain_key"), "category", "month", "units", "t", "n")
 
 

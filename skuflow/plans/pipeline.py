@@ -23,7 +23,7 @@ from skuflow.functions.ranking import By, global_rank
 
 from skuflow.operators import clean, demand, features, forecast, forecast_reports, inventory, kpi, profit, quality, renew, trust
 from skuflow.params import Params
-from skuflow.session import delete_stages, materialize
+from skuflow.session import delete_stages, materialize, materialize_each
 from skuflow.sources import load, testdata
 
 
@@ -263,7 +263,10 @@ class Pipeline:
         """M4 for both grains (eligible SKUs, M3, and all categories), materialised:
         every forecaster, backtest and chart-data view reads it."""
         sku = demand.sku_filled(self.monthly_sku, self.params.forecast)
-        return self._keep(sku.unionByName(demand.category_filled(self.monthly_sku, self.params.forecast)), "filled_series", ("grain",))
+        category = demand.category_filled(self.monthly_sku, self.params.forecast)
+        if self.store == "parquet":
+            return materialize_each({"sku": sku, "category": category}, "grain", f"{self._run_id}-filled_series", self._written)
+        return self._keep(sku.unionByName(category), "filled_series")
 
     @cached_property
     def sku_series_filled(self) -> DataFrame:

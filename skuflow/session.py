@@ -6,7 +6,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 _LOCAL_FALLBACK: dict[int, str] = {}
@@ -59,6 +59,19 @@ def materialize(df, name: str = "stage", written: list[str] | None = None, by: t
     return out.select(*df.columns) if by else out
 
 
+def materialize_each(parts: dict[str, DataFrame], column: str, name: str = "stage", written: list[str] | None = None) -> DataFrame:
+    """As `materialize` of the union of ``parts`` by ``column``, which names them and holds one value in each: written
+    part by part, so that no row is sorted into its folder."""
+    import uuid
+    first = next(iter(parts.values()))
+    spark = first.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skuflow-stages/{uuid.uuid4().hex[:12]}-{name}"
+    (_STAGES if written is None else written).append(path)
+    for value, df in parts.items():
+        df.select(*first.columns).drop(column).write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    return spark.read.schema(first.schema).parquet(path).select(*first.columns)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)

@@ -221,3 +221,18 @@ def test_a_missing_value_spoils_only_what_it_is_fitted_on():
     bt, full, sd, _ = forecast._fit_series(Y, np.full(3, 40), ForecastParams())
     assert np.allclose(bt, whole[0]) and np.allclose(full[[0, 2]], whole[1][[0, 2]])
     assert np.isnan(full[1]).all() and np.isnan(sd[1])
+
+
+def test_filled_series_take_one_window_and_no_sort_by_grain(spark):
+    from skuflow.plans.pipeline import Pipeline
+    rows = [(k, f"c{k % 2}", f"2020-{m:02d}", 4 + k) for k in range(5) for m in range(1, 13) if (m + k) % 4]
+    monthly = spark.createDataFrame(rows, "product_id long, category string, order_month string, units_sold long")
+    plan = demand.sku_filled(monthly)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [") == 1
+    stored = Pipeline.from_demand_series(spark, monthly).filled_series
+    lazy = Pipeline.from_demand_series(spark, monthly, store="none").filled_series
+    assert stored.columns == lazy.columns and stored.schema["grain"].dataType == lazy.schema["grain"].dataType
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, lazy.collect()))
+    assert {f.split("grain=")[1].split("/")[0] for f in stored.inputFiles()} == {"sku", "category"}
+    got = sorted((r["grain_key"], r["t"], r["units"], r["n"]) for r in stored.where("grain = 'sku' and grain_key = '1'").collect())
+    assert got == [("1", t, 0 if (t + 2) % 4 == 0 else 5, 12) for t in range(12)]
